@@ -236,21 +236,24 @@ def axis_cell(value: Column, half: float, bits: int) -> Column:
 def geohash(lat="lat", lon="lon", precision: int = 12) -> Column:
     """Geohash text by interleaving the two cell indexes, longitude bit first.
 
-    Two characters at a time: five bits of each axis are spread by a table and
-    the ten bits together pick the pair of characters.
+    Two characters at a time: five bits of each axis are spread by a table, and
+    the ten bits together give two places in the alphabet.
     """
     pairs = (precision + 1) // 2
     n_lat, n_lon = geohash_bits(precision)
     x = F.shiftleft(axis_cell(col(lon).cast("double"), 180.0, n_lon), 5 * pairs - n_lon)
     y = F.shiftleft(axis_cell(col(lat).cast("double"), 90.0, n_lat), 5 * pairs - n_lat)
-    spread = F.array(*[F.lit(sum((v >> i & 1) << 2 * i for i in range(5))) for v in range(32)])
-    text = F.array(*[F.lit(a + b) for a in GEOHASH_ALPHABET for b in GEOHASH_ALPHABET])
+    # Written as one text each, which Spark folds to a constant array.
+    spread = F.split(F.lit(",".join(str(sum((v >> i & 1) << 2 * i for i in range(5)))
+                                    for v in range(32))), ",").cast("array<int>")
+    letters = F.split(F.lit(",".join(GEOHASH_ALPHABET)), ",")
     parts = []
     for i in range(pairs):
         shift = 5 * (pairs - 1 - i)
         five = lambda axis: F.get(spread, F.shiftright(axis, shift).bitwiseAND(F.lit(31)).cast("int"))
-        parts.append(F.get(text, five(x) * 2 + five(y)))
-    return F.substring(F.concat(*parts), 1, precision)
+        ten = five(x) * 2 + five(y)
+        parts += [F.get(letters, F.shiftright(ten, 5)), F.get(letters, ten.bitwiseAND(F.lit(31)))]
+    return F.concat(*parts[:precision])
 
 
 def geohash_center(cell, precision: int) -> dict[str, Column]:
@@ -284,7 +287,8 @@ def argmax_index(columns) -> Column:
 
 
 def name_at(index, names=CLASSES) -> Column:
-    return F.element_at(F.array(*[F.lit(n) for n in names]), col(index) + 1)
+    # get, not element_at: the latter claims to be never NULL under ANSI mode.
+    return F.get(F.array(*[F.lit(n) for n in names]), col(index))
 
 
 def code_of(name, names=CLASSES) -> Column:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from wakeline.functions import scalars as S
-from wakeline.operators.stats import value_counts
+from wakeline.operators.skew import MAX_GROUP_ROWS
+from wakeline.operators.stats import Stat, stat_block, value_counts, with_masks
 
 
 def mode_block(pings: DataFrame, modes, key: str = "id") -> DataFrame:
@@ -78,36 +79,48 @@ def cell_centers(pings: DataFrame, precision: int = 7) -> DataFrame:
     return cells.select("cell", "cnt", *[c.alias(n) for n, c in parts.items()])
 
 
-def whole_track_profile(pings: DataFrame, limit=None) -> DataFrame:
-    """47 statistics of a whole track: modes, quantiles, spreads, frequency profile, aspect."""
-    from wakeline.operators.skew import MAX_GROUP_ROWS
-    from wakeline.operators.stats import Stat, stat_block, with_masks
-
-    p = with_masks(pings)
+def whole_track_stats() -> list[Stat]:
+    """The plain statistics of a whole track (input: stats.with_masks)."""
     q = lambda out, c, at, mask=None: Stat(out, c, "q", at, mask)
-    stats = [q("nonzero_speed_q80", "speed", 0.8, "nonzero"), q("nonzero_speed_q20", "speed", 0.2, "nonzero"),
-             q("nonzero_direction_median", "direction", 0.5, "nonzero")]
+    out = [q("nonzero_speed_q80", "speed", 0.8, "nonzero"), q("nonzero_speed_q20", "speed", 0.2, "nonzero"),
+           q("nonzero_direction_median", "direction", 0.5, "nonzero")]
     for c in ("lat", "lon"):
-        stats += [Stat(f"{c}_mean", c, "mean"), q(f"{c}_q90", c, 0.9), q(f"{c}_q10", c, 0.1),
-                  Stat(f"{c}_max", c, "max"), Stat(f"{c}_min", c, "min"), q(f"{c}_median", c, 0.5),
-                  q(f"{c}_q40", c, 0.4), q(f"{c}_q60", c, 0.6), Stat(f"{c}_nunique", c, "nunique")]
-    stats += [Stat("dis_mean", "dis", "mean"), Stat("dis_max", "dis", "max"), Stat("dis_min", "dis", "min"),
-              q("dis_median", "dis", 0.5), Stat("speed_max", "speed", "max"), Stat("speed_std", "speed", "std"),
-              q("speed_q40", "speed", 0.4), q("speed_q60", "speed", 0.6), q("speed_median", "speed", 0.5),
-              Stat("direction_max", "direction", "max"), q("direction_median", "direction", 0.5),
-              q("direction_q40", "direction", 0.4), q("direction_q60", "direction", 0.6)]
-    block = stat_block(p, stats, limit=limit or MAX_GROUP_ROWS)
-    modes = mode_block(p, [("nonzero_speed_mode", "speed", "nonzero", "min"),
-                           ("lat_mode_mean", "lat", None, "mean"), ("lon_mode_mean", "lon", None, "mean"),
-                           ("dis_mode_mean", "dis", None, "mean")])
-    wide = block.join(modes, "id", "left").join(frequency_profile(p), "id", "left")
-    for c in ("lat", "lon", "speed", "direction"):
-        wide = wide.withColumn(f"{c}_spread", F.col(f"{c}_q60") - F.col(f"{c}_q40"))
-    return (wide.withColumn("nonzero_speed_spread", F.col("nonzero_speed_q80") - F.col("nonzero_speed_q20"))
-            .withColumn("aspect", bbox_aspect()))
+        out += [Stat(f"{c}_mean", c, "mean"), q(f"{c}_q90", c, 0.9), q(f"{c}_q10", c, 0.1),
+                Stat(f"{c}_max", c, "max"), Stat(f"{c}_min", c, "min"), q(f"{c}_median", c, 0.5),
+                q(f"{c}_q40", c, 0.4), q(f"{c}_q60", c, 0.6), Stat(f"{c}_nunique", c, "nunique")]
+    return out + [
+        Stat("dis_mean", "dis", "mean"), Stat("dis_max", "dis", "max"), Stat("dis_min", "dis", "min"),
+        q("dis_median", "dis", 0.5), Stat("speed_max", "speed", "max"), Stat("speed_std", "speed", "std"),
+        q("speed_q40", "speed", 0.4), q("speed_q60", "speed", 0.6), q("speed_median", "speed", 0.5),
+        Stat("direction_max", "direction", "max"), q("direction_median", "direction", 0.5),
+        q("direction_q40", "direction", 0.4), q("direction_q60", "direction", 0.6)]
+
+
+WHOLE_TRACK_MODES = [
+    ("nonzero_speed_mode", "speed", "nonzero", "min"), ("lat_mode_mean", "lat", None, "mean"),
+    ("lon_mode_mean", "lon", None, "mean"), ("dis_mode_mean", "dis", None, "mean")]
+STOPPED_MODES = [("stopped_lat_mode_mean", "lat", "stopped", "mean"),
+                 ("stopped_lon_mode_mean", "lon", "stopped", "mean"),
+                 ("stopped_dis_mode_mean", "dis", "stopped", "mean")]
 
 
 def bbox_aspect():
     """Width over height of the bounding box, from lat/lon min and max columns."""
     return ((F.col("lon_max") - F.col("lon_min"))
             / (F.col("lat_max") - F.col("lat_min") + F.lit(0.0001)))
+
+
+def with_spreads(block: DataFrame) -> DataFrame:
+    """Quantile spreads and the bounding-box aspect from the whole-track statistics."""
+    for c in ("lat", "lon", "speed", "direction"):
+        block = block.withColumn(f"{c}_spread", F.col(f"{c}_q60") - F.col(f"{c}_q40"))
+    return (block.withColumn("nonzero_speed_spread", F.col("nonzero_speed_q80") - F.col("nonzero_speed_q20"))
+            .withColumn("aspect", bbox_aspect()))
+
+
+def whole_track_profile(pings: DataFrame, limit: int = MAX_GROUP_ROWS, large="find") -> DataFrame:
+    """47 statistics of a whole track: modes, quantiles, spreads, frequency profile, aspect."""
+    p = with_masks(pings)
+    return (with_spreads(stat_block(p, whole_track_stats(), limit=limit, large=large))
+            .join(mode_block(p, WHOLE_TRACK_MODES), "id", "left")
+            .join(frequency_profile(p), "id", "left"))

@@ -241,15 +241,17 @@ def moving_stats() -> list[Stat]:
     return out
 
 
+def stop_share_stats() -> list[Stat]:
+    """Count and distinct positions of the stopped pings; `cnt` counts all pings."""
+    return [Stat("stopped_count", "id", "rows", mask="stopped"),
+            Stat("stopped_lat_nunique", "lat", "nunique", mask="stopped"),
+            Stat("stopped_lon_nunique", "lon", "nunique", mask="stopped"), Stat("cnt", "id", "rows")]
+
+
 def stop_share(pings: DataFrame, limit: int = MAX_GROUP_ROWS, large="find") -> DataFrame:
-    """Count and distinct positions of the stopped pings, and their share of all pings."""
-    block = stat_block(with_masks(pings), [
-        Stat("stopped_count", "id", "rows", mask="stopped"),
-        Stat("stopped_lat_nunique", "lat", "nunique", mask="stopped"),
-        Stat("stopped_lon_nunique", "lon", "nunique", mask="stopped"),
-        Stat("_rows", "id", "rows")], limit=limit, large=large)
-    return (block.withColumn("stopped_share", S.safe_ratio("stopped_count", "_rows"))
-            .drop("_rows"))
+    """The stopped counts and their share of all pings (input: with_masks)."""
+    block = stat_block(pings, stop_share_stats(), limit=limit, large=large)
+    return block.withColumn("stopped_share", S.safe_ratio("stopped_count", "cnt"))
 
 
 def with_masks(pings: DataFrame) -> DataFrame:
