@@ -136,10 +136,10 @@ def safe_ratio(num, den) -> Column:
     return F.when(d != 0, col(num).cast("double") / d)
 
 
-def anchored(lat_diff="lat_diff", lon_diff="lon_diff", speed="speed", gap="gap_minutes") -> Column:
+def anchored(step: float = 0.01, top_speed: float = 0.1, gap: int = 10) -> Column:
     """1 where the vessel sits still; the differences are signed, missing gives 0."""
-    still = ((col(lat_diff) < F.lit(0.01)) & (col(lon_diff) < F.lit(0.01))
-             & (col(speed) < F.lit(0.1)) & (col(gap) <= 10))
+    still = ((F.col("lat_diff") < F.lit(step)) & (F.col("lon_diff") < F.lit(step))
+             & (F.col("speed") < F.lit(top_speed)) & (F.col("gap_minutes") <= gap))
     return F.when(still, 1).otherwise(0)
 
 
