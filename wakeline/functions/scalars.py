@@ -76,32 +76,34 @@ def time_fields(text="time") -> dict[str, Column]:
             "minute": cut(9, 2), "second": cut(12, 2)}
 
 
-def day_hours(hour, minute, second) -> Column:
-    return (col(hour).cast("double") + col(minute).cast("double") / F.lit(60.0)
-            + col(second).cast("double") / F.lit(3600.0))
+def add_hours(whole: Column, minute: Column, second: Column) -> Column:
+    """whole + minute/60 + second/3600, added left to right: step speeds divide by tiny
+    differences of such clocks, so the order of the additions shows in the result."""
+    return (whole.cast("double") + minute.cast("double") / F.lit(60.0)
+            + second.cast("double") / F.lit(3600.0))
 
 
 def text_day_hours(text="time") -> Column:
     f = time_fields(text)
-    return day_hours(f["hour"], f["minute"], f["second"])
+    return add_hours(f["hour"], f["minute"], f["second"])
 
 
 def text_mmdd_hours(text="time") -> Column:
     f = time_fields(text)
-    return f["day"] * 24 + text_day_hours(text)
+    return add_hours(f["day"] * 24 + f["hour"], f["minute"], f["second"])
 
 
 def text_calendar_hours(text="time") -> Column:
     """(MM*31 + MMDD)*24 + hours: the pseudo clock behind the step speed."""
     f = time_fields(text)
-    return (f["month"] * 31 + f["day"]) * 24 + text_day_hours(text)
+    return add_hours((f["month"] * 31 + f["day"]) * 24 + f["hour"], f["minute"], f["second"])
 
 
 def calendar_hours(ts="ts") -> Column:
     """The same pseudo clock from a timestamp."""
     t = col(ts)
     mmdd = F.month(t) * 100 + F.dayofmonth(t)
-    return (F.month(t) * 31 + mmdd) * 24 + day_hours(F.hour(t), F.minute(t), F.second(t))
+    return add_hours((F.month(t) * 31 + mmdd) * 24 + F.hour(t), F.minute(t), F.second(t))
 
 
 def epoch_micros(ts="ts") -> Column:
@@ -257,22 +259,32 @@ def geohash(lat="lat", lon="lon", precision: int = 12) -> Column:
 
 
 def geohash_center(cell, precision: int) -> dict[str, Column]:
-    """Decoded centre, the +/- errors and the short decimal text of a cell."""
-    widths = geohash_bits(precision)
-    index = [F.lit(0).cast("bigint"), F.lit(0).cast("bigint")]  # lat, lon
+    """Decoded centre, the +/- errors and the short decimal text of a cell.
+
+    Each character holds three bits of one axis and two of the other; small
+    tables by character give both shares, and the shares add up to the indexes.
+    """
+    letters = F.lit(GEOHASH_ALPHABET)
+    # Characters at even places start with a longitude bit, the others with latitude.
+    outer = [sum((v >> 2 * i & 1) << i for i in range(3)) for v in range(32)]
+    inner = [sum((v >> 2 * i + 1 & 1) << i for i in range(2)) for v in range(32)]
+    table = lambda values: F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+    left = dict(zip(("lat", "lon"), geohash_bits(precision)))
+    index = {"lat": F.lit(0).cast("bigint"), "lon": F.lit(0).cast("bigint")}
     for i in range(precision):
-        code = (F.instr(F.lit(GEOHASH_ALPHABET), F.substring(col(cell), i + 1, 1)) - 1).cast("bigint")
-        for place in range(5):
-            axis = 1 - (5 * i + place) % 2
-            index[axis] = index[axis] * 2 + F.shiftright(code, 4 - place).bitwiseAND(F.lit(1))
+        code = F.instr(letters, F.substring(col(cell), i + 1, 1)) - 1
+        first, second = ("lon", "lat") if i % 2 == 0 else ("lat", "lon")
+        for axis, values, bits in ((first, outer, 3), (second, inner, 2)):
+            left[axis] -= bits
+            index[axis] = index[axis] + F.shiftleft(F.get(table(values), code), left[axis])
     out = {}
-    for name, half, bits, at in (("lat", 90.0, widths[0], index[0]), ("lon", 180.0, widths[1], index[1])):
+    for axis, half, bits in zip(("lat", "lon"), (90.0, 180.0), geohash_bits(precision)):
         error = half / (1 << bits)
-        center = (at * 2 + 1).cast("double") * F.lit(error) - F.lit(half)
+        center = (index[axis] * 2 + 1).cast("double") * F.lit(error) - F.lit(half)
         digits = max(1, round(-math.log10(error))) - 1
         text = F.format_string(f"%.{digits}f", center)
-        out[name], out[f"{name}_err"] = center, F.lit(error)
-        out[f"{name}_text"] = F.rtrim(text, F.lit("0")) if digits else text
+        out[axis], out[f"{axis}_err"] = center, F.lit(error)
+        out[f"{axis}_text"] = F.rtrim(text, F.lit("0")) if digits else text
     return out
 
 

@@ -27,11 +27,10 @@ def gap_minutes() -> Column:
 def with_changes(moved: DataFrame) -> DataFrame:
     """First differences, the gap, the anchor flag and the two change masks."""
     return (moved
-            .withColumn("lat_diff", diff("lat")).withColumn("lon_diff", diff("lon"))
-            .withColumn("speed_diff", diff("speed")).withColumn("gap_minutes", gap_minutes())
-            .withColumn("anchored", S.anchored())
-            .withColumn("position_changed", S.changed("lat_diff"))
-            .withColumn("speed_changed", S.changed("speed_diff")))
+            .withColumns({"lat_diff": diff("lat"), "lon_diff": diff("lon"),
+                          "speed_diff": diff("speed"), "gap_minutes": gap_minutes()})
+            .withColumns({"anchored": S.anchored(), "position_changed": S.changed("lat_diff"),
+                          "speed_changed": S.changed("speed_diff")}))
 
 
 def gradient(column: str) -> Column:
@@ -57,18 +56,14 @@ def steps(moved: DataFrame, infinite: bool = True) -> DataFrame:
     otherwise it gives NULL.
     """
     needed = ["id", *NEIGHBOUR_COLUMNS, *(f"prev.{c}" for c in NEIGHBOUR_COLUMNS)]
-    complete = None
-    for name in needed:
-        ok = F.col(name).isNotNull()
-        complete = ok if complete is None else complete & ok
     ratio = S.ieee_ratio if infinite else S.safe_ratio
     dlat, dlon = F.col("prev.lat") - F.col("lat"), F.col("prev.lon") - F.col("lon")
-    hours = F.abs(S.calendar_hours("prev.ts") - S.calendar_hours("ts"))
-    return (moved.filter(complete)
-            .withColumn("step_distance", F.sqrt(dlat * dlat + dlon * dlon))
-            .withColumn("slope", F.abs(ratio(dlon, dlat + F.lit(0.001))))
-            .withColumn("step_hours", hours)
+    return (moved.filter(" AND ".join(f"{c} IS NOT NULL" for c in needed))
+            .withColumns({
+                "step_distance": F.sqrt(dlat * dlat + dlon * dlon),
+                "slope": F.abs(ratio(dlon, dlat + F.lit(0.001))),
+                "step_hours": F.abs(S.calendar_hours("prev.ts") - S.calendar_hours("ts")),
+                "direction_delta": F.abs(F.col("prev.direction") - F.col("direction")),
+                "speed_delta": F.abs(F.col("prev.speed") - F.col("speed"))})
             .withColumn("step_speed", ratio(F.col("step_distance"), F.col("step_hours")))
-            .withColumn("direction_delta", F.abs(F.col("prev.direction") - F.col("direction")))
-            .withColumn("speed_delta", F.abs(F.col("prev.speed") - F.col("speed")))
             .drop("prev", "next"))

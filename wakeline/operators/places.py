@@ -62,18 +62,20 @@ def place_diversity(pings: DataFrame) -> DataFrame:
         F.nullif(F.sum(F.when(seen, F.col("n_stop"))), F.lit(0)).alias("stop_destination_cnt"),
         F.nullif(F.count_if(seen & (F.col("n_stop") > 0)), F.lit(0)).alias("stop_destination_nuniq"))
     ratio = S.safe_ratio
-    return (out
-            .withColumn("destination_ratio", ratio("destination_nuniq", "destination_cnt"))
-            .withColumn("destination_freq", ratio("destination_cnt", "destination_nuniq"))
-            .withColumn("stop_destination_ratio", ratio("stop_destination_nuniq", "stop_destination_cnt"))
-            .withColumn("stop_destination_freq", ratio("stop_destination_cnt", "stop_destination_nuniq"))
-            .withColumn("stop_ratio1", ratio("stop_destination_cnt", "destination_cnt"))
-            .withColumn("stop_ratio2", ratio("stop_destination_nuniq", "destination_nuniq")))
+    return out.withColumns({
+        "destination_ratio": ratio("destination_nuniq", "destination_cnt"),
+        "destination_freq": ratio("destination_cnt", "destination_nuniq"),
+        "stop_destination_ratio": ratio("stop_destination_nuniq", "stop_destination_cnt"),
+        "stop_destination_freq": ratio("stop_destination_cnt", "stop_destination_nuniq"),
+        "stop_ratio1": ratio("stop_destination_cnt", "destination_cnt"),
+        "stop_ratio2": ratio("stop_destination_nuniq", "destination_nuniq")})
 
 
 def cell_centers(pings: DataFrame, precision: int = 7) -> DataFrame:
     """Pings per geohash cell with the decoded centre, its error and its short text."""
-    cells = (pings.withColumn("cell", S.geohash(precision=precision)).filter("cell is not null")
+    # Filtering on the inputs: a filter on the cell would compute it twice.
+    cells = (pings.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull())
+             .withColumn("cell", S.geohash(precision=precision))
              .groupBy("cell").agg(F.count(F.lit(1)).alias("cnt")))
     parts = S.geohash_center("cell", precision)
     return cells.select("cell", "cnt", *[c.alias(n) for n, c in parts.items()])
@@ -112,10 +114,10 @@ def bbox_aspect():
 
 def with_spreads(block: DataFrame) -> DataFrame:
     """Quantile spreads and the bounding-box aspect from the whole-track statistics."""
-    for c in ("lat", "lon", "speed", "direction"):
-        block = block.withColumn(f"{c}_spread", F.col(f"{c}_q60") - F.col(f"{c}_q40"))
-    return (block.withColumn("nonzero_speed_spread", F.col("nonzero_speed_q80") - F.col("nonzero_speed_q20"))
-            .withColumn("aspect", bbox_aspect()))
+    spread = {f"{c}_spread": F.col(f"{c}_q60") - F.col(f"{c}_q40")
+              for c in ("lat", "lon", "speed", "direction")}
+    spread["nonzero_speed_spread"] = F.col("nonzero_speed_q80") - F.col("nonzero_speed_q20")
+    return block.withColumns({**spread, "aspect": bbox_aspect()})
 
 
 def whole_track_profile(pings: DataFrame, limit: int = MAX_GROUP_ROWS, large="find") -> DataFrame:

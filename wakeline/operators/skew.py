@@ -17,10 +17,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-MAX_GROUP_ROWS = 1_000_000
+MAX_GROUP_ROWS = 500_000
 # The table of large keys is broadcast; the limit is raised where needed so
-# that it never has more rows than this.
-MAX_LARGE_GROUPS = 100_000
+# that it never has more rows than this (some 10 MB).
+MAX_LARGE_GROUPS = 1_000_000
+# Blocks below this size would cost more in tasks than they save.
+MIN_BLOCK_ROWS = 1_000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -67,12 +69,9 @@ def find_large(df: DataFrame, keys, limit: int = MAX_GROUP_ROWS) -> LargeGroups
     if largest is None or largest <= limit:
         return None
     limit = max(limit, total // MAX_LARGE_GROUPS)
-    found = sizes.filter(F.col("group_rows") > limit).collect()  # at most MAX_LARGE_GROUPS rows
-    if not found:
-        return None
-    table = df.sparkSession.createDataFrame(
-        [row[:-1] for row in found], df.select(*keys).schema)
-    return LargeGroups(keys, table, sum(row[-1] for row in found), limit)
+    found = settle(sizes.filter(F.col("group_rows") > limit))  # fewer than MAX_LARGE_GROUPS rows
+    rows = found.agg(F.sum("group_rows")).first()[0]
+    return None if rows is None else LargeGroups(keys, found.drop("group_rows"), rows, limit)
 
 
 def split_blocks(df: DataFrame, large: LargeGroups, order) -> DataFrame:
@@ -81,7 +80,7 @@ def split_blocks(df: DataFrame, large: LargeGroups, order) -> DataFrame:
     `order` must end in a column that is unique within the group; then a range
     partition holds about `limit` rows however the values are spread.
     """
-    blocks = max(2, math.ceil(large.rows / large.limit) * 2)
+    blocks = max(2, math.ceil(large.rows / max(large.limit, MIN_BLOCK_ROWS)) * 2)
     ranged = large.only(df).repartitionByRange(blocks, *large.keys, *order)
     return settle(ranged.withColumn("block", F.spark_partition_id()))
 

@@ -64,8 +64,13 @@ def sample_rows(pings: DataFrame, fraction: float = 0.1, seed: int = 1,
 
 
 def token_counts(words: DataFrame) -> DataFrame:
-    """(id, token, n) from (id, text) rows; counted before the shuffle."""
-    return (words.select("id", F.explode(tokens("text")).alias("token"))
+    """(id, token, n) from (id, text) rows; counted before the shuffle.
+
+    The outer explode keeps Spark from adding a non-empty filter that would
+    compute the text a second time.
+    """
+    return (words.select("id", F.explode_outer(tokens("text")).alias("token"))
+            .filter(F.col("token").isNotNull())
             .groupBy("id", "token").agg(F.count(F.lit(1)).alias("n")))
 
 

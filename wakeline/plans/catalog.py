@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from wakeline.functions import scalars as S
 from wakeline.operators import factor, metrics, model, motion, places, stats, text
-from wakeline.operators.skew import settle, shared_folder
+from wakeline.operators.skew import MAX_GROUP_ROWS, find_large, settle, shared_folder
 from wakeline.operators.stats import Stat
 from wakeline.plans import oracle as O
 from wakeline.sources import sinks, tracks
@@ -33,20 +33,23 @@ def query(name: str, sql: str | None = None):
 
 
 def rounded(df: DataFrame) -> DataFrame:
-    return df.select(*[F.round(F.col(f"`{n}`"), 6).alias(n) if t == "double" else F.col(f"`{n}`")
-                       for n, t in df.dtypes])
+    return df.selectExpr(*[f"round(`{n}`, 6) AS `{n}`" if t == "double" else f"`{n}`" for n, t in df.dtypes])
 
 
-def moved(p):
-    return motion.with_motion(p)
+def moved(p, large="find"):
+    return motion.with_motion(p, large=large)
 
 
-def changed(p):
-    return motion.with_changes(moved(p))
+def changed(p, large="find"):
+    return motion.with_changes(moved(p, large))
 
 
-def steps(p):
-    return stats.with_masks(motion.steps(moved(p)))
+def steps(p, large="find"):
+    return stats.with_masks(motion.steps(moved(p, large)))
+
+
+def masked(p, large=None):
+    return stats.with_masks(p)
 
 
 # -- sources -----------------------------------------------------------------
@@ -286,29 +289,30 @@ def _(p):
 
 # -- statistics --------------------------------------------------------------
 
-def _block(name, ctes, table, prepare, wanted, limit=None):
-    extra = {} if limit is None else {"limit": limit}
-    query(name, O.with_(*ctes) + O.stat_select(wanted, table))(
-        lambda p: stats.stat_block(prepare(p), wanted, **extra))
+def _block(name, ctes, table, prepare, wanted, limit=MAX_GROUP_ROWS):
+    def build(p):
+        large = find_large(p, ["id"], limit)  # counted once, for the windows and the block
+        return stats.stat_block(prepare(p, large), wanted, large=large)
+    query(name, O.with_(*ctes) + O.stat_select(wanted, table))(build)
 
 
 _MASKS, _MOVES = (O.MASKED,), (O.MOVED, O.CHANGED)
 _POS = stats.wide_stats(SIGNALS, "position_changed", "pos_changed_")
-_block("stat_block_all", _MASKS, "masked", stats.with_masks, stats.wide_stats(SIGNALS))
+_block("stat_block_all", _MASKS, "masked", masked, stats.wide_stats(SIGNALS))
 _block("stat_block_pos_changed", _MOVES, "changed", changed, _POS)
 _block("stat_block_speed_changed", _MOVES, "changed", changed,
        stats.wide_stats(SIGNALS, "speed_changed", "speed_changed_"))
 _block("stat_block_split", _MOVES, "changed", changed, stats.wide_stats(SIGNALS) + _POS, limit=50)
-_block("stat_block_deciles", _MASKS, "masked", stats.with_masks, stats.decile_stats(["lat", "lon"]))
-_block("stat_block_stopped", _MASKS, "masked", stats.with_masks,
+_block("stat_block_deciles", _MASKS, "masked", masked, stats.decile_stats(["lat", "lon"]))
+_block("stat_block_stopped", _MASKS, "masked", masked,
        stats.decile_stats(["lat", "lon"], "stopped", "stop_") + stats.stopped_stats())
-_block("stat_block_moving", _MASKS, "masked", stats.with_masks,
+_block("stat_block_moving", _MASKS, "masked", masked,
        stats.decile_stats(["speed"], "moving") + stats.moving_stats())
-_block("stat_block_dir0", _MASKS, "masked", stats.with_masks,
+_block("stat_block_dir0", _MASKS, "masked", masked,
        stats.decile_stats(["lat", "lon"], "north", "direction0_"))
-_block("stat_block_high", _MASKS, "masked", stats.with_masks,
+_block("stat_block_high", _MASKS, "masked", masked,
        stats.decile_stats(["lat", "lon"], "fast", "speed_high_"))
-_block("direction_summary", _MASKS, "masked", stats.with_masks, stats.direction_stats())
+_block("direction_summary", _MASKS, "masked", masked, stats.direction_stats())
 _block("step_stats", (O.MOVED, O.STEPS), "timed", steps, stats.step_stats())
 _block("delta_stats", (O.MOVED, O.STEPS), "timed", steps, stats.delta_stats())
 _block("delta_stats_split", (O.MOVED, O.STEPS), "timed", steps, stats.delta_stats(), limit=50)
