@@ -51,6 +51,13 @@ def test_word2vec_mean_is_weighted(pings):
     assert all(len(r) == 5 and all(v is not None for v in r) for r in rows)
 
 
+def test_mean_vectors(spark):
+    counts = spark.createDataFrame([(1, "aa", 3), (1, "bb", 1), (2, "bb", 2)], "id bigint, token string, n bigint")
+    vectors = spark.createDataFrame([("aa", [1.0, 0.0]), ("bb", [5.0, 8.0])], "token string, v array<double>")
+    rows = factor.mean_vectors(counts, vectors, 2, "w").orderBy("id").collect()
+    assert [tuple(r) for r in rows] == [(1, 2.0, 2.0), (2, 5.0, 8.0)]
+
+
 def test_feature_counts(pings):
     small = dict(k=2, iterations=1)
     assert len(members.features_a(pings, w2v_rounds=1, **small).columns) - 2 == 318 - 4 * 30 + 4 * 2

@@ -10,7 +10,7 @@ from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame, functions as F
 
 from wakeline.operators import text
-from wakeline.operators.skew import MAX_GROUP_ROWS, settle
+from wakeline.operators.skew import MAX_GROUP_ROWS, find_large, settle
 
 # Word2Vec keeps vocabulary x size floats on the driver; 200 million are 800 MB.
 MAX_WORD2VEC_FLOATS = 200_000_000
@@ -100,20 +100,22 @@ def truncated_svd(cells: DataFrame, documents: DataFrame, k: int, prefix: str,
 
 
 def svd_features(pings: DataFrame, corpus: str, k: int, blocks, iterations: int = 20,
-                 seed: int = 1) -> DataFrame:
+                 seed: int = 1, limit: int = MAX_GROUP_ROWS, large="find") -> DataFrame:
     """SVD scores of one corpus (see text.CORPORA).
 
     `blocks` maps a column prefix to its weighting, 'tfidf' or 'count'; the
     corpus is tokenised and counted once for all of them. All tracks in
     `pings` are both fitted and scored, unlabelled ones included.
     """
-    words = text.CORPORA[corpus].words(pings)
+    if large == "find":
+        large = find_large(pings, ["id"], limit)
+    words = text.CORPORA[corpus].words(pings, large)
     documents = text.document_ids(words)
     counts = settle(text.token_counts(words))
     out = documents
     for prefix, weighting in blocks.items():
         if weighting == "tfidf":
-            cells = text.tfidf(counts, documents)
+            cells = text.tfidf(counts, documents, all_small=large is None)
         elif weighting == "count":
             cells = counts.withColumn("weight", F.col("n").cast("double"))
         else:
@@ -139,6 +141,11 @@ def word2vec_means(pings: DataFrame, size: int = 30, window: int = 5, iterations
                      numPartitions=parts, maxSentenceLength=1000, inputCol="tokens",
                      outputCol="v").fit(sentences)
     vectors = model.getVectors().select(F.col("word").alias("token"), vector_to_array("vector").alias("v"))
+    return mean_vectors(counts, vectors, size, prefix)
+
+
+def mean_vectors(counts: DataFrame, vectors: DataFrame, size: int, prefix: str) -> DataFrame:
+    """Mean of the token vectors (token, v) of each track, weighted by the token counts."""
     total = F.sum("n")
     return (counts.join(vectors, "token").groupBy("id")
             .agg(*[(F.sum(F.col("n") * F.get("v", F.lit(i))) / total).alias(f"{prefix}_{i}_mean")

@@ -9,27 +9,38 @@ from wakeline.operators.skew import MAX_GROUP_ROWS
 from wakeline.operators.stats import Stat, stat_block, value_counts, with_masks
 
 
-def mode_block(pings: DataFrame, modes, key: str = "id") -> DataFrame:
+def mode_block(pings: DataFrame, modes, key: str = "id", profiles=()) -> DataFrame:
     """Modes of several (column, mask) pairs: `modes` is a list of (out, column, mask, how).
 
     how = 'mean' averages all tied modes, 'min' takes the smallest. Ties are
-    folded per frequency, so no track has to be ranked in one task.
+    folded per frequency, so no track has to be ranked in one task. Each
+    column in `profiles` adds its frequency profile: largest, mean and
+    population deviation of how often a value occurs. Both read the same
+    value counts.
     """
-    pairs = list(dict.fromkeys((c, m) for _, c, m, _ in modes))
-    folded = (value_counts(pings, pairs, key).groupBy(key, "pair", "n")
-              .agg(F.avg("value").alias("mean"), F.min("value").alias("min")))
-    aggs = []
-    for out, c, m, how in modes:
-        here = F.col("pair") == pairs.index((c, m))
-        aggs.append(F.max_by(F.when(here, F.col(how)), F.when(here, F.col("n"))).alias(out))
-    return folded.groupBy(key).agg(*aggs)
+    pairs = list(dict.fromkeys([(c, m) for _, c, m, _ in modes] + [(c, None) for c in profiles]))
+    counts = value_counts(pings, pairs, key)
+    blocks = []
+    if modes:
+        folded = (counts.groupBy(key, "pair", "n")
+                  .agg(F.avg("value").alias("mean"), F.min("value").alias("min")))
+        aggs = []
+        for out, c, m, how in modes:
+            here = F.col("pair") == pairs.index((c, m))
+            aggs.append(F.max_by(F.when(here, F.col(how)), F.when(here, F.col("n"))).alias(out))
+        blocks.append(folded.groupBy(key).agg(*aggs))
+    if profiles:
+        aggs = []
+        for c in profiles:
+            n = F.when(F.col("pair") == pairs.index((c, None)), F.col("n"))
+            aggs += [F.max(n).alias(f"{c}_freq_max"), F.avg(n).alias(f"{c}_freq_mean"),
+                     F.stddev_pop(n).alias(f"{c}_freq_std")]
+        blocks.append(counts.groupBy(key).agg(*aggs))
+    return blocks[0] if len(blocks) == 1 else blocks[0].join(blocks[1], key)
 
 
 def frequency_profile(pings: DataFrame, column: str = "lon", key: str = "id") -> DataFrame:
-    """Largest, mean and population deviation of how often each value occurs."""
-    return (value_counts(pings, [(column, None)], key).groupBy(key)
-            .agg(F.max("n").alias(f"{column}_freq_max"), F.avg("n").alias(f"{column}_freq_mean"),
-                 F.stddev_pop("n").alias(f"{column}_freq_std")))
+    return mode_block(pings, [], key, [column])
 
 
 def place_counts(pings: DataFrame) -> DataFrame:
@@ -124,5 +135,4 @@ def whole_track_profile(pings: DataFrame, limit: int = MAX_GROUP_ROWS, large="fi
     """47 statistics of a whole track: modes, quantiles, spreads, frequency profile, aspect."""
     p = with_masks(pings)
     return (with_spreads(stat_block(p, whole_track_stats(), limit=limit, large=large))
-            .join(mode_block(p, WHOLE_TRACK_MODES), "id", "left")
-            .join(frequency_profile(p), "id", "left"))
+            .join(mode_block(p, WHOLE_TRACK_MODES, profiles=["lon"]), "id", "left"))

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wakeline.functions import scalars as S
 from wakeline.operators import motion
-from wakeline.operators.skew import MAX_GROUP_ROWS, positions
+from wakeline.operators.skew import MAX_GROUP_ROWS, find_large, positions
 
 # Fixed value: words of two or more word characters.
 TOKEN_PATTERN = r"\b\w\w+\b"
@@ -21,25 +21,25 @@ def tokens(text) -> Column:
 
 @dataclass(frozen=True)
 class Corpus:
-    """`words(pings)` -> (id, text) per ping; the track's document is all of its texts."""
+    """`words(pings, large)` -> (id, text) per ping; a track's document is all of its texts."""
 
     name: str
     words: object
 
 
 def _plain(text, mask=None):
-    def build(pings):
+    def build(pings, large="find"):
         rows = pings if mask is None else pings.filter(mask())
         return rows.select("id", text().alias("text"))
     return build
 
 
-def _gradients(pings):
-    return motion.with_motion(pings).select("id", motion.gradient_text().alias("text"))
+def _gradients(pings, large="find"):
+    return motion.with_motion(pings, large=large).select("id", motion.gradient_text().alias("text"))
 
 
-def _sampled(pings):
-    return sample_rows(pings).select("id", S.geohash(precision=7).alias("text"))
+def _sampled(pings, large="find"):
+    return sample_rows(pings, large=large).select("id", S.geohash(precision=7).alias("text"))
 
 
 CORPORA = {c.name: c for c in (
@@ -54,11 +54,11 @@ CORPORA = {c.name: c for c in (
 
 
 def sample_rows(pings: DataFrame, fraction: float = 0.1, seed: int = 1,
-                limit: int = MAX_GROUP_ROWS) -> DataFrame:
+                limit: int = MAX_GROUP_ROWS, large="find") -> DataFrame:
     """A fixed pseudo-random share of every track: round-half-even(fraction * n) rows."""
     keyed = pings.withColumn("draw", F.md5(F.concat_ws(
         "_", F.col("id").cast("string"), F.col("seq").cast("string"), F.lit(str(seed)))))
-    placed = positions(keyed, ["id"], ["draw", "seq"], limit=limit)
+    placed = positions(keyed, ["id"], ["draw", "seq"], limit=limit, large=large)
     wanted = F.rint(F.col("group_total").cast("double") * F.lit(fraction))
     return placed.filter(F.col("before") < wanted).select(*pings.columns)
 
@@ -74,18 +74,31 @@ def token_counts(words: DataFrame) -> DataFrame:
             .groupBy("id", "token").agg(F.count(F.lit(1)).alias("n")))
 
 
-def tfidf(counts: DataFrame, documents: DataFrame) -> DataFrame:
+def tfidf(counts: DataFrame, documents: DataFrame, all_small: bool = False) -> DataFrame:
     """(id, token, n, weight): smooth idf ln((1+N)/(1+df))+1, rows of unit length.
 
     `documents` holds the ids of all documents, also those without a token.
+    With `all_small` every document is known to fit one task and a window
+    gives the row lengths; otherwise they come from a pre-aggregated sum and a
+    join, whose long documents adaptive execution splits.
     """
     size = documents.agg(F.count(F.lit(1))).scalar()
     spread = counts.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     idf = F.log((size + F.lit(1)).cast("double") / (F.col("df") + 1).cast("double")) + F.lit(1.0)
-    raw = counts.join(spread, "token").withColumn("raw", F.col("n") * idf)
-    norm = raw.groupBy("id").agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"))
-    return (raw.join(norm, "id")
-            .select("id", "token", "n", (F.col("raw") / F.col("norm")).alias("weight")))
+    raw = counts.join(spread, "token").select("id", "token", "n", (F.col("n") * idf).alias("raw"))
+    squares = F.sum(F.col("raw") * F.col("raw"))
+    if all_small:
+        scaled = raw.withColumn("norm", F.sqrt(squares.over(Window.partitionBy("id"))))
+    else:
+        scaled = raw.join(raw.groupBy("id").agg(F.sqrt(squares).alias("norm")), "id")
+    return scaled.select("id", "token", "n", (F.col("raw") / F.col("norm")).alias("weight"))
+
+
+def corpus_tfidf(pings: DataFrame, corpus: str, limit: int = MAX_GROUP_ROWS) -> DataFrame:
+    """TF-IDF weights of one corpus."""
+    large = find_large(pings, ["id"], limit)
+    words = CORPORA[corpus].words(pings, large)
+    return tfidf(token_counts(words), document_ids(words), all_small=large is None)
 
 
 def document_ids(words: DataFrame) -> DataFrame:

@@ -450,13 +450,6 @@ def _(p):
 
 # -- text --------------------------------------------------------------------
 
-def _weights(corpus):
-    def build(p):
-        words = text.CORPORA[corpus].words(p)
-        return text.tfidf(text.token_counts(words), text.document_ids(words))
-    return build
-
-
 _TEXTS = {
     "tfidf": ("geohash", (O.CELLS, "source as (select * from celled)"), "geohash7"),
     "place_tfidf": ("place", ("source as (select * from tracks)",), "cast(lat as varchar)||'_'||cast(lon as varchar)"),
@@ -466,7 +459,8 @@ _TEXTS = {
     "gradient_tfidf": ("gradient", (O.MOVED, O.GRADIENT, f"source as (select id, {O.GRADIENT_TEXT} as t from graded)"), "t"),
 }
 for _name, (_corpus, _ctes, _text) in _TEXTS.items():
-    query(_name, O.with_(*_ctes) + ",\n" + O.tfidf(O.words(_text)))(_weights(_corpus))
+    query(_name, O.with_(*_ctes) + ",\n" + O.tfidf(O.words(_text)))(
+        lambda p, corpus=_corpus: text.corpus_tfidf(p, corpus))
 
 _SAMPLE = """drawn as (select * from (select *, row_number() over (partition by id
     order by md5(cast(id as varchar)||'_'||cast(seq as varchar)||'_1'), seq) as r,
@@ -474,10 +468,13 @@ _SAMPLE = """drawn as (select * from (select *, row_number() over (partition by
   where r <= round_even(cast(n as double)*cast(0.1 as double), 0))"""
 
 
+query("tfidf_split", ORACLES["tfidf"])(lambda p: text.corpus_tfidf(p, "geohash", limit=50))
+
+
 @query("sample_tfidf", O.with_(O.CELLS, _SAMPLE.replace("from tracks)", "from celled)"),
                                "source as (select * from drawn)") + ",\n" + O.tfidf(O.words("geohash7")))
 def _(p):
-    return _weights("sample")(p)
+    return text.corpus_tfidf(p, "sample")
 
 
 _SAMPLE_SQL = O.with_(_SAMPLE) + "select id, seq, lat, lon from drawn"

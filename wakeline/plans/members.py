@@ -32,7 +32,8 @@ def features_a(pings: DataFrame, k: int = 30, iterations: int = 20, w2v_rounds:
         *stats.wide_stats(SIGNALS),
         *stats.wide_stats(SIGNALS, "position_changed", "pos_changed_"),
         *stats.wide_stats(SIGNALS, "speed_changed", "speed_changed_")], limit=limit, large=large)
-    svd = lambda corpus, blocks: factor.svd_features(pings, corpus, k, blocks, iterations)
+    svd = lambda corpus, blocks: factor.svd_features(
+        pings, corpus, k, blocks, iterations, limit=limit, large=large)
     return join_features(
         track_labels(pings),
         block.withColumn("anchor_ratio", S.safe_ratio("anchor_cnt", "cnt")),
@@ -56,7 +57,8 @@ def features_b(pings: DataFrame, k: int = 10, iterations: int = 20,
         *stats.direction_stats(),
         *stats.decile_stats(AXES, "north", "direction0_"),
         *stats.decile_stats(AXES, "fast", "speed_high_")], limit=limit, large=large)
-    svd = lambda corpus, prefix: factor.svd_features(pings, corpus, k, {prefix: "tfidf"}, iterations)
+    svd = lambda corpus, prefix: factor.svd_features(
+        pings, corpus, k, {prefix: "tfidf"}, iterations, limit=limit, large=large)
     return join_features(
         track_labels(pings), block, places.place_diversity(pings),
         svd("lat", "svd_lat"), svd("lon", "svd_lon"), svd("geohash", "svd_geohash7"),
@@ -74,13 +76,13 @@ def features_c(pings: DataFrame, k: int = 30, iterations: int = 20, order=("seq"
         *stats.stop_share_stats()], limit=limit, large=large)
     steps = stats.with_masks(motion.steps(motion.with_motion(pings, order, limit, large)))
     moves = stats.stat_block(steps, [*stats.step_stats(), *stats.delta_stats()], limit=limit, large=large)
-    svd = lambda corpus, blocks: factor.svd_features(pings, corpus, k, blocks, iterations)
+    svd = lambda corpus, blocks: factor.svd_features(
+        pings, corpus, k, blocks, iterations, limit=limit, large=large)
     return join_features(
         track_labels(pings),
         places.with_spreads(block)
         .withColumn("stopped_share", S.safe_ratio("stopped_count", "cnt")).drop("cnt"),
-        places.mode_block(masked, places.WHOLE_TRACK_MODES + places.STOPPED_MODES),
-        places.frequency_profile(pings),
+        places.mode_block(masked, places.WHOLE_TRACK_MODES + places.STOPPED_MODES, profiles=["lon"]),
         moves.drop("slope_mean"), places.top_places(pings), stats.speed_bin_pivot(pings),
         svd("place", {"svd_place": "tfidf"}), svd("geohash", {"geohash_count": "count"}))
 
