@@ -61,12 +61,11 @@ def truncated_svd(cells: DataFrame, documents: DataFrame, k: int, prefix: str,
 
     def multiply(key, vectors, by, cols):
         joined = cells.join(vectors, by)
-        return joined.groupBy(key).agg(*[F.sum(F.col("weight") * F.col(c)).alias(c) for c in cols])
+        return joined.groupBy(key).agg(*[F.expr(f"sum(weight * {c})").alias(c) for c in cols])
 
     half = float(2 ** 63)
-    basis = cells.select("token").distinct().select("token", *[
-        (F.xxhash64("token", F.lit(seed * width + i)) / F.lit(half)).alias(n)
-        for i, n in enumerate(names)])
+    basis = cells.select("token").distinct().selectExpr("token", *[
+        f"xxhash64(token, {seed * width + i}) / {half}D AS {n}" for i, n in enumerate(names)])
     cols, settled = names, None
     for step in range(iterations):
         image = settle(multiply("token", multiply("id", basis, "token", cols), "id", cols))
@@ -89,14 +88,12 @@ def truncated_svd(cells: DataFrame, documents: DataFrame, k: int, prefix: str,
     if found:
         rotated = _rotate(projected, "id", cols, vectors[:, :len(found)], found)
         # The sign of each column comes from its largest score (smallest id first).
-        leads = rotated.agg(*[F.max_by(c, F.struct(F.abs(F.col(c)), -F.col("id"))).alias(c)
-                              for c in found]).first()
-        rotated = rotated.select("id", *[(F.col(c) * F.lit(-1.0 if leads[c] < 0 else 1.0)).alias(c)
-                                         for c in found])
+        leads = rotated.agg(*[F.expr(f"max_by({c}, struct(abs({c}), -id))").alias(c) for c in found]).first()
+        rotated = rotated.selectExpr("id", *[f"-{c} AS {c}" if leads[c] < 0 else c for c in found])
     else:
         rotated = projected.select("id")
-    return documents.join(rotated, "id", "left").select("id", *[
-        (F.coalesce(F.col(c), F.lit(0.0)) if c in found else F.lit(0.0)).alias(c) for c in scores])
+    return documents.join(rotated, "id", "left").selectExpr("id", *[
+        f"coalesce({c}, 0D) AS {c}" if c in found else f"0D AS {c}" for c in scores])
 
 
 def svd_features(pings: DataFrame, corpus: str, k: int, blocks, iterations: int = 20,
@@ -146,7 +143,5 @@ def word2vec_means(pings: DataFrame, size: int = 30, window: int = 5, iterations
 
 def mean_vectors(counts: DataFrame, vectors: DataFrame, size: int, prefix: str) -> DataFrame:
     """Mean of the token vectors (token, v) of each track, weighted by the token counts."""
-    total = F.sum("n")
     return (counts.join(vectors, "token").groupBy("id")
-            .agg(*[(F.sum(F.col("n") * F.get("v", F.lit(i))) / total).alias(f"{prefix}_{i}_mean")
-                   for i in range(size)]))
+            .agg(*[F.expr(f"sum(n * v[{i}]) / sum(n)").alias(f"{prefix}_{i}_mean") for i in range(size)]))
