@@ -100,21 +100,12 @@ def stat_block(pings: DataFrame, stats, key: str = "id", limit: int = MAX_GROUP_
         _spread(large.only(pings), stats, key, large.limit))
 
 
-def interpolate(low, high, share) -> Column:
-    """Between two neighbouring order statistics; equal ones (also infinities) stay as they are."""
-    return F.when(low == high, low).otherwise(low * (F.lit(1.0) - share) + high * share)
-
-
 def _quantiles(values: str, qs) -> Column:
     """The quantiles of a sorted array column, as an array."""
-    v = F.col(values)
-    last = (F.size(v) - 1).cast("double")
-
-    def at_position(at):
-        low, high = F.floor(at).cast("int"), F.ceil(at).cast("int")
-        return interpolate(F.get(v, low), F.get(v, high), at - low.cast("double"))
-
-    return F.transform(F.array(*[F.lit(q) for q in qs]), lambda q: at_position(q * last))
+    low, high = (f"get({values}, CAST({f}(at) AS INT))" for f in ("floor", "ceil"))
+    places = f"transform(array({', '.join(f'{q}D' for q in qs)}), q -> q * (size({values}) - 1))"
+    return F.expr(f"""transform({places}, at -> CASE WHEN {low} = {high} THEN {low}
+        ELSE {low} * (1D - (at - floor(at))) + {high} * (at - floor(at)) END)""")
 
 
 def _fused(pings: DataFrame, stats, key: str) -> DataFrame:
@@ -198,11 +189,9 @@ def _spread(pings: DataFrame, stats, key: str, limit: int) -> DataFrame:
         aggs += [F.max(F.when(covers(low), F.col("value"))).alias(f"_lo{i}"),
                  F.max(F.when(covers(F.ceil(at)), F.col("value"))).alias(f"_hi{i}"),
                  F.max(F.when(here, at - low.cast("double"))).alias(f"_w{i}")]
-        picks.append((s.out, interpolate(*(F.col(f"_{part}{i}") for part in ("lo", "hi", "w")))))
-    ranked = placed.groupBy(key).agg(*aggs)
-    for name, value in picks:
-        ranked = ranked.withColumn(name, value)
-    joined = base.join(ranked, key, "left")
+        picks.append(f"CASE WHEN _lo{i} = _hi{i} THEN _lo{i} ELSE _lo{i} * (1D - _w{i}) + _hi{i} * _w{i} END "
+                     f"AS `{s.out}`")
+    joined = base.join(placed.groupBy(key).agg(*aggs).selectExpr("*", *picks), key, "left")
     outs = []
     for s in stats:
         c = F.col(s.out)

@@ -15,6 +15,9 @@ FILE_COLUMNS = {"渔船ID": "bigint", "lat": "double", "lon": "double", "速度"
                 "方向": "int", "time": "string", "type": "string"}
 
 
+EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, value double, props string"
+
+
 def _file_schema(labelled: bool) -> str:
     names = list(FILE_COLUMNS)[: None if labelled else -1]
     return ", ".join(f"`{n}` {FILE_COLUMNS[n]}" for n in names)
@@ -81,12 +84,12 @@ def unlabelled(df: DataFrame) -> DataFrame:
 
 def from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The `events` table read as pings: dyadic positions and speeds, every fourth user unlabelled."""
-    e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    e = spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
     eighth = lambda factor, base: (
         F.pmod(F.col("event_id") * factor, F.lit(100)).cast("double") / F.lit(8.0) + F.lit(base))
     return e.select(
         F.col("user_id").alias("id"), F.col("event_id").alias("seq"),
-        F.col("ts").cast("timestamp_ntz").alias("ts"),
+        "ts",
         eighth(37, 25.0).alias("lat"), eighth(91, 108.0).alias("lon"),
         (F.floor("value").cast("double") / F.lit(4.0)).alias("speed"),
         (F.get_json_object("props", "$.k").cast("int") * 7 % 360).alias("direction"),
