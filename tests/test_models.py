@@ -84,19 +84,24 @@ def test_cross_validation(pings):
     assert metrics.top_features(fitted.importance, 5).count() == 5
 
 
-def test_early_trees_match_the_full_model(pings):
+def test_shorter_grid_entry_wins_ties(pings):
     from wakeline.operators import stats
     table = stats.stat_block(pings, stats.decile_stats(["lat", "speed"])).join(tracks.track_labels(pings), "id")
-    ready = model.assemble(table, model.feature_columns(table), ["id", "type"])
-    params = model.TreeParams(rounds=2, step=0.2, depth=2, features=1.0, sample=1.0, min_rows=1)
-    models = model.fit_rest(tracks.labelled(ready), params)
-    full = model.score_rest(models, ready).orderBy("id").toPandas()
-
-    class Longer:  # the same trees, said to be a prefix of a longer model
-        def __init__(self, m):
-            self.trees, self.treeWeights = list(m.trees) + [None], list(m.treeWeights) + [0.0]
-    staged = model.score_rest([Longer(m) for m in models], ready, rounds=2).orderBy("id").toPandas()
-    np.testing.assert_allclose(full[list(metrics.PROBABILITIES)], staged[list(metrics.PROBABILITIES)], atol=1e-12)
+    ready = tracks.labelled(model.assemble(table, model.feature_columns(table), ["id", "type"]))
+    marked = ready.withColumn("_held", F.col("id") % 3 == 0)
+    params = model.TreeParams(rounds=9, step=0.2, depth=1, features=1.0, sample=1.0, min_rows=1, grid=(1, 1))
+    models = model.fit_best(marked, marked.filter("_held"), params, "_held")
+    assert [len(m.trees) for m in models] == [1, 1, 1]
+
+
+def test_categorical_column_is_split_by_category(spark):
+    rows = [(i, S.CLASSES[i % 3], float(i % 2), "xyz"[i % 3] if i % 11 else None) for i in range(120)]
+    table = spark.createDataFrame(rows, "id bigint, type string, noise double, kind string")
+    ready = model.assemble(table, ["noise", "kind"], ["id", "type"], ["kind"])
+    params = model.TreeParams(rounds=2, step=0.5, depth=2, features=1.0, sample=1.0, min_rows=1)
+    scored = metrics.with_prediction(model.score_rest(model.fit_rest(ready, params), ready))
+    assert scored.filter("id % 11 <> 0 and predicted <> type").count() == 0
+    assert "kind" in str(ready.schema["x"].metadata)
 
 
 def write_vessels(pings, folder, labelled):

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -19,7 +19,7 @@ MISSING, HUGE = -1e18, 1e17
 
 @dataclass(frozen=True)
 class TreeParams:
-    """Boosting settings: `rounds` at most, chosen from `grid` by validation macro F1."""
+    """Boosting settings. `grid` lists round counts to choose from by held-out macro F1."""
 
     rounds: int
     step: float
@@ -72,8 +72,20 @@ def drop_by_substring(table: DataFrame, parts) -> DataFrame:
     return table.drop(*[c for c in table.columns if any(p in c for p in parts)])
 
 
-def assemble(table: DataFrame, columns, keep) -> DataFrame:
-    """(keep..., x): one vector column; missing and infinite values get stand-ins."""
+def assemble(table: DataFrame, columns, keep, categorical=()) -> DataFrame:
+    """(keep..., x): one vector column; missing and infinite values get stand-ins.
+
+    The trees split `categorical` columns by category, missing being one of them.
+    """
+    if categorical:
+        names = list(categorical)
+        indexed = [f"_index_{c}" for c in names]
+        table = (StringIndexer(inputCols=names, outputCols=indexed, handleInvalid="keep")
+                 .fit(table).transform(table))
+        numbers = [c for c in columns if c not in names]
+        rest = assemble(table, numbers, [*keep, *indexed])
+        joined = VectorAssembler(inputCols=["x", *indexed], outputCol="_all").transform(rest)
+        return joined.select(*keep, "_all").withColumnRenamed("_all", "x")
     def real(c):
         v = F.col(f"`{c}`").cast("double")
         return (F.when(v.isNull() | F.isnan(v), F.lit(MISSING)).when(v > HUGE, F.lit(HUGE))
@@ -103,34 +115,33 @@ def _normalised(df: DataFrame) -> DataFrame:
         .drop(*[f"_{p}" for p in PROBABILITIES])
 
 
-def score_rest(models, table: DataFrame, rounds: int | None = None) -> DataFrame:
-    """Class probabilities scaled to sum 1; `rounds` uses only the first trees."""
+def score_rest(models, table: DataFrame) -> DataFrame:
+    """Class probabilities of the (x) rows, scaled to sum 1."""
     keep = [c for c in table.columns if c != "x"]
     out = table
-    for p, model in zip(PROBABILITIES, models):
-        if rounds is None or rounds >= len(model.trees):
-            scored = model.transform(out).withColumn(f"_{p}", F.get(vector_to_array("probability"), F.lit(1)))
-            out = scored.drop("rawPrediction", "probability", "prediction")
-            continue
-        margin = F.lit(0.0)
-        steps = []
-        for i, (tree, weight) in enumerate(zip(model.trees[:rounds], model.treeWeights[:rounds])):
-            step = f"_t{i}"
-            out = tree.setPredictionCol(step).setFeaturesCol("x").transform(out)
-            steps.append(step)
-            margin = margin + F.lit(float(weight)) * F.col(step)
-        out = out.withColumn(f"_{p}", F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(-2.0) * margin))).drop(*steps)
+    for p, m in zip(PROBABILITIES, models):
+        out = (m.transform(out).withColumn(f"_{p}", F.get(vector_to_array("probability"), F.lit(1)))
+               .drop("rawPrediction", "probability", "prediction"))
     return _normalised(out.select(*keep, *[f"_{p}" for p in PROBABILITIES]))
 
 
-def best_rounds(models, valid: DataFrame, grid) -> int | None:
-    """The round count of `grid` with the largest macro F1 on the held-out rows (first wins)."""
-    best, best_score = None, -1.0
-    for rounds in grid:
-        scored = with_prediction(score_rest(models, valid, rounds)).withColumn("label", F.col("type"))
-        value = macro_f1(scored).first()["macro_f1"]
-        if value is not None and value > best_score:
-            best, best_score = rounds, value
+def held_out_f1(models, valid: DataFrame) -> float:
+    scored = with_prediction(score_rest(models, valid)).withColumn("label", F.col("type"))
+    value = macro_f1(scored).first()["macro_f1"]
+    return -1.0 if value is None else value
+
+
+def fit_best(train: DataFrame, valid: DataFrame, params: TreeParams, held_out: str) -> list:
+    """The models with the round count of `params.grid` that gives the best macro F1 on the
+    held-out rows (the first on ties); without a grid the held-out loss stops the boosting."""
+    if not params.grid:
+        return fit_rest(train, params, held_out)
+    best, best_f1 = None, -2.0
+    for rounds in params.grid:
+        models = fit_rest(train, replace(params, rounds=rounds), held_out)
+        f1 = held_out_f1(models, valid)
+        if f1 > best_f1:
+            best, best_f1 = models, f1
     return best
 
 
@@ -142,23 +153,23 @@ class CrossValidated:
 
 
 def cross_validate(table: DataFrame, params: TreeParams, k: int = 5, seed: int = 1996,
-                   stratified: bool = False, drop=()) -> CrossValidated:
+                   stratified: bool = False, drop=(), categorical=()) -> CrossValidated:
     """Fit every fold on the others, score its held-out tracks and all unlabelled ones."""
     from wakeline.sources.tracks import labelled, unlabelled
     table = drop_by_substring(table, drop)
-    columns = feature_columns(table)
-    ready = assemble(table, columns, ["id", "type"]).persist()
+    columns = [c for c in feature_columns(table) if c not in categorical]
+    ready = assemble(table, [*columns, *categorical], ["id", "type"], categorical).persist()
+    columns += list(categorical)
     known = assign_folds(labelled(ready.select("id", "type")), k, seed, "type" if stratified else None)
     train = labelled(ready).join(known.select("id", "fold"), "id").persist()
     test = unlabelled(ready).select("id", "x")
     oof, scores, importance = [], [], []
     for f in range(k):
         marked = train.withColumn("_held", F.col("fold") == f)
-        models = fit_rest(marked, params, "_held")
         valid = train.filter(F.col("fold") == f)
-        rounds = best_rounds(models, valid, params.grid) if params.grid else None
-        oof.append(score_rest(models, valid, rounds))
-        scores.append(score_rest(models, test, rounds))
+        models = fit_best(marked, valid, params, "_held")
+        oof.append(score_rest(models, valid))
+        scores.append(score_rest(models, test))
         gains = sum(m.featureImportances.toArray() for m in models)
         importance += [(c, float(g), f) for c, g in zip(columns, gains)]
     stack = lambda parts: reduce(DataFrame.unionByName, parts)

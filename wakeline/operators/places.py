@@ -5,42 +5,57 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from wakeline.functions import scalars as S
-from wakeline.operators.skew import MAX_GROUP_ROWS
+from wakeline.operators.skew import MAX_GROUP_ROWS, find_large
 from wakeline.operators.stats import Stat, stat_block, value_counts, with_masks
 
 
-def mode_block(pings: DataFrame, modes, key: str = "id", profiles=()) -> DataFrame:
+def mode_block(pings: DataFrame, modes, key: str = "id", profiles=(),
+               limit: int = MAX_GROUP_ROWS, large="find") -> DataFrame:
     """Modes of several (column, mask) pairs: `modes` is a list of (out, column, mask, how).
 
-    how = 'mean' averages all tied modes, 'min' takes the smallest. Ties are
-    folded per frequency, so no track has to be ranked in one task. Each
-    column in `profiles` adds its frequency profile: largest, mean and
-    population deviation of how often a value occurs. Both read the same
-    value counts.
+    how = 'mean' averages all tied modes, 'min' takes the smallest. Each column
+    in `profiles` adds its frequency profile: largest, mean and population
+    deviation of how often a value occurs.
+
+    Tracks of at most `limit` pings are shuffled once, as plain rows, and
+    counted where they are. The values of larger tracks are counted before the
+    shuffle and spread by value, so that none has to be in one task.
     """
+    modes = list(modes)
+    if large == "find":
+        large = find_large(pings, [key], limit)
     pairs = list(dict.fromkeys([(c, m) for _, c, m, _ in modes] + [(c, None) for c in profiles]))
-    counts = value_counts(pings, pairs, key)
-    blocks = []
-    if modes:
-        folded = (counts.groupBy(key, "pair", "n")
-                  .agg(F.avg("value").alias("mean"), F.min("value").alias("min")))
-        aggs = []
+    needed = dict.fromkeys([key, *(c for c, _ in pairs), *(m for _, m in pairs if m)])
+
+    def build(rows):
+        # All values with the same frequency fold into one row: no ranking.
+        folded = (value_counts(rows, pairs, key).groupBy(key, "pair", "n")
+                  .agg(F.avg("value").alias("mean"), F.min("value").alias("min"),
+                       F.count(F.lit(1)).alias("vals")))
+        texts = []
         for out, c, m, how in modes:
-            here = F.col("pair") == pairs.index((c, m))
-            aggs.append(F.max_by(F.when(here, F.col(how)), F.when(here, F.col("n"))).alias(out))
-        blocks.append(folded.groupBy(key).agg(*aggs))
-    if profiles:
-        aggs = []
+            here = f"pair = {pairs.index((c, m))}"
+            texts.append(f"max_by(CASE WHEN {here} THEN {how} END, CASE WHEN {here} THEN n END) AS `{out}`")
         for c in profiles:
-            n = F.when(F.col("pair") == pairs.index((c, None)), F.col("n"))
-            aggs += [F.max(n).alias(f"{c}_freq_max"), F.avg(n).alias(f"{c}_freq_mean"),
-                     F.stddev_pop(n).alias(f"{c}_freq_std")]
-        blocks.append(counts.groupBy(key).agg(*aggs))
-    return blocks[0] if len(blocks) == 1 else blocks[0].join(blocks[1], key)
+            here = f"FILTER (WHERE pair = {pairs.index((c, None))})"
+            size, total = f"sum(vals) {here}", f"sum(n * vals) {here}"
+            # The sums of whole numbers are exact, so their difference is too.
+            dec = "CAST({} AS DECIMAL(12,0))".format
+            squares = f"sum({dec('vals')} * {dec('n')} * {dec('n')}) {here}"
+            spread = f"{dec(size)} * {squares} - {dec(total)} * {dec(total)}"
+            texts += [f"max(n) {here} AS `{c}_freq_max`", f"({total}) / ({size}) AS `{c}_freq_mean`",
+                      f"sqrt(CAST({spread} AS DOUBLE)) / ({size}) AS `{c}_freq_std`"]
+        return folded.groupBy(key).agg(*[F.expr(t) for t in texts])
+
+    rows = pings.select(*needed)
+    if large is None:
+        return build(rows.repartition(key))
+    return build(large.without(rows).repartition(key)).unionByName(build(large.only(rows)))
 
 
-def frequency_profile(pings: DataFrame, column: str = "lon", key: str = "id") -> DataFrame:
-    return mode_block(pings, [], key, [column])
+def frequency_profile(pings: DataFrame, column: str = "lon", key: str = "id",
+                      limit: int = MAX_GROUP_ROWS, large="find") -> DataFrame:
+    return mode_block(pings, [], key, [column], limit, large)
 
 
 def place_counts(pings: DataFrame) -> DataFrame:
@@ -134,5 +149,7 @@ def with_spreads(block: DataFrame) -> DataFrame:
 def whole_track_profile(pings: DataFrame, limit: int = MAX_GROUP_ROWS, large="find") -> DataFrame:
     """47 statistics of a whole track: modes, quantiles, spreads, frequency profile, aspect."""
     p = with_masks(pings)
+    if large == "find":
+        large = find_large(pings, ["id"], limit)
     return (with_spreads(stat_block(p, whole_track_stats(), limit=limit, large=large))
-            .join(mode_block(p, WHOLE_TRACK_MODES, profiles=["lon"]), "id", "left"))
+            .join(mode_block(p, WHOLE_TRACK_MODES, profiles=["lon"], large=large), "id", "left"))

@@ -356,6 +356,13 @@ def _(p):
         ("dis_mode", "dis", None, "mean")])
 
 
+@query("mode_mean_split", ORACLES["mode_mean"])
+def _(p):
+    return places.mode_block(stats.with_masks(p), [
+        ("lat_mode", "lat", None, "mean"), ("stopped_lon_mode", "lon", "stopped", "mean"),
+        ("dis_mode", "dis", None, "mean")], limit=50)
+
+
 @query("mode_smallest", O.with_() + O.modes("speed", "min", "tracks", "speed<>0"))
 def _(p):
     return places.mode_block(stats.with_masks(p), [("m", "speed", "nonzero", "min")])
@@ -625,9 +632,10 @@ m as ({O.modes('lat', 'avg', 'masked')}), t as ({_top_sql()})
 select base.*, round(m.m,6) as lat_mode, t.* exclude (id) from base left join m on m.id=base.id left join t on t.id=base.id""")
 def track_profile(p):
     """Statistics of all and of the stopped pings, the mode, and the top places of each track."""
+    large = find_large(p, ["id"])
     block = stats.stat_block(stats.with_masks(p), stats.wide_stats(["lat", "lon", "speed"])
-                             + stats.wide_stats(["lat", "lon"], "stopped", "stopped_"))
-    return (block.join(places.mode_block(p, [("lat_mode", "lat", None, "mean")]), "id", "left")
+                             + stats.wide_stats(["lat", "lon"], "stopped", "stopped_"), large=large)
+    return (block.join(places.mode_block(p, [("lat_mode", "lat", None, "mean")], large=large), "id", "left")
             .join(places.top_places(p), "id", "left"))
 
 
@@ -643,6 +651,16 @@ def _(p):
     return factor.svd_features(p, "slow_geohash", 5, {"slow_count": "count"}, iterations=4)
 
 
+@query("svd_row_energy", O.with_("source as (select * from tracks)") + f""",
+words as ({O.words('cast(lat as varchar)')}),
+counts as (select id, token, count(*) as n from words group by id, token)
+select id, cast(sum(n*n) as double) as energy from counts group by id""")
+def _(p):
+    """With as many directions as tokens the scores keep every row's squared length."""
+    scores = factor.svd_features(p, "lat", 24, {"lat": "count"}, iterations=2)
+    return scores.select("id", F.expr(" + ".join(f"lat_{i} * lat_{i}" for i in range(24))).alias("energy"))
+
+
 @query("word2vec_mean")
 def _(p):
     return factor.word2vec_means(p, size=30, iterations=2)
@@ -657,6 +675,16 @@ def _small_model(p):
     return model.cross_validate(settle(table.join(tracks.track_labels(p), "id")), _SMALL_TREES, k=2)
 
 
+@query("oof_coverage", O.with_(_KNOWN) + f"select id, type, {O.folds(2, 1996)} as fold, "
+       "cast(1 as double) as total from known")
+def _(p):
+    """Every labelled track is scored once, by the models that have not seen it."""
+    table = stats.stat_block(p, [Stat("lat_mean", "lat", "mean"), Stat("speed_median", "speed", "q", 0.5)])
+    tiny = model.TreeParams(rounds=1, step=0.1, depth=1, features=1.0, sample=1.0, min_rows=1)
+    oof = model.cross_validate(settle(table.join(tracks.track_labels(p), "id")), tiny, k=2).oof
+    return oof.select("id", "type", "fold", (F.col("p_trawl") + F.col("p_gill") + F.col("p_seine")).alias("total"))
+
+
 @query("ovr_gbt_oof")
 def _(p):
     return _small_model(p).oof

@@ -82,7 +82,8 @@ def features_c(pings: DataFrame, k: int = 30, iterations: int = 20, order=("seq"
         track_labels(pings),
         places.with_spreads(block)
         .withColumn("stopped_share", S.safe_ratio("stopped_count", "cnt")).drop("cnt"),
-        places.mode_block(masked, places.WHOLE_TRACK_MODES + places.STOPPED_MODES, profiles=["lon"]),
+        places.mode_block(masked, places.WHOLE_TRACK_MODES + places.STOPPED_MODES, profiles=["lon"],
+                          limit=limit, large=large),
         moves.drop("slope_mean"), places.top_places(pings), stats.speed_bin_pivot(pings),
         svd("place", {"svd_place": "tfidf"}), svd("geohash", {"geohash_count": "count"}))
 
