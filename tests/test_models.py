@@ -38,6 +38,11 @@ def test_svd_matches_numpy(matrix):
     np.testing.assert_allclose(got.to_numpy(), want, atol=1e-5)
 
 
+def test_svd_of_nothing(spark):
+    cells = spark.createDataFrame([], "id bigint, token string, weight double")
+    assert [tuple(r) for r in factor.truncated_svd(cells, spark.range(1, 2), 2, "v").collect()] == [(1, 0.0, 0.0)]
+
+
 def test_svd_beyond_the_rank_scores_zero(spark):
     cells = spark.createDataFrame([(1, "aa", 3.0), (2, "bb", 4.0)], "id bigint, token string, weight double")
     rows = factor.truncated_svd(cells, spark.range(1, 4), 4, "v").orderBy("id").collect()
@@ -51,6 +56,20 @@ def test_word2vec_mean_is_weighted(pings):
     assert all(len(r) == 5 and all(v is not None for v in r) for r in rows)
 
 
+def test_vectors_of_a_large_vocabulary(pings):
+    rows = factor.word2vec_means(pings, size=4, iterations=2, max_floats=0).collect()
+    assert len(rows) == pings.select("id").distinct().count()
+    assert all(v is not None for r in rows for v in r)
+
+
+def test_context_weights_by_hand(spark):
+    """aa bb aa cc with window 1: pairs ab 2, ac 1, each counted both ways."""
+    sentence = spark.createDataFrame([(1, 0, ["aa", "bb", "aa", "cc"])], "id bigint, part bigint, tokens array<string>")
+    got = {(r["token"], r["context"]): r["weight"] for r in factor.context_weights(sentence, 1, 1).collect()}
+    assert set(got) == {("aa", "bb"), ("bb", "aa"), ("aa", "cc"), ("cc", "aa")}
+    assert all(v == pytest.approx(np.log(2)) for v in got.values())
+
+
 def test_mean_vectors(spark):
     counts = spark.createDataFrame([(1, "aa", 3), (1, "bb", 1), (2, "bb", 2)], "id bigint, token string, n bigint")
     vectors = spark.createDataFrame([("aa", [1.0, 0.0]), ("bb", [5.0, 8.0])], "token string, v array<double>")

@@ -9,11 +9,12 @@ from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame, functions as F
 
+from wakeline.functions import scalars as S
 from wakeline.operators import text
 from wakeline.operators.skew import MAX_GROUP_ROWS, find_large, settle
 
-# Word2Vec keeps vocabulary x size floats on the driver; 200 million are 800 MB.
-MAX_WORD2VEC_FLOATS = 200_000_000
+# MLlib's Word2Vec keeps vocabulary x size floats on the driver; 100 million are 400 MB.
+MAX_WORD2VEC_FLOATS = 100_000_000
 
 
 def _gram(df: DataFrame, cols) -> np.ndarray:
@@ -63,6 +64,8 @@ def truncated_svd(cells: DataFrame, documents: DataFrame, k: int, prefix: str,
         joined = cells.join(vectors, by)
         return joined.groupBy(key).agg(*[F.expr(f"sum(weight * {c})").alias(c) for c in cols])
 
+    if cells.isEmpty():
+        return documents.selectExpr("id", *[f"0D AS {prefix}_{i}" for i in range(k)])
     half = float(2 ** 63)
     basis = cells.select("token").distinct().selectExpr("token", *[
         f"xxhash64(token, {seed * width + i}) / {half}D AS {n}" for i, n in enumerate(names)])
@@ -88,7 +91,7 @@ def truncated_svd(cells: DataFrame, documents: DataFrame, k: int, prefix: str,
     if found:
         rotated = _rotate(projected, "id", cols, vectors[:, :len(found)], found)
         # The sign of each column comes from its largest score (smallest id first).
-        leads = rotated.agg(*[F.expr(f"max_by({c}, struct(abs({c}), -id))").alias(c) for c in found]).first()
+        leads = rotated.agg(*[F.expr(f"min_by({c}, struct(-abs({c}), id))").alias(c) for c in found]).first()
         rotated = rotated.selectExpr("id", *[f"-{c} AS {c}" if leads[c] < 0 else c for c in found])
     else:
         rotated = projected.select("id")
@@ -123,24 +126,55 @@ def svd_features(pings: DataFrame, corpus: str, k: int, blocks, iterations: int
 
 def word2vec_means(pings: DataFrame, size: int = 30, window: int = 5, iterations: int = 10,
                    seed: int = 1, partitions: int | None = None, prefix: str = "w2v",
-                   limit: int = MAX_GROUP_ROWS) -> DataFrame:
-    """Mean Word2Vec vector of each track's geohash cells, repeated cells counted each time."""
-    from wakeline.functions import scalars as S
+                   limit: int = MAX_GROUP_ROWS, max_floats: int = MAX_WORD2VEC_FLOATS) -> DataFrame:
+    """Mean word vector of each track's geohash cells, repeated cells counted each time.
 
+    The vectors come from MLlib's skip-gram while its vocabulary fits the
+    driver. A larger vocabulary takes the distributed way: skip-gram
+    implicitly factorises the pointwise mutual information of cell and
+    context, so that table is built and factorised directly.
+    """
     words = pings.select("id", "ts", "seq", S.geohash(precision=7).alias("text"))
     sentences = settle(text.token_documents(words, limit=limit))
     counts = text.token_counts(words)
-    cells = counts.select("token").distinct().count()
-    if cells * size > MAX_WORD2VEC_FLOATS:
-        raise ValueError(f"{cells} cells x {size} do not fit the Word2Vec trainer; use coarser cells")
-    parts = partitions or pings.sparkSession.sparkContext.defaultParallelism
-    model = Word2Vec(vectorSize=size, windowSize=window, minCount=1, maxIter=iterations, seed=seed,
-                     numPartitions=parts, maxSentenceLength=1000, inputCol="tokens",
-                     outputCol="v").fit(sentences)
-    vectors = model.getVectors().select(F.col("word").alias("token"), vector_to_array("vector").alias("v"))
+    if counts.select("token").distinct().count() * size <= max_floats:
+        parts = partitions or pings.sparkSession.sparkContext.defaultParallelism
+        model = Word2Vec(vectorSize=size, windowSize=window, minCount=1, maxIter=iterations, seed=seed,
+                         numPartitions=parts, maxSentenceLength=1000, inputCol="tokens",
+                         outputCol="v").fit(sentences)
+        vectors = model.getVectors().select(F.col("word").alias("token"), vector_to_array("vector").alias("v"))
+    else:
+        weights = context_weights(sentences, window)
+        scores = truncated_svd(weights.selectExpr("token AS id", "context AS token", "weight"),
+                               sentences.selectExpr("explode(tokens) AS id").distinct(),
+                               size, "v", iterations, seed=seed)
+        vectors = scores.select(F.col("id").alias("token"), F.array(*[f"v_{i}" for i in range(size)]).alias("v"))
     return mean_vectors(counts, vectors, size, prefix)
 
 
+def context_weights(sentences: DataFrame, window: int = 5, shift: float = 1.0) -> DataFrame:
+    """(token, context, weight): positive pointwise mutual information, less log(shift).
+
+    A context is a token at most `window` places away in the same sentence.
+    """
+    pairs = ", ".join(
+        f"zip_with(slice(tokens, 1, greatest(size(tokens) - {d}, 0)), "
+        f"slice(tokens, {d + 1}, greatest(size(tokens) - {d}, 0)), (a, b) -> struct(a, b))"
+        for d in range(1, window + 1))
+    ahead = (sentences.selectExpr(f"inline(flatten(array({pairs}))) AS (token, context)")
+             .groupBy("token", "context").agg(F.count(F.lit(1)).alias("n")))
+    both = settle(ahead.unionByName(ahead.selectExpr("context AS token", "token AS context", "n"))
+                  .groupBy("token", "context").agg(F.sum("n").alias("n")))
+    totals = both.groupBy("token").agg(F.sum("n").alias("total"))
+    everything = both.agg(F.sum("n")).scalar()
+    ratio = (F.col("n").cast("double") * everything.cast("double")
+             / (F.col("total").cast("double") * F.col("context_total").cast("double")))
+    return (both.join(totals, "token")
+            .join(totals.withColumnsRenamed({"token": "context", "total": "context_total"}), "context")
+            .select("token", "context", (F.log(ratio) - F.log(F.lit(float(shift)))).alias("weight"))
+            .filter("weight > 0"))
+
+
 def mean_vectors(counts: DataFrame, vectors: DataFrame, size: int, prefix: str) -> DataFrame:
     """Mean of the token vectors (token, v) of each track, weighted by the token counts."""
     return (counts.join(vectors, "token").groupBy("id")

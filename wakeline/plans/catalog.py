@@ -675,6 +675,26 @@ def _small_model(p):
     return model.cross_validate(settle(table.join(tracks.track_labels(p), "id")), _SMALL_TREES, k=2)
 
 
+@query("word2vec_mean_spread")
+def _(p):
+    """The way of a vocabulary too large for the driver."""
+    return factor.word2vec_means(p, size=8, iterations=3, max_floats=0)
+
+
+@query("context_weights", O.with_(O.CELLS) + """,
+placed as (select id, geohash7, row_number() over (partition by id order by ts, seq)-1 as k from celled),
+pairs as (select a.geohash7 as token, b.geohash7 as context, count(*) as n from placed a join placed b
+  on a.id=b.id and a.k // 20 = b.k // 20 and a.k<>b.k and abs(a.k-b.k)<=5 group by a.geohash7, b.geohash7),
+totals as (select token, sum(n) as total from pairs group by token),
+weighed as (select p.token, p.context, ln(cast(n as double)*(select cast(sum(n) as double) from pairs)
+  /(cast(t.total as double)*cast(c.total as double)))-ln(cast(2 as double)) as w
+  from pairs p join totals t on t.token=p.token join totals c on c.token=p.context)
+select token, context, round(w,6) as weight from weighed where w>0""")
+def _(p):
+    words = p.select("id", "ts", "seq", S.geohash(precision=7).alias("text"))
+    return factor.context_weights(text.token_documents(words, chunk=20), shift=2.0)
+
+
 @query("oof_coverage", O.with_(_KNOWN) + f"select id, type, {O.folds(2, 1996)} as fold, "
        "cast(1 as double) as total from known")
 def _(p):
