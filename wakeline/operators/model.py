@@ -154,11 +154,15 @@ class CrossValidated:
 
 def cross_validate(table: DataFrame, params: TreeParams, k: int = 5, seed: int = 1996,
                    stratified: bool = False, drop=(), categorical=()) -> CrossValidated:
-    """Fit every fold on the others, score its held-out tracks and all unlabelled ones."""
+    """Fit every fold on the others, score its held-out tracks and all unlabelled ones.
+
+    The labelled vectors are cached, as every tree level reads them; `table`
+    should be a written table, since the unlabelled rows are read once per fold.
+    """
     from wakeline.sources.tracks import labelled, unlabelled
     table = drop_by_substring(table, drop)
     columns = [c for c in feature_columns(table) if c not in categorical]
-    ready = assemble(table, [*columns, *categorical], ["id", "type"], categorical).persist()
+    ready = assemble(table, [*columns, *categorical], ["id", "type"], categorical)
     columns += list(categorical)
     known = assign_folds(labelled(ready.select("id", "type")), k, seed, "type" if stratified else None)
     train = labelled(ready).join(known.select("id", "fold"), "id").persist()

@@ -45,6 +45,11 @@ def settle(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Set by with_neighbours on both of its parts, as a constant: a filter on it
+# lets Spark drop the other part instead of computing it and joining.
+TAG = "_large"
+
+
 @dataclass(frozen=True)
 class LargeGroups:
     """Keys of the groups above the limit, and how many rows they hold together."""
@@ -55,9 +60,13 @@ class LargeGroups:
     limit: int
 
     def only(self, df: DataFrame) -> DataFrame:
+        if TAG in df.columns:
+            return df.filter(F.col(TAG))
         return df.join(F.broadcast(self.table), list(self.keys), "left_semi")
 
     def without(self, df: DataFrame) -> DataFrame:
+        if TAG in df.columns:
+            return df.filter(~F.col(TAG))
         return df.join(F.broadcast(self.table), list(self.keys), "left_anti")
 
 
@@ -126,7 +135,8 @@ def with_neighbours(df: DataFrame, columns, order=("ts", "seq"), key: str = "id"
     """Adds `prev` and `next`: structs of `columns` from the adjacent pings of the track.
 
     The struct itself is NULL at the ends of a track. One exchange on the key
-    serves both sides; large tracks pass block edges instead.
+    serves both sides; large tracks pass block edges instead, and then a
+    column `_large` tells the two kinds apart.
     """
     if large == "find":
         large = find_large(df, [key], limit)
@@ -148,5 +158,5 @@ def with_neighbours(df: DataFrame, columns, order=("ts", "seq"), key: str = "id"
     stitched = (windowed(blocks, key, "block").join(edges, [key, "block"])
                 .withColumn("prev", F.coalesce("prev", "edge_prev"))
                 .withColumn("next", F.coalesce("next", "edge_next")))
-    return windowed(large.without(df), key).unionByName(
-        stitched.select(*df.columns, "prev", "next"))
+    return (windowed(large.without(df), key).withColumn(TAG, F.lit(False)).unionByName(
+        stitched.select(*df.columns, "prev", "next", F.lit(True).alias(TAG))))
