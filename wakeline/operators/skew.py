@@ -22,7 +22,7 @@ MAX_GROUP_ROWS = 500_000
 # that it never has more rows than this (some 10 MB).
 MAX_LARGE_GROUPS = 1_000_000
 # Blocks below this size would cost more in tasks than they save.
-MIN_BLOCK_ROWS = 1_000
+MIN_BLOCK_ROWS = 10_000
 
 
 def shared_folder(spark: SparkSession) -> str:
