@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from wakeline.functions import scalars as S
 from wakeline.operators import factor, motion, places, stats
