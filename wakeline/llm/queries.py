@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, functions as F
 
-from wakeline.llm import mixing, quality, sharding
+from wakeline.llm import decontaminate, langid, linededup, mixing, neardup, quality, sharding, tokenio
+from wakeline.operators.skew import shared_folder
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -20,6 +23,19 @@ def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op2_benchmark_tiling(spark, sf_dir):
+    """The benchmark items that documents hold, with the tiles that show it."""
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op3_line_dedup(spark, sf_dir):
+    """Every document's lines, how many of them go, and a digest of the text that stays."""
+    cleaned = linededup.dedup(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 @query
 def op4_quality_rules(spark, sf_dir):
     """Base counts and the verdict of every document."""
@@ -35,6 +51,29 @@ def op5_mix_sources(spark, sf_dir):
                         F.col("_target").alias("target"), (F.col("_size") * F.col("_times")).alias("taken"))
 
 
+@query
+def op7_piece_language(spark, sf_dir):
+    """Every document's language, learned from those whose id falls in other folds than the third of four."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 4 == 2
+    model = langid.learn(docs, held_out, langid.read_pieces())
+    return langid.identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op8_minhash_components(spark, sf_dir):
+    """Every document's component of near-duplicates."""
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_token_blocks(spark, sf_dir):
+    """Every document's place, length and checksum in the token table written of all documents."""
+    folder = f"{shared_folder(spark)}/wakeline-tokens-{uuid.uuid4().hex}"
+    tokenio.write_tokens(table(spark, sf_dir, "documents"), folder)
+    return tokenio.token_index(spark, folder)
+
+
 @query
 def op10_jump_shards(spark, sf_dir):
     """Every document's shard, its place there, and its shard if there were one more."""
