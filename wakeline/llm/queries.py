@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, functions as F
 
-from wakeline.llm import decontaminate, langid, linededup, mixing, neardup, quality, sharding, tokenio
+from wakeline.llm import decontaminate, langid, licenses, linededup, mixing, neardup, quality, sharding, tokenio, urlfilter
 from wakeline.operators.skew import shared_folder
 
 QUERIES: dict = {}
@@ -23,6 +23,16 @@ def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_licence_sentences(spark, sf_dir):
+    """The licences of every document, by its known sentences."""
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "_licence.*")
+
+
+ORACLES["op1_licence_sentences"] = licenses.oracle()
+
+
 @query
 def op2_benchmark_tiling(spark, sf_dir):
     """The benchmark items that documents hold, with the tiles that show it."""
@@ -51,6 +61,62 @@ def op5_mix_sources(spark, sf_dir):
                         F.col("_target").alias("target"), (F.col("_size") * F.col("_times")).alias("taken"))
 
 
+def fetched_pages(spark, sf_dir) -> DataFrame:
+    """The pages with a fetch date made from their number, as the table has none."""
+    return table(spark, sf_dir, "pages").select("page_id", "url", F.expr(
+        "date_add(date'2023-01-01', cast(pmod(page_id * 37, 1461) as int))").alias("fetched"))
+
+
+def list_entries(pages: DataFrame) -> DataFrame:
+    """A dated list made from the pages' own hosts, domains and addresses.
+
+    The digits of a key's md5 say whether and when it is added, removed and
+    added again.
+    """
+    keys = pages.select(F.explode(urlfilter.lookup_keys(F.col("url"))).alias("key")).distinct().withColumn("h", F.md5("key"))
+    digits = "cast(conv(substr(h, {}, {}), 16, 10) as int)"
+    start = f"date_add(date'2022-06-01', {digits.format(2, 3)} % 1200)"
+    return keys.filter("substr(h, 1, 1) < '6'").selectExpr("key", f"""explode(array(
+        struct({start} as date, 'add' as action),
+        struct(date_add({start}, {digits.format(5, 2)}) as date, 'remove' as action),
+        struct(date_add({start}, {digits.format(5, 2)} + {digits.format(7, 2)}) as date, 'add' as action))) as e""").selectExpr(
+            "key", "e.date", "e.action")
+
+
+@query
+def op6_temporal_list(spark, sf_dir):
+    """Every page, and the list entry that was active for it when it was fetched."""
+    pages = fetched_pages(spark, sf_dir)
+    judged = urlfilter.judge(pages, list_entries(pages))
+    return judged.select("page_id", "url", "fetched", F.col("_verdict.key").isNotNull().alias("blocked"),
+                         F.col("_verdict.key").alias("entry"), F.col("_verdict.since").alias("listed_since"))
+
+
+HOST = r"regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]*[^/:?#.])', 1)"
+PATH = r"regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1)"
+ORACLES["op6_temporal_list"] = f"""with captures as (
+  select page_id, url, cast(date '2023-01-01' + cast(((page_id * 37 % 1461) + 1461) % 1461 as integer) as date) as fetched from pages),
+hosts as (select distinct url, {HOST} as host, {PATH} as path from captures where url is not null),
+labels as (select url, host, path, string_split(host, '.') as l from hosts where host <> ''),
+keys as (select url, array_to_string(l[i:], '.') as key, len(l) - i as rank
+    from (select *, unnest(range(1, greatest(len(l) - 1, 1) + 1)) as i from labels)
+  union all select url, host || case when path = '' then '/' else path end, 1000 from labels),
+hashed as (select distinct key, md5(key) as h from keys),
+dated as (select key, cast('0x' || substr(h, 2, 3) as integer) % 1200 as a, cast('0x' || substr(h, 5, 2) as integer) as b,
+  cast('0x' || substr(h, 7, 2) as integer) as c from hashed where substr(h, 1, 1) < '6'),
+entries as (select key, date '2022-06-01' + a as date, 'add' as action from dated
+  union all select key, date '2022-06-01' + a + b, 'remove' from dated
+  union all select key, date '2022-06-01' + a + b + c, 'add' from dated),
+daily as (select key, date, max(action) as action from entries group by all),
+spans as (select key, date as since, lead(date) over (partition by key order by date) as until, action from daily),
+best as (select c.url, c.fetched, max_by({{'key': s.key, 'since': s.since}}, k.rank) as v
+  from (select distinct url, fetched from captures) c join keys k on c.url = k.url
+  join spans s on s.key = k.key and s.action = 'add' and s.since <= c.fetched and (s.until is null or s.until > c.fetched)
+  group by c.url, c.fetched)
+select c.page_id, c.url, c.fetched, v is not null as blocked, v.key as entry, v.since as listed_since
+from captures c left join best b on c.url = b.url and c.fetched = b.fetched"""
+
+
 @query
 def op7_piece_language(spark, sf_dir):
     """Every document's language, learned from those whose id falls in other folds than the third of four."""
