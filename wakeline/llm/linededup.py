@@ -26,19 +26,26 @@ MIN_CHARS, MIN_DOCS = 40, 5
 # few per cent, and more lines only mean more suspects.
 FILTER_BITS = 1 << 27
 SEGMENT_BITS = 1 << 20
-_LOWER = str.maketrans({c: chr(c + 32) for c in range(65, 91)})
 # Stands for a null id: such rows count as one document, smaller than all others.
 NO_ID = -(1 << 63)
 
 
-def line_key(line: str) -> str:
-    """What lines are compared by: blanks stripped at both ends, A to Z lower-cased."""
-    return line.strip(BLANKS).translate(_LOWER)
+def line_key(line: bytes) -> bytes:
+    """What lines are compared by: blanks stripped at both ends, A to Z lower-cased; in UTF-8."""
+    return line.strip(BLANKS.encode()).lower()
 
 
-def _bits(keys: list[str], bits: int) -> np.ndarray:
-    """Two bit positions of each key, as rows."""
-    h = np.fromiter((xxhash.xxh3_64_intdigest(k) for k in keys), dtype=np.uint64, count=len(keys))
+def texts_of(column: pa.Array) -> list[bytes]:
+    """The texts of a string column in UTF-8; null is empty."""
+    return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
+
+
+def _hashes(keys: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, keys), dtype=np.uint64, count=len(keys))
+
+
+def _bits(h: np.ndarray, bits: int) -> np.ndarray:
+    """Two bit positions of each hash, as rows."""
     low = np.uint64(bits - 1)
     return np.stack([h & low, (h >> np.uint64(32)) & low], axis=1).astype(np.int64)
 
@@ -51,9 +58,10 @@ def _add(bitmap: np.ndarray, at: np.ndarray) -> None:
     np.bitwise_or.at(bitmap, at >> 3, np.left_shift(1, at & 7).astype(np.uint8))
 
 
-def _long_keys(lines: list[str], min_chars: int) -> list[str]:
-    """The distinct keys of a document that are long enough."""
-    return [k for k in dict.fromkeys(map(line_key, lines)) if len(k) >= min_chars]
+def _long_keys(lines: list[bytes], min_chars: int) -> list[bytes]:
+    """The distinct keys of a document that have enough code points."""
+    keys = dict.fromkeys(line_key(x) for x in lines if len(x) >= min_chars)
+    return [k for k in keys if len(k) >= min_chars and (len(k) >= 4 * min_chars or len(k.decode()) >= min_chars)]
 
 
 def _pack(bitmap: np.ndarray) -> bytes:
@@ -71,10 +79,10 @@ def repeat_filter(docs: DataFrame, bits: int = FILTER_BITS, min_chars: int = MIN
     def build(batches):
         once, twice = np.zeros(bits // 8, np.uint8), np.zeros(bits // 8, np.uint8)
         for batch in batches:
-            keys = [k for text in batch.column(0).to_pylist() if text
-                    for k in _long_keys(text.split("\n"), min_chars)]
+            keys = [k for text in texts_of(batch.column(0)) for k in _long_keys(text.split(b"\n"), min_chars)]
             if keys:
-                at, count = np.unique(_bits(keys, bits), axis=0, return_counts=True)
+                distinct, count = np.unique(_hashes(keys), return_counts=True)
+                at = _bits(distinct, bits)
                 _add(twice, at[(count > 1) | _has(once, at)])
                 _add(once, at)
         for i in range(0, bits // 8, step):
@@ -107,9 +115,9 @@ def suspects(docs: DataFrame, merged: np.ndarray, min_chars: int = MIN_CHARS) ->
     def probe(batches):
         twice = _unpack(shared.value)
         for batch in batches:
-            lines = [(t or "").split("\n") for t in batch.column(1).to_pylist()]
+            lines = [t.split(b"\n") for t in texts_of(batch.column(1))]
             keys = [_long_keys(x, min_chars) for x in lines]
-            hit = _has(twice, _bits([k for x in keys for k in x], bits)).tolist()
+            hit = _has(twice, _bits(_hashes([k for x in keys for k in x]), bits)).tolist()
             ends = np.cumsum([len(x) for x in keys]).tolist()
             found = [[k for k, h in zip(x, hit[e - len(x):e]) if h] for x, e in zip(keys, ends)]
             yield pa.RecordBatch.from_arrays(
@@ -142,10 +150,10 @@ def dedup(docs: DataFrame, bits: int = FILTER_BITS, min_chars: int = MIN_CHARS,
     def cut(batches):
         for batch in batches:
             texts, dropped = [], []
-            for text, drop in zip(batch.column(1).to_pylist(), batch.column(3).to_pylist()):
-                lines, gone = (text or "").split("\n"), set(drop or ())
-                stay = [x for x in lines if line_key(x) not in gone]
-                texts.append("\n".join(stay))
+            for text, drop in zip(texts_of(batch.column(1)), batch.column(3).to_pylist()):
+                lines, gone = text.split(b"\n"), {k.encode() for k in drop or ()}
+                stay = [x for x in lines if line_key(x) not in gone] if gone else lines
+                texts.append(b"\n".join(stay))
                 dropped.append(len(lines) - len(stay))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array(dropped, pa.int64()), pa.array(texts, pa.string())],

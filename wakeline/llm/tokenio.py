@@ -13,6 +13,7 @@ import os
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from wakeline.llm.coder import decode, encode
@@ -21,7 +22,9 @@ TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 BLOCK_IDS = 1 << 20
 # Distinct chunks of text whose ids a task remembers.
-CACHE_CHUNKS = 300_000
+CACHE_CHUNKS = 600_000
+# Texts that are encoded together.
+ROWS = 2000
 BLOCK_SCHEMA = ("part int, block int, n_ids bigint, doc_ids array<bigint>, lengths array<bigint>, data binary")
 
 
@@ -34,8 +37,9 @@ class TextEncoder:
     """The ids of texts, by the tokenizers library.
 
     `parted` is for tokenizers that drop white space and let no token span it:
-    such a text is the sequence of its chunks between blanks, and a chunk seen
-    before need not be encoded again.
+    such a text is the sequence of its chunks between blanks. Each distinct
+    chunk is encoded once; new ones are put together in longer texts, where the
+    offsets of the ids tell which chunk they come from.
     """
 
     def __init__(self, path: str, parted: bool):
@@ -49,29 +53,42 @@ class TextEncoder:
         self.place, self.starts, self.lengths, self.flat = {}, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def _learn(self, new: list[str]):
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        ids, owners = [], []
+        groups = [new[i:i + 2000] for i in range(0, len(new), 2000)]
+        for i, e in enumerate(self.tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)):
+            ends = np.cumsum(np.fromiter(map(len, groups[i]), np.int64, len(groups[i])) + 1)
+            at = np.fromiter((o[0] for o in e.offsets), np.int64, len(e))
+            ids.append(np.array(e.ids, np.int64))
+            owners.append(2000 * i + np.searchsorted(ends, at, side="right"))
+        ids, owners = np.concatenate(ids), np.concatenate(owners)
+        lengths = np.bincount(owners, minlength=len(new))
         self.place.update(zip(new, range(len(self.starts), len(self.starts) + len(new))))
         self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
         self.lengths = np.concatenate([self.lengths, lengths])
-        self.flat = np.concatenate([self.flat, np.fromiter((i for f in found for i in f), np.int64, int(lengths.sum()))])
+        self.flat = np.concatenate([self.flat, ids])
 
-    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+    def __call__(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text of a string array without nulls."""
         if not self.parted:
-            return [np.array(e.ids, np.int64) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            return [np.array(e.ids, np.int64) for e in self.tokenizer.encode_batch_fast(
+                texts.to_pylist(), add_special_tokens=False)]
         if len(self.place) > CACHE_CHUNKS:
             self._forget()
-        chunks = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
-        new = list(set().union(*chunks).difference(self.place))
+        for blank in "\n\t":
+            texts = pc.replace_substring(texts, blank, " ")
+        chunks = pc.split_pattern(texts, " ")
+        ends = chunks.offsets.to_numpy().astype(np.int64)
+        coded = chunks.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        new = [c for c in distinct if c not in self.place]
         if new:
             self._learn(new)
-        out = []
-        for own in chunks:
-            at = np.fromiter(map(self.place.__getitem__, own), np.int64, len(own))
-            n = self.lengths[at]
-            ends = np.cumsum(n)
-            out.append(self.flat[np.repeat(self.starts[at] - ends + n, n) + np.arange(ends[-1])])
-        return out
+        at = np.fromiter(map(self.place.__getitem__, distinct), np.int64, len(distinct))[coded.indices.to_numpy()]
+        n = self.lengths[at]
+        after = np.cumsum(n)
+        ids = self.flat[np.repeat(self.starts[at] - after + n, n) + np.arange(n.sum())]
+        cuts = np.concatenate([[0], after])[ends - ends[0]]
+        return [ids[i:j] for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
 
 
 def blocks(docs: DataFrame, path: str, parted: bool = True, end_id: int = END_ID, block_ids: int = BLOCK_IDS) -> DataFrame:
@@ -94,11 +111,11 @@ def blocks(docs: DataFrame, path: str, parted: bool = True, end_id: int = END_ID
                 names=["part", "block", "n_ids", "doc_ids", "lengths", "data"])
 
         for batch in batches:
-            names, texts = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-            for start in range(0, len(names), 500):
-                if start == 0:
-                    part = batch.column(0)[0].as_py()
-                for name, x in zip(names[start:start + 500], encoder([t or "" for t in texts[start:start + 500]])):
+            part = batch.column(0)[0].as_py() if len(batch) else part
+            for start in range(0, len(batch), ROWS):
+                rows = batch.slice(start, ROWS)
+                texts = pc.fill_null(rows.column(2), "")
+                for name, x in zip(rows.column(1).to_pylist(), encoder(texts)):
                     ids.append(np.append(x, end_id))
                     doc_ids.append(name)
                     size += len(ids[-1])
