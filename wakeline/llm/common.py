@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+import types
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 # The white space that separates words: space and U+0009 to U+000D.
@@ -22,3 +25,11 @@ def let(value: Column, body) -> Column:
 def broadcast_if(df: DataFrame, rows: int) -> DataFrame:
     """Broadcasts a table of at most `rows` rows (counted here); else leaves the join to Spark."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def kept_in_worker(key, make):
+    """make(), once in the life of a Python worker: the tasks that it runs share the object."""
+    store = vars(sys.modules.setdefault("_wakeline_kept", types.ModuleType("_wakeline_kept")))
+    if key not in store:
+        store[key] = make()
+    return store[key]

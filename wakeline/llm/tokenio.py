@@ -17,12 +17,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from wakeline.llm.coder import decode, encode
+from wakeline.llm.common import kept_in_worker
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 BLOCK_IDS = 1 << 20
 # Distinct chunks of text whose ids a task remembers.
-CACHE_CHUNKS = 600_000
+CACHE_CHUNKS = 400_000
 # Texts that are encoded together.
 ROWS = 2000
 BLOCK_SCHEMA = ("part int, block int, n_ids bigint, doc_ids array<bigint>, lengths array<bigint>, data binary")
@@ -33,6 +34,12 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def _spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """starts[0] to starts[0] + lengths[0] - 1, then those of the next, and so on."""
+    after = np.cumsum(lengths)
+    return np.repeat(starts - after + lengths, lengths) + np.arange(lengths.sum())
+
+
 class TextEncoder:
     """The ids of texts, by the tokenizers library.
 
@@ -49,23 +56,32 @@ class TextEncoder:
         self.alphabet = self.tokenizer.get_vocab_size()
         self._forget()
 
-    def _forget(self):
-        self.place, self.starts, self.lengths, self.flat = {}, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    def _forget(self, often: int | None = None):
+        """Drop the chunks met fewer than `often` times since the last time, all without it."""
+        if often is None:
+            self.place, self.flat = {}, np.zeros(0, np.int32)
+            self.starts, self.lengths, self.met = (np.zeros(0, np.int64) for _ in range(3))
+            return
+        stay = self.met >= often
+        n = self.lengths[stay]
+        self.flat = self.flat[_spans(self.starts[stay], n)]
+        self.lengths, self.starts, self.met = n, np.cumsum(n) - n, np.zeros(len(n), np.int64)
+        self.place = {c: i for i, c in enumerate(c for c, k in zip(self.place, stay.tolist()) if k)}
 
     def _learn(self, new: list[str]):
-        ids, owners = [], []
+        ids, lengths = [], []
         groups = [new[i:i + 2000] for i in range(0, len(new), 2000)]
-        for i, e in enumerate(self.tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)):
-            ends = np.cumsum(np.fromiter(map(len, groups[i]), np.int64, len(groups[i])) + 1)
-            at = np.fromiter((o[0] for o in e.offsets), np.int64, len(e))
-            ids.append(np.array(e.ids, np.int64))
-            owners.append(2000 * i + np.searchsorted(ends, at, side="right"))
-        ids, owners = np.concatenate(ids), np.concatenate(owners)
-        lengths = np.bincount(owners, minlength=len(new))
+        for group, e in zip(groups, self.tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)):
+            ends = np.cumsum(np.fromiter(map(len, group), np.int64, len(group)) + 1)
+            at = np.array(e.offsets, np.int64).reshape(-1, 2)[:, 0]
+            ids.append(np.array(e.ids, np.int32))
+            lengths.append(np.bincount(np.searchsorted(ends, at, side="right"), minlength=len(group)))
+        lengths = np.concatenate(lengths)
         self.place.update(zip(new, range(len(self.starts), len(self.starts) + len(new))))
         self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
         self.lengths = np.concatenate([self.lengths, lengths])
-        self.flat = np.concatenate([self.flat, ids])
+        self.met = np.concatenate([self.met, np.zeros(len(new), np.int64)])
+        self.flat = np.concatenate([self.flat, *ids])
 
     def __call__(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text of a string array without nulls."""
@@ -73,7 +89,9 @@ class TextEncoder:
             return [np.array(e.ids, np.int64) for e in self.tokenizer.encode_batch_fast(
                 texts.to_pylist(), add_special_tokens=False)]
         if len(self.place) > CACHE_CHUNKS:
-            self._forget()
+            self._forget(often=2)
+            if len(self.place) > CACHE_CHUNKS // 2:
+                self._forget()
         for blank in "\n\t":
             texts = pc.replace_substring(texts, blank, " ")
         chunks = pc.split_pattern(texts, " ")
@@ -83,10 +101,11 @@ class TextEncoder:
         new = [c for c in distinct if c not in self.place]
         if new:
             self._learn(new)
-        at = np.fromiter(map(self.place.__getitem__, distinct), np.int64, len(distinct))[coded.indices.to_numpy()]
+        known = np.fromiter(map(self.place.__getitem__, distinct), np.int64, len(distinct))
+        self.met[known] += 1
+        at = known[coded.indices.to_numpy()]
         n = self.lengths[at]
-        after = np.cumsum(n)
-        ids = self.flat[np.repeat(self.starts[at] - after + n, n) + np.arange(n.sum())]
+        ids, after = self.flat[_spans(self.starts[at], n)], np.cumsum(n)
         cuts = np.concatenate([[0], after])[ends - ends[0]]
         return [ids[i:j] for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
 
@@ -100,7 +119,8 @@ def blocks(docs: DataFrame, path: str, parted: bool = True, end_id: int = END_ID
     more as its last document. Other columns are left out.
     """
     def run(batches):
-        encoder, part, number = TextEncoder(path, parted), 0, 0
+        encoder = kept_in_worker(("encoder", path, parted), lambda: TextEncoder(path, parted))
+        part, number = 0, 0
         ids, doc_ids, size = [], [], 0
 
         def close():
