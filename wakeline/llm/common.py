@@ -5,6 +5,9 @@ from __future__ import annotations
 import sys
 import types
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 # The white space that separates words: space and U+0009 to U+000D.
@@ -33,3 +36,44 @@ def kept_in_worker(key, make):
     if key not in store:
         store[key] = make()
     return store[key]
+
+
+def chunks(texts: pa.Array):
+    """The chunks of texts (no nulls) between blanks, empty ones included.
+
+    Returns the distinct chunks, the number of each chunk in that list, and
+    where each text's chunks begin and the last one's end.
+    """
+    for blank in "\n\t":
+        texts = pc.replace_substring(texts, blank, " ")
+    found = pc.split_pattern(texts, " ")
+    coded = found.flatten().dictionary_encode()
+    ends = found.offsets.to_numpy().astype(np.int64)
+    return coded.dictionary.to_pylist(), coded.indices.to_numpy(), ends - ends[0]
+
+
+class Remembered:
+    """Numbers for strings that come again and again; too many are thinned out to those met most."""
+
+    def __init__(self, most: int):
+        self.most, self.place, self.met = most, {}, np.zeros(0, np.int64)
+
+    def thin(self) -> np.ndarray | None:
+        """If there are too many: which of the old numbers stay, renumbered in their order."""
+        if len(self.place) <= self.most:
+            return None
+        stay = self.met >= 2
+        if stay.sum() > self.most // 2:
+            stay[:] = False
+        self.place = {c: i for i, c in enumerate(c for c, k in zip(self.place, stay.tolist()) if k)}
+        self.met = np.zeros(len(self.place), np.int64)
+        return stay
+
+    def add(self, new: list[str]) -> None:
+        self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
+        self.met = np.concatenate([self.met, np.zeros(len(new), np.int64)])
+
+    def numbers(self, distinct: list[str]) -> np.ndarray:
+        at = np.fromiter(map(self.place.__getitem__, distinct), np.int64, len(distinct))
+        self.met[at] += 1
+        return at

@@ -8,13 +8,15 @@ The piece probabilities come from expectation maximisation on labelled words.
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from wakeline.llm.common import broadcast_if, words
+from wakeline.llm.common import Remembered, broadcast_if, chunks, kept_in_worker, words
 from wakeline.operators import skew
 
 VOCABULARY = "piece_bpe_32k.model"
@@ -22,13 +24,16 @@ MARK = "▁"  # stands for the start of a word in the vocabulary
 LONGEST = 12  # characters of a piece
 # A character that is no piece by itself; also what an unseen piece gets, as a share of its language's count.
 UNKNOWN = 1e-7
+# Characters up to which a word's likelihood can't underflow.
+SHORT = 40
 ROUNDS = 3
 # Learning takes at most this many documents per language, those with the smallest hashes of the id.
 TRAIN_DOCS = 1000
 # Languages times TRAIN_DOCS ids up to which the learning documents are picked by broadcast.
 MAX_BROADCAST_IDS = 1_000_000
-# Distinct words whose scores a task remembers.
-CACHE_WORDS = 300_000
+# Distinct words whose scores a worker remembers, and texts that are scored together.
+CACHE_WORDS = 120_000
+ROWS = 1500
 UNDETERMINED = "und"
 
 
@@ -107,35 +112,39 @@ class Model:
     priors: np.ndarray
 
     def word_scores(self, lattice: Lattice, chosen: list[str]) -> np.ndarray:
-        """The log of the forward sum over all segmentations, a row per word.
-
-        Sums are kept scaled by their largest language at each position, so
-        that long words don't underflow.
-        """
+        """The log of the forward sum over all segmentations, a row per word."""
         out = np.zeros((len(chosen), len(self.languages)))
         for at, grid in lattice.grids(chosen):
             alpha, scale = _forward(lattice, grid, self.probabilities)
-            out[at] = np.log(alpha[:, -1]) + scale[:, -1:]
+            out[at] = np.log(alpha[-1]) + scale[-1][:, None]
         return out
 
 
 def _forward(lattice: Lattice, grid: np.ndarray, probabilities: np.ndarray):
-    """alpha[row, position, language] * exp(scale[row, position]): the sum over segmentations of each prefix."""
+    """alpha[position, row, language] * exp(scale[position, row]): the sum over segmentations of each prefix.
+
+    Words of more than SHORT characters, whose sums could underflow, are scaled
+    by their largest language at each position.
+    """
     rows, n = grid.shape
-    alpha = np.zeros((rows, n + 1, probabilities.shape[1]))
-    scale = np.zeros((rows, n + 1))
-    alpha[:, 0] = 1.0
+    alpha = np.zeros((n + 1, rows, probabilities.shape[1]))
+    scale = np.zeros((n + 1, rows))
+    alpha[0] = 1.0
     arcs = {}
     for start, end, r, k in lattice.arcs(grid):
         arcs.setdefault(end, []).append((start, r, k))
     for end in range(1, n + 1):
-        scale[:, end] = scale[:, end - 1]
-        total = alpha[:, end - 1] * UNKNOWN
+        alpha[end] = alpha[end - 1] * UNKNOWN
+        total = alpha[end]
         for start, r, k in arcs.get(end, ()):
-            total[r] += alpha[r, start] * probabilities[k] * np.exp(scale[r, start] - scale[r, end])[:, None]
-        largest = total.max(axis=1)
-        alpha[:, end] = total / largest[:, None]
-        scale[:, end] += np.log(largest)
+            more = alpha[start, r] * probabilities[k]
+            if n > SHORT:
+                more *= np.exp(scale[start, r] - scale[end - 1, r])[:, None]
+            total[r] += more
+        if n > SHORT:
+            largest = total.max(axis=1)
+            total /= largest[:, None]
+            scale[end] = scale[end - 1] + np.log(largest)
     return alpha, scale
 
 
@@ -143,24 +152,23 @@ def _expected(lattice: Lattice, grid: np.ndarray, probabilities: np.ndarray, wei
     """Expected piece counts of one language's words (forward and backward sums)."""
     alpha, scale = _forward(lattice, grid, probabilities[:, None])
     alpha, n = alpha[:, :, 0], grid.shape[1]
-    beta, back = np.zeros((len(grid), n + 1)), np.zeros((len(grid), n + 1))
-    beta[:, n] = 1.0
+    beta, back = np.zeros((n + 1, len(grid))), np.zeros((n + 1, len(grid)))
+    beta[n] = 1.0
     arcs = list(lattice.arcs(grid))
     by_start = {}
     for start, end, r, k in arcs:
         by_start.setdefault(start, []).append((end, r, k))
     for start in range(n - 1, -1, -1):
-        back[:, start] = back[:, start + 1]
-        total = beta[:, start + 1] * UNKNOWN
+        total = beta[start + 1] * UNKNOWN
         for end, r, k in by_start.get(start, ()):
-            total[r] += beta[r, end] * probabilities[k] * np.exp(back[r, end] - back[r, start])
-        beta[:, start] = 1.0
-        back[:, start] += np.log(total)
+            total[r] += beta[end, r] * probabilities[k] * np.exp(back[end, r] - back[start + 1, r])
+        beta[start] = 1.0
+        back[start] = back[start + 1] + np.log(total)
     counts = np.zeros(len(probabilities))
-    whole = np.log(alpha[:, n]) + scale[:, n]
+    whole = np.log(alpha[n]) + scale[n]
     for start, end, r, k in arcs:
-        share = alpha[r, start] * probabilities[k] * beta[r, end] * np.exp(scale[r, start] + back[r, end] - whole[r])
-        np.add.at(counts, k, share * weights[r])
+        share = alpha[start, r] * probabilities[k] * beta[end, r] * np.exp(scale[start, r] + back[end, r] - whole[r])
+        counts += np.bincount(k, weights=share * weights[r], minlength=len(counts))
     return counts
 
 
@@ -213,6 +221,32 @@ def learn(docs: DataFrame, held_out: Column, pieces: list[str], limit: int = TRA
     return Model(languages, pieces, probabilities, np.log([1 / len(languages)] * len(languages)))
 
 
+class Scorer:
+    """Languages of texts; the scores of frequent words are remembered."""
+
+    def __init__(self, model: Model):
+        self.model, self.lattice = model, Lattice(model.pieces)
+        self.known, self.table = Remembered(CACHE_WORDS), np.zeros((0, len(model.languages)))
+
+    def __call__(self, texts: pa.Array, lettered: list[bool]):
+        stay = self.known.thin()
+        if stay is not None:
+            self.table = self.table[stay]
+        distinct, codes, ends = chunks(texts)
+        new = [w for w in distinct if w not in self.known.place]
+        if new:
+            self.known.add(new)
+            scores = self.model.word_scores(self.lattice, [MARK + w for w in new])
+            scores[[not w for w in new]] = 0.0  # nothing stands between two blanks
+            self.table = np.concatenate([self.table, scores])
+        scores = self.table[self.known.numbers(distinct)][codes]
+        total = np.add.reduceat(scores, ends[:-1], axis=0) + self.model.priors  # a text has a chunk at least
+        best = total.argmax(axis=1)
+        share = 1 / np.exp(total - total[np.arange(len(total)), best][:, None]).sum(axis=1)
+        return ([self.model.languages[b] if k else UNDETERMINED for b, k in zip(best.tolist(), lettered)],
+                np.where(lettered, share, 0.0))
+
+
 def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     """Adds `lang_pred` and `score` to (doc_id, text): the likeliest language and its share of the likelihood.
 
@@ -224,29 +258,24 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
         model.languages, model.pieces, model.probabilities, model.priors))
 
     def run(batches):
-        m = shared.value and Model(*shared.value)
-        if m is not None:
-            lattice, place, table = Lattice(m.pieces), {}, np.zeros((0, len(m.languages)))
+        scorer = None
+        if shared.value:
+            key = hashlib.blake2b(shared.value[2].tobytes()).hexdigest()
+            kept = kept_in_worker("language scorer", dict)
+            if key not in kept:  # the last model only
+                kept.clear()
+                kept[key] = Scorer(Model(*shared.value))
+            scorer = kept[key]
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            split = [t.split() if t and m is not None and any(map(str.isalpha, t)) else [] for t in texts]
-            new = list(set().union(*split).difference(place)) if m is not None else []
-            if new:
-                if len(place) > CACHE_WORDS:
-                    place, table, new = {}, table[:0], list(set().union(*split))
-                place.update(zip(new, range(len(table), len(table) + len(new))))
-                table = np.concatenate([table, m.word_scores(lattice, [MARK + w for w in new])])
-            names, scores = [], []
-            for own in split:
-                if not own:
-                    names.append(UNDETERMINED)
-                    scores.append(0.0)
-                    continue
-                total = table[np.fromiter(map(place.__getitem__, own), np.int64, len(own))].sum(axis=0) + m.priors
-                best = int(total.argmax())
-                names.append(m.languages[best])
-                scores.append(float(1 / np.exp(total - total[best]).sum()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names), pa.array(scores, pa.float64())],
-                                             names=["doc_id", "lang_pred", "score"])
+            for start in range(0, len(batch), ROWS):
+                rows = batch.slice(start, ROWS)
+                texts = pc.fill_null(rows.column(1), "")
+                lettered = [any(map(str.isalpha, t)) for t in texts.to_pylist()]
+                if scorer is None:
+                    names, scores = [UNDETERMINED] * len(rows), [0.0] * len(rows)
+                else:
+                    names, scores = scorer(texts, lettered)
+                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
+                                                 names=["doc_id", "lang_pred", "score"])
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
         run, "doc_id bigint, lang_pred string, score double")

@@ -76,7 +76,7 @@ def plan(rows: DataFrame, **settings) -> DataFrame:
             .withColumn("before", F.coalesce(F.sum("mass").over(ahead), F.lit(0))))
     some = broadcast_if(sized.select(F.col("source").alias("_source"), "rest"), MAX_BROADCAST_SOURCES)
     cut = skew.settle(sums.join(some, F.col("source").eqNullSafe(F.col("_source")))
-                      .filter((F.col("before") <= F.col("rest")) & (F.col("before") + F.col("mass") > F.col("rest")))
+                      .filter((F.col("rest") > 0) & (F.col("before") <= F.col("rest")) & (F.col("before") + F.col("mass") > F.col("rest")))
                       .select("_source", F.col("range").alias("_range"), "before", "rest"))
     inside = (ranged.join(broadcast_if(cut, MAX_BROADCAST_SOURCES), F.col("source").eqNullSafe(F.col("_source"))
                           & (F.col("range") == F.col("_range")))
@@ -105,12 +105,13 @@ def mix(df: DataFrame, text: str = "text", source: str = "source", identity=("do
     narrow = skew.settle(df.select(F.col(source).alias("source"), text_size(F.col(text)).alias("size"), key.alias("key")))
     chosen = broadcast_if(plan(narrow, **settings).select(
         F.col("source").alias("_plan_source"), F.col("source_size").alias("_source_size"),
-        F.col("target").alias("_target"), "epochs", "cut_key"), MAX_BROADCAST_SOURCES)
+        F.col("target").alias("_target"), F.col("epochs").alias("_epochs"), F.col("cut_key").alias("_cut_key")),
+        MAX_BROADCAST_SOURCES)
     sized = df.withColumn("_size", text_size(F.col(text))).withColumn("_key", key)
-    times = F.col("epochs") + F.when(F.col("_key") <= F.col("cut_key"), 1).otherwise(0)
+    times = F.col("_epochs") + F.when(F.col("_key") <= F.col("_cut_key"), 1).otherwise(0)
     return (sized.join(chosen, F.col(source).eqNullSafe(F.col("_plan_source")), "left")
             .withColumn("_times", times.cast("bigint"))
-            .drop("_plan_source", "epochs", "cut_key", "_key"))
+            .drop("_plan_source", "_epochs", "_cut_key", "_key"))
 
 
 def repeat(mixed: DataFrame, columns) -> DataFrame:

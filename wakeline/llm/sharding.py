@@ -91,7 +91,8 @@ def slots(df: DataFrame, shard: str, order) -> DataFrame:
     """Adds `slot`, the gapless number from 0 of a row within its shard along `order`.
 
     Shards too large for one task are cut into ranges whose row counts are
-    summed first. Rows equal in all of `order` are interchangeable.
+    summed first. Rows equal in all of `order` are interchangeable. Columns
+    called before, group_total or slot are not kept.
     """
     placed = skew.positions(df, [shard], order)
     return placed.withColumn("slot", F.col("before").cast("bigint")).drop("before", "group_total")

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from wakeline.llm.coder import decode, encode
-from wakeline.llm.common import kept_in_worker
+from wakeline.llm.common import Remembered, chunks, kept_in_worker
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
@@ -54,19 +54,8 @@ class TextEncoder:
         from tokenizers import Tokenizer
         self.tokenizer, self.parted = Tokenizer.from_file(path), parted
         self.alphabet = self.tokenizer.get_vocab_size()
-        self._forget()
-
-    def _forget(self, often: int | None = None):
-        """Drop the chunks met fewer than `often` times since the last time, all without it."""
-        if often is None:
-            self.place, self.flat = {}, np.zeros(0, np.int32)
-            self.starts, self.lengths, self.met = (np.zeros(0, np.int64) for _ in range(3))
-            return
-        stay = self.met >= often
-        n = self.lengths[stay]
-        self.flat = self.flat[_spans(self.starts[stay], n)]
-        self.lengths, self.starts, self.met = n, np.cumsum(n) - n, np.zeros(len(n), np.int64)
-        self.place = {c: i for i, c in enumerate(c for c, k in zip(self.place, stay.tolist()) if k)}
+        self.known, self.flat = Remembered(CACHE_CHUNKS), np.zeros(0, np.int32)
+        self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def _learn(self, new: list[str]):
         ids, lengths = [], []
@@ -77,10 +66,9 @@ class TextEncoder:
             ids.append(np.array(e.ids, np.int32))
             lengths.append(np.bincount(np.searchsorted(ends, at, side="right"), minlength=len(group)))
         lengths = np.concatenate(lengths)
-        self.place.update(zip(new, range(len(self.starts), len(self.starts) + len(new))))
+        self.known.add(new)
         self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
         self.lengths = np.concatenate([self.lengths, lengths])
-        self.met = np.concatenate([self.met, np.zeros(len(new), np.int64)])
         self.flat = np.concatenate([self.flat, *ids])
 
     def __call__(self, texts: pa.Array) -> list[np.ndarray]:
@@ -88,25 +76,19 @@ class TextEncoder:
         if not self.parted:
             return [np.array(e.ids, np.int64) for e in self.tokenizer.encode_batch_fast(
                 texts.to_pylist(), add_special_tokens=False)]
-        if len(self.place) > CACHE_CHUNKS:
-            self._forget(often=2)
-            if len(self.place) > CACHE_CHUNKS // 2:
-                self._forget()
-        for blank in "\n\t":
-            texts = pc.replace_substring(texts, blank, " ")
-        chunks = pc.split_pattern(texts, " ")
-        ends = chunks.offsets.to_numpy().astype(np.int64)
-        coded = chunks.flatten().dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        new = [c for c in distinct if c not in self.place]
+        stay = self.known.thin()
+        if stay is not None:
+            n = self.lengths[stay]
+            self.flat = self.flat[_spans(self.starts[stay], n)]
+            self.lengths, self.starts = n, np.cumsum(n) - n
+        distinct, codes, ends = chunks(texts)
+        new = [c for c in distinct if c not in self.known.place]
         if new:
             self._learn(new)
-        known = np.fromiter(map(self.place.__getitem__, distinct), np.int64, len(distinct))
-        self.met[known] += 1
-        at = known[coded.indices.to_numpy()]
+        at = self.known.numbers(distinct)[codes]
         n = self.lengths[at]
         ids, after = self.flat[_spans(self.starts[at], n)], np.cumsum(n)
-        cuts = np.concatenate([[0], after])[ends - ends[0]]
+        cuts = np.concatenate([[0], after])[ends]
         return [ids[i:j] for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
 
 
