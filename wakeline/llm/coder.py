@@ -171,6 +171,7 @@ def encode(ids: np.ndarray, alphabet: int) -> bytes:
     return (struct.pack(HEADER, MAGIC, n, alphabet, lanes, zlib.crc32(data)) + used.astype("<u4").tobytes() + words.tobytes())
 
 
+@np.errstate(divide="ignore")
 def decode(block: bytes) -> np.ndarray:
     """The ids of a block as u32; ValueError if the block is damaged."""
     if len(block) < HEADER_SIZE:
@@ -202,6 +203,7 @@ def decode(block: bytes) -> np.ndarray:
         taken = both[far]
         left = TOTAL - taken
         y = np.searchsorted(model.sums, (((slot[far] - taken + 1) << TOTAL_BITS) - 1) // left, side="right") - 1
+        y = np.minimum(y, alphabet - 1)  # in a damaged block only
         bottom, top = model.sums[y] * left >> TOTAL_BITS, model.sums[y + 1] * left >> TOTAL_BITS
         x[far], start[far], width[far] = y, taken + bottom, top - bottom
         value_ = value[:live] - start.view(_U) * unit
