@@ -171,9 +171,13 @@ def encode(ids: np.ndarray, alphabet: int) -> bytes:
     return (struct.pack(HEADER, MAGIC, n, alphabet, lanes, zlib.crc32(data)) + used.astype("<u4").tobytes() + words.tobytes())
 
 
-@np.errstate(divide="ignore")
 def decode(block: bytes) -> np.ndarray:
     """The ids of a block as u32; ValueError if the block is damaged."""
+    with np.errstate(divide="ignore"):  # a damaged block may leave a lane without a range
+        return _decode(block)
+
+
+def _decode(block: bytes) -> np.ndarray:
     if len(block) < HEADER_SIZE:
         raise ValueError("not a block of ids")
     magic, n, alphabet, lanes, check = struct.unpack_from(HEADER, block)
