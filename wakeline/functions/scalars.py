@@ -63,9 +63,10 @@ def changed(diff) -> Column:
 # -- time --------------------------------------------------------------------
 
 def parse_time(text="time", year: int = 2019) -> Column:
-    """'MMDD HH:MM:SS' -> timestamp without zone; an impossible date gives NULL."""
-    stamped = F.concat(F.lit(f"{year}-"), col(text))
-    return F.try_to_timestamp(stamped, F.lit("yyyy-MMdd HH:mm:ss")).cast("timestamp_ntz")
+    """'MMDD HH:MM:SS' -> timestamp without zone, whatever the session's zone; an impossible date gives NULL."""
+    t = col(text)
+    stamped = F.concat(F.lit(f"{year}-"), t.substr(1, 2), F.lit("-"), t.substr(3, 11))
+    return F.when(t.rlike(r"^\d{4} \d{2}:\d{2}:\d{2}$"), stamped.try_cast("timestamp_ntz"))
 
 
 def time_fields(text="time") -> dict[str, Column]:

@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.ml.feature import VectorAssembler, Word2Vec
+import pandas as pd
+from pyspark.ml.feature import Word2Vec
 from pyspark.ml.functions import vector_to_array
-from pyspark.mllib.linalg.distributed import RowMatrix
-from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame, functions as F
 
 from wakeline.functions import scalars as S
@@ -15,12 +14,26 @@ from wakeline.operators.skew import MAX_GROUP_ROWS, find_large, settle
 
 # MLlib's Word2Vec keeps vocabulary x size floats on the driver; 100 million are 400 MB.
 MAX_WORD2VEC_FLOATS = 100_000_000
+# Partial triangles that are put together on the driver.
+TRIANGLES = 32
+# A column that adds less than this share of its length to those before it depends on them,
+# and a direction below this share of the first is rounding.
+DEPENDENT, RANK = 1e-13, 1e-14
 
 
-def _gram(df: DataFrame, cols) -> np.ndarray:
-    """Sum of outer products of the rows: a small matrix whatever the row count."""
-    rows = VectorAssembler(inputCols=cols, outputCol="v").transform(df).select("v")
-    return RowMatrix(MLUtils.convertVectorColumnsFromML(rows, "v")).computeGramianMatrix().toArray()
+def _triangle(df: DataFrame, cols) -> np.ndarray:
+    """R of the QR decomposition of the rows: QR by partition, of those results, and of these on the driver."""
+    schema = ", ".join(f"`{c}` double" for c in cols)
+
+    def reduce_rows(batches):
+        r = np.zeros((0, len(cols)))
+        for b in batches:
+            r = np.linalg.qr(np.vstack([r, b[list(cols)].to_numpy()]), mode="r")
+        yield pd.DataFrame(r, columns=list(cols))
+
+    parts = df.select(*cols).mapInPandas(reduce_rows, schema).repartition(TRIANGLES).mapInPandas(reduce_rows, schema)
+    rows = [list(r) for r in parts.collect()]  # TRIANGLES x len(cols) rows at most
+    return np.linalg.qr(np.array(rows), mode="r") if rows else np.zeros((0, len(cols)))
 
 
 def _rotate(df: DataFrame, key: str, cols, matrix: np.ndarray, names) -> DataFrame:
@@ -35,13 +48,20 @@ def _rotate(df: DataFrame, key: str, cols, matrix: np.ndarray, names) -> DataFra
     return df.select(key, *cols).mapInPandas(apply, schema)
 
 
-def _directions(gram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Eigenvalues (descending) and vectors of a Gram matrix without its null space."""
-    values, vectors = np.linalg.eigh(gram)
-    order = np.argsort(values)[::-1]
-    values, vectors = values[order], vectors[:, order]
-    keep = values > max(values[0], 0.0) * 1e-14
-    return values[keep], vectors[:, keep]
+def _independent(r: np.ndarray) -> np.ndarray:
+    """For R of some columns: the matrix that makes them orthonormal.
+
+    Columns are compared with their own length, so short ones count as long
+    ones do; those that depend on the ones before to double precision go.
+    """
+    keep = np.zeros(r.shape[1], bool)
+    keep[:len(r)] = np.abs(np.diagonal(r)) > DEPENDENT * np.maximum(np.linalg.norm(r, axis=0)[:len(r)], 1e-300)
+    inverse = np.zeros((r.shape[1], keep.sum()))
+    if keep.any():
+        small = np.linalg.qr(r[:, keep], mode="r")
+        length = np.linalg.norm(small, axis=0)
+        inverse[keep] = np.linalg.inv(small / length) / length[:, None]
+    return inverse
 
 
 def truncated_svd(cells: DataFrame, documents: DataFrame, k: int, prefix: str,
@@ -72,21 +92,28 @@ def truncated_svd(cells: DataFrame, documents: DataFrame, k: int, prefix: str,
     cols, settled = names, None
     for step in range(iterations):
         image = settle(multiply("token", multiply("id", basis, "token", cols), "id", cols))
-        values, vectors = _directions(_gram(image, cols))
-        if len(values) == 0:
+        triangle = _triangle(image, cols)
+        inverse = _independent(triangle)
+        used = names[:inverse.shape[1]]
+        if not used:
+            cols = []
             break
-        used = names[:len(values)]
-        basis = _rotate(image, "token", cols, vectors / np.sqrt(values), used)
-        cols = used
-        lead = np.sqrt(values[:k])
-        if step > 1 and settled is not None and len(settled) == len(lead) \
-                and np.all(np.abs(lead - settled) <= tolerance * lead[0]):
+        basis, cols = _rotate(image, "token", cols, inverse, used), used
+        lead = np.sqrt(np.linalg.svd(triangle, compute_uv=False)[:k])
+        if step > 1 and len(settled) == len(lead) and np.all(np.abs(lead - settled) <= tolerance * lead[0]):
             break
         settled = lead
+    if cols:  # once more: the first result is not orthogonal to the last digit
+        inverse = _independent(_triangle(basis, cols))
+        basis, cols = _rotate(basis, "token", cols, inverse, names[:inverse.shape[1]]), names[:inverse.shape[1]]
 
     scores = [f"{prefix}_{i}" for i in range(k)]
-    projected = settle(multiply("id", basis, "token", cols))
-    values, vectors = _directions(_gram(projected, cols))
+    projected = settle(multiply("id", basis, "token", cols)) if cols else documents.select("id").limit(0)
+    values, vectors = np.zeros(0), np.zeros((len(cols), 0))
+    if cols:
+        _, values, turned = np.linalg.svd(_triangle(projected, cols))
+        vectors = turned.T
+        values = values[values > values[0] * RANK]
     found = scores[:min(k, len(values))]
     if found:
         rotated = _rotate(projected, "id", cols, vectors[:, :len(found)], found)
@@ -125,42 +152,51 @@ def svd_features(pings: DataFrame, corpus: str, k: int, blocks, iterations: int
 
 
 def word2vec_means(pings: DataFrame, size: int = 30, window: int = 5, iterations: int = 10,
-                   seed: int = 1, partitions: int | None = None, prefix: str = "w2v",
-                   limit: int = MAX_GROUP_ROWS, max_floats: int = MAX_WORD2VEC_FLOATS) -> DataFrame:
+                   seed: int = 1, prefix: str = "w2v", chunk: int = 1000,
+                   limit: int = MAX_GROUP_ROWS) -> DataFrame:
     """Mean word vector of each track's geohash cells, repeated cells counted each time.
 
-    The vectors come from MLlib's skip-gram while its vocabulary fits the
-    driver. A larger vocabulary takes the distributed way: skip-gram
-    implicitly factorises the pointwise mutual information of cell and
-    context, so that table is built and factorised directly.
+    Skip-gram implicitly factorises the pointwise mutual information of cell
+    and context; here that table is built and factorised directly, at every
+    size, and neither the vocabulary nor the number of partitions matters.
+    """
+    words = pings.select("id", "ts", "seq", S.geohash(precision=7).alias("text"))
+    sentences = settle(text.token_documents(words, chunk=chunk, ahead=window, limit=limit))
+    scores = truncated_svd(context_weights(sentences, window).selectExpr("token AS id", "context AS token", "weight"),
+                           sentences.selectExpr("explode(tokens) AS id").distinct(), size, "v", iterations, seed=seed)
+    vectors = scores.select(F.col("id").alias("token"), F.array(*[f"v_{i}" for i in range(size)]).alias("v"))
+    return mean_vectors(text.token_counts(words), vectors, size, prefix)
+
+
+def skipgram_means(pings: DataFrame, size: int = 30, window: int = 5, iterations: int = 10,
+                   seed: int = 1, prefix: str = "w2v", limit: int = MAX_GROUP_ROWS,
+                   max_floats: int = MAX_WORD2VEC_FLOATS) -> DataFrame:
+    """The same from MLlib's skip-gram trainer, for vocabularies that fit the driver.
+
+    It trains in one partition on sentences in a fixed order, so that the
+    vectors are the same on any cluster, and refuses a vocabulary of more than
+    max_floats / size cells. The trainer itself cuts sentences at 1,000 tokens.
     """
     words = pings.select("id", "ts", "seq", S.geohash(precision=7).alias("text"))
-    sentences = settle(text.token_documents(words, limit=limit))
     counts = text.token_counts(words)
-    if counts.select("token").distinct().count() * size <= max_floats:
-        parts = partitions or pings.sparkSession.sparkContext.defaultParallelism
-        model = Word2Vec(vectorSize=size, windowSize=window, minCount=1, maxIter=iterations, seed=seed,
-                         numPartitions=parts, maxSentenceLength=1000, inputCol="tokens",
-                         outputCol="v").fit(sentences)
-        vectors = model.getVectors().select(F.col("word").alias("token"), vector_to_array("vector").alias("v"))
-    else:
-        weights = context_weights(sentences, window)
-        scores = truncated_svd(weights.selectExpr("token AS id", "context AS token", "weight"),
-                               sentences.selectExpr("explode(tokens) AS id").distinct(),
-                               size, "v", iterations, seed=seed)
-        vectors = scores.select(F.col("id").alias("token"), F.array(*[f"v_{i}" for i in range(size)]).alias("v"))
+    if counts.select("token").distinct().count() * size > max_floats:
+        raise ValueError("the vocabulary is too large for the driver; use word2vec_means")
+    sentences = settle(text.token_documents(words, limit=limit).coalesce(1).sortWithinPartitions("id", "part"))
+    model = Word2Vec(vectorSize=size, windowSize=window, minCount=1, maxIter=iterations, seed=seed, numPartitions=1,
+                     maxSentenceLength=1000, inputCol="tokens", outputCol="v").fit(sentences.coalesce(1))
+    vectors = model.getVectors().select(F.col("word").alias("token"), vector_to_array("vector").alias("v"))
     return mean_vectors(counts, vectors, size, prefix)
 
 
 def context_weights(sentences: DataFrame, window: int = 5, shift: float = 1.0) -> DataFrame:
     """(token, context, weight): positive pointwise mutual information, less log(shift).
 
-    A context is a token at most `window` places away in the same sentence.
+    A context is a token at most `window` places away; `sentences` has tokens
+    and `ahead`, the tokens that follow its cut.
     """
     pairs = ", ".join(
-        f"zip_with(slice(tokens, 1, greatest(size(tokens) - {d}, 0)), "
-        f"slice(tokens, {d + 1}, greatest(size(tokens) - {d}, 0)), (a, b) -> struct(a, b))"
-        for d in range(1, window + 1))
+        f"filter(zip_with(tokens, slice(concat(tokens, ahead), {d + 1}, size(tokens)), (a, b) -> struct(a, b)), "
+        "x -> x.a IS NOT NULL AND x.b IS NOT NULL)" for d in range(1, window + 1))
     ahead = (sentences.selectExpr(f"inline(flatten(array({pairs}))) AS (token, context)")
              .groupBy("token", "context").agg(F.count(F.lit(1)).alias("n")))
     both = settle(ahead.unionByName(ahead.selectExpr("context AS token", "token AS context", "n"))

@@ -18,8 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 MAX_GROUP_ROWS = 500_000
-# The table of large keys is broadcast; the limit is raised where needed so
-# that it never has more rows than this (some 10 MB).
+# Up to this many large keys are broadcast (some 10 MB); more are joined by a shuffle.
 MAX_LARGE_GROUPS = 1_000_000
 # Blocks below this size would cost more in tasks than they save.
 MIN_BLOCK_ROWS = 10_000
@@ -58,29 +57,32 @@ class LargeGroups:
     table: DataFrame
     rows: int
     limit: int
+    count: int
+
+    def _side(self) -> DataFrame:
+        return F.broadcast(self.table) if self.count <= MAX_LARGE_GROUPS else self.table
 
     def only(self, df: DataFrame) -> DataFrame:
         if TAG in df.columns:
             return df.filter(F.col(TAG))
-        return df.join(F.broadcast(self.table), list(self.keys), "left_semi")
+        return df.join(self._side(), list(self.keys), "left_semi")
 
     def without(self, df: DataFrame) -> DataFrame:
         if TAG in df.columns:
             return df.filter(~F.col(TAG))
-        return df.join(F.broadcast(self.table), list(self.keys), "left_anti")
+        return df.join(self._side(), list(self.keys), "left_anti")
 
 
 def find_large(df: DataFrame, keys, limit: int = MAX_GROUP_ROWS) -> LargeGroups | None:
     """Count every group; None when all of them fit one task."""
     keys = tuple(keys)
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("group_rows"))
-    largest, total = sizes.agg(F.max("group_rows"), F.sum("group_rows")).first()
+    largest = sizes.agg(F.max("group_rows")).first()[0]
     if largest is None or largest <= limit:
         return None
-    limit = max(limit, total // MAX_LARGE_GROUPS)
-    found = settle(sizes.filter(F.col("group_rows") > limit))  # fewer than MAX_LARGE_GROUPS rows
-    rows = found.agg(F.sum("group_rows")).first()[0]
-    return None if rows is None else LargeGroups(keys, found.drop("group_rows"), rows, limit)
+    found = settle(sizes.filter(F.col("group_rows") > limit))
+    rows, count = found.agg(F.sum("group_rows"), F.count(F.lit(1))).first()
+    return LargeGroups(keys, found.drop("group_rows"), rows, limit, count)
 
 
 def split_blocks(df: DataFrame, large: LargeGroups, order) -> DataFrame:

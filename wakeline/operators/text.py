@@ -105,15 +105,24 @@ def document_ids(words: DataFrame) -> DataFrame:
     return words.select("id").distinct()
 
 
-def token_documents(words: DataFrame, order=("ts", "seq"), chunk: int = 1000,
+def token_documents(words: DataFrame, order=("ts", "seq"), chunk: int = 1000, ahead: int = 0,
                     limit: int = MAX_GROUP_ROWS) -> DataFrame:
     """Ordered token lists, cut every `chunk` pings so that no list grows with the track.
 
-    `words` has id, the order columns and text.
+    `words` has id, the order columns and text. `ahead` holds the tokens of the
+    next `ahead` pings beyond the cut, so that no neighbourhood is lost there.
     """
-    placed = positions(words, ["id"], order, limit=limit)
-    return (placed.withColumn("part", F.floor(F.col("before") / F.lit(chunk)).cast("bigint"))
-            .groupBy("id", "part")
-            .agg(F.flatten(F.transform(
-                F.array_sort(F.collect_list(F.struct("before", tokens("text").alias("tok")))),
-                lambda x: x["tok"])).alias("tokens")))
+    if not 0 <= ahead <= chunk:
+        raise ValueError("a list can look no further ahead than one chunk")
+    placed = (positions(words, ["id"], order, limit=limit)
+              .withColumn("part", F.floor(F.col("before") / F.lit(chunk)).cast("bigint")))
+    both = F.array(F.struct("part", F.lit(False).alias("beyond")),
+                   F.struct((F.col("part") - 1).alias("part"), F.lit(True).alias("beyond")))
+    first = (F.col("before") % chunk < ahead) & (F.col("part") > 0)
+    placed = placed.select("id", "before", tokens("text").alias("tok"),
+                           F.inline(F.when(first, both).otherwise(F.slice(both, 1, 1))))
+
+    def listed(beyond, name):
+        own = F.collect_list(F.when(F.col("beyond") == beyond, F.struct("before", "tok")))
+        return F.flatten(F.transform(F.array_sort(own), lambda x: x["tok"])).alias(name)
+    return placed.groupBy("id", "part").agg(listed(False, "tokens"), listed(True, "ahead"))

@@ -643,12 +643,12 @@ def track_profile(p):
 
 @query("svd_features")
 def _(p):
-    return factor.svd_features(p, "geohash", 10, {"geohash_tfidf": "tfidf"}, iterations=6)
+    return factor.svd_features(p, "geohash", 30, {"geohash_tfidf": "tfidf"})
 
 
 @query("svd_count_features")
 def _(p):
-    return factor.svd_features(p, "slow_geohash", 5, {"slow_count": "count"}, iterations=4)
+    return factor.svd_features(p, "slow_geohash", 10, {"slow_count": "count"})
 
 
 @query("svd_row_energy", O.with_("source as (select * from tracks)") + f""",
@@ -657,13 +657,13 @@ counts as (select id, token, count(*) as n from words group by id, token)
 select id, cast(sum(n*n) as double) as energy from counts group by id""")
 def _(p):
     """With as many directions as tokens the scores keep every row's squared length."""
-    scores = factor.svd_features(p, "lat", 24, {"lat": "count"}, iterations=2)
+    scores = factor.svd_features(p, "lat", 24, {"lat": "count"})
     return scores.select("id", F.expr(" + ".join(f"lat_{i} * lat_{i}" for i in range(24))).alias("energy"))
 
 
 @query("word2vec_mean")
 def _(p):
-    return factor.word2vec_means(p, size=30, iterations=2)
+    return factor.word2vec_means(p)
 
 
 _SMALL_TREES = model.TreeParams(rounds=4, step=0.1, depth=3, features=0.8, sample=0.8, min_rows=2, grid=(2, 4))
@@ -677,14 +677,14 @@ def _small_model(p):
 
 @query("word2vec_mean_spread")
 def _(p):
-    """The way of a vocabulary too large for the driver."""
-    return factor.word2vec_means(p, size=8, iterations=3, max_floats=0)
+    """The same with sentences cut every 20 pings, which must not matter."""
+    return factor.word2vec_means(p, chunk=20)
 
 
 @query("context_weights", O.with_(O.CELLS) + """,
 placed as (select id, geohash7, row_number() over (partition by id order by ts, seq)-1 as k from celled),
 pairs as (select a.geohash7 as token, b.geohash7 as context, count(*) as n from placed a join placed b
-  on a.id=b.id and a.k // 20 = b.k // 20 and a.k<>b.k and abs(a.k-b.k)<=5 group by a.geohash7, b.geohash7),
+  on a.id=b.id and a.k<>b.k and abs(a.k-b.k)<=5 group by a.geohash7, b.geohash7),
 totals as (select token, sum(n) as total from pairs group by token),
 weighed as (select p.token, p.context, ln(cast(n as double)*(select cast(sum(n) as double) from pairs)
   /(cast(t.total as double)*cast(c.total as double)))-ln(cast(2 as double)) as w
@@ -692,7 +692,7 @@ weighed as (select p.token, p.context, ln(cast(n as double)*(select cast(sum(n)
 select token, context, round(w,6) as weight from weighed where w>0""")
 def _(p):
     words = p.select("id", "ts", "seq", S.geohash(precision=7).alias("text"))
-    return factor.context_weights(text.token_documents(words, chunk=20), shift=2.0)
+    return factor.context_weights(text.token_documents(words, chunk=20, ahead=5), shift=2.0)
 
 
 @query("oof_coverage", O.with_(_KNOWN) + f"select id, type, {O.folds(2, 1996)} as fold, "

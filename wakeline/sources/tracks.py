@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wakeline.functions import scalars as S
+from wakeline.operators.skew import MAX_GROUP_ROWS, positions
 
 PING_COLUMNS = ("id", "seq", "ts", "lat", "lon", "speed", "direction", "type")
 
@@ -27,21 +28,24 @@ def read_tracks(spark: SparkSession, path: str, labelled: bool = True, year: int
                 id_from_file: bool = False) -> DataFrame:
     """Every CSV under `path` (one file per vessel, header row) as canonical pings.
 
-    Columns are taken by position. `seq` is the position of the row in its
-    file: the byte offset of the split, then the row within the split.
+    Columns are taken by position. `seq` is the number of the row in its file,
+    from 0: rows are numbered along the offset of their split and their place
+    in the task that reads it, so it doesn't depend on how files are split or
+    packed into tasks.
     """
     raw = (spark.read.schema(_file_schema(labelled)).option("header", True)
            .option("enforceSchema", True).csv(path)
            .withColumn("_row", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
            .withColumn("_start", F.col("_metadata.file_block_start"))
+           .withColumn("_path", F.col("_metadata.file_path"))
            .withColumn("_file", F.col("_metadata.file_name")))
+    raw = positions(raw, ["_path"], ["_start", "_row"])
     name = F.regexp_extract("_file", r"^(\d+)", 1).cast("bigint")
     label = F.coalesce(*[F.when(F.col("type") == t, n) for t, n in S.CLASS_TEXT.items()],
                        F.col("type")) if labelled else F.lit(None).cast("string")
     return raw.select(
         (name if id_from_file else F.col("渔船ID")).alias("id"),
-        (F.col("_start").cast("decimal(20,0)") * F.lit(1 << 33).cast("decimal(11,0)")
-         + F.col("_row")).cast("decimal(32,0)").alias("seq"),
+        F.col("before").cast("bigint").alias("seq"),
         S.parse_time("time", year).alias("ts"),
         S.nan_to_null("lat").alias("lat"), S.nan_to_null("lon").alias("lon"),
         S.nan_to_null("速度").alias("speed"), F.col("方向").alias("direction"),
@@ -54,10 +58,15 @@ def read_track_text(spark: SparkSession, path: str, labelled: bool = True, year:
 
 
 def with_seq(df: DataFrame, order=("ts",), limit: int | None = None) -> DataFrame:
-    """Number the rows of each track along `order`, where no file position is known."""
-    from wakeline.operators.skew import MAX_GROUP_ROWS, positions
+    """Number the rows of each track along `order`, where no file position is known.
+
+    Rows that tie in `order` are numbered by a hash of all their columns; rows
+    equal in every column are interchangeable.
+    """
+    order = (*order, "_tie")
+    df = df.withColumn("_tie", F.xxhash64(*df.columns))
     placed = positions(df, ["id"], order, limit=limit or MAX_GROUP_ROWS)
-    return placed.withColumn("seq", F.col("before")).drop("before", "group_total")
+    return placed.withColumn("seq", F.col("before")).drop("before", "group_total", "_tie")
 
 
 def union_tracks(*tables: DataFrame) -> DataFrame:
