@@ -105,7 +105,7 @@ def test_feature_counts(pings):
 def test_cross_validation(pings):
     from wakeline.operators import stats
     table = stats.stat_block(pings, stats.decile_stats(["lat", "speed"])).join(tracks.track_labels(pings), "id")
-    params = model.TreeParams(rounds=3, step=0.2, depth=2, features=0.8, sample=0.9, min_rows=1, grid=(1, 3))
+    params = model.TreeParams(rounds=3, step=0.2, depth=2, features=0.8, sample=0.9, min_rows=1, patience=2)
     fitted = model.cross_validate(table, params, k=2)
     oof = fitted.oof.collect()
     known = tracks.labelled(tracks.distinct_tracks(pings)).count()
@@ -115,22 +115,37 @@ def test_cross_validation(pings):
     assert metrics.top_features(fitted.importance, 5).count() == 5
 
 
-def test_shorter_grid_entry_wins_ties(pings):
+def test_best_round():
+    rising_late = [0.5, 0.6, 0.7, *[0.6] * 12, 0.9, 0.8]
+    assert model.best_round(rising_late, 100) == (16, False)
+    assert model.best_round(rising_late, 12) == (3, True)
+    assert model.best_round([0.4, 0.4, 0.4], 9) == (1, False)
+
+
+def test_prefixes_score_like_shorter_fits(pings):
     from wakeline.operators import stats
     table = stats.stat_block(pings, stats.decile_stats(["lat", "speed"])).join(tracks.track_labels(pings), "id")
     ready = tracks.labelled(model.assemble(table, model.feature_columns(table), ["id", "type"]))
-    marked = ready.withColumn("_held", F.col("id") % 3 == 0)
-    params = model.TreeParams(rounds=9, step=0.2, depth=1, features=1.0, sample=1.0, min_rows=1, grid=(1, 1))
-    models = model.fit_best(marked, marked.filter("_held"), params, "_held")
-    assert [len(m.trees) for m in models] == [1, 1, 1]
+    valid = ready.filter("id % 3 = 0")
+    params = model.TreeParams(rounds=4, step=0.2, depth=3, features=1.0, sample=0.9, min_rows=1)
+    long = model.fit_rest(ready, params)
+    f1 = model.f1_by_round(long, valid)
+    for n in (1, 3, 4):
+        short = model.fit_rest(ready, model.replace(params, rounds=n))
+        plain = metrics.with_prediction(model.score_rest(model.Ensemble(short, n), valid)).withColumn("label", F.col("type"))
+        assert metrics.macro_f1(plain).first()["macro_f1"] == pytest.approx(f1[n - 1])
+        ours = model.score_rest(model.Ensemble(long, n), valid).toPandas().set_index("id").sort_index()
+        p = [short[i].transform(valid).toPandas().set_index("id").sort_index()["probability"].map(lambda v: v[1]) for i in range(3)]
+        for i, name in enumerate(metrics.PROBABILITIES):
+            np.testing.assert_allclose(ours[name], p[i] / sum(p), atol=1e-6)
 
 
 def test_categorical_column_is_split_by_category(spark):
-    rows = [(i, S.CLASSES[i % 3], float(i % 2), "xyz"[i % 3] if i % 11 else None) for i in range(120)]
+    rows = [(i, S.CLASSES[i % 3], float(i % 2), f"{'xyz'[i % 3]}{i % 100}" if i % 11 else None) for i in range(600)]
     table = spark.createDataFrame(rows, "id bigint, type string, noise double, kind string")
     ready = model.assemble(table, ["noise", "kind"], ["id", "type"], ["kind"])
-    params = model.TreeParams(rounds=2, step=0.5, depth=2, features=1.0, sample=1.0, min_rows=1)
-    scored = metrics.with_prediction(model.score_rest(model.fit_rest(ready, params), ready))
+    params = model.TreeParams(rounds=2, step=0.5, depth=2, features=1.0, sample=1.0, min_rows=1, bins=32)
+    scored = metrics.with_prediction(model.score_rest(model.fit_best(ready, ready, params), ready))
     assert scored.filter("id % 11 <> 0 and predicted <> type").count() == 0
     assert "kind" in str(ready.schema["x"].metadata)
 
@@ -171,15 +186,45 @@ def test_split_files_keep_their_row_order(spark, tmp_path):
     spark.conf.set("spark.sql.files.openCostInBytes", "0")
     try:
         df = tracks.read_tracks(spark, str(folder))
-        assert df.rdd.getNumPartitions() > 3
+        assert spark.read.text(str(folder)).rdd.getNumPartitions() > 3
         rows = df.orderBy("seq").collect()
     finally:
         for k, v in old.items():
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
-    assert len({r["seq"] for r in rows}) == 4000
+    assert [r["seq"] for r in rows] == list(range(4000))
     assert [r["lat"] for r in rows] == [30 + i / 1000 for i in range(4000)]
 
 
+def test_row_numbers_do_not_depend_on_packing(spark, pings, tmp_path):
+    write_vessels(pings.filter("type is not null and id < 9"), tmp_path / "train", True)
+    old = spark.conf.get("spark.sql.files.openCostInBytes")
+    tables = []
+    try:
+        for cost in ("1", "100000000"):
+            spark.conf.set("spark.sql.files.openCostInBytes", cost)
+            df = tracks.read_tracks(spark, str(tmp_path / "train"))
+            tables.append((df.toPandas().sort_values(["id", "seq"]).reset_index(drop=True),
+                           {tuple(r) for r in text.sample_rows(df).select("id", "seq").collect()}))
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", old)
+    assert tables[0][0].equals(tables[1][0]) and tables[0][1] == tables[1][1]
+    assert dict(tracks.read_tracks(spark, str(tmp_path / "train")).dtypes)["seq"] == "bigint"
+    assert set(tables[0][0].groupby("id")["seq"].min()) == {0}
+
+
+def test_times_do_not_depend_on_the_zone(spark):
+    rows = spark.createDataFrame([("0310 02:30:00",), ("0310 03:30:00",), ("0229 00:00:00",), ("310 2:3:4",), (None,)], "time string")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    got = []
+    try:
+        for zone in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            got.append([str(r[0]) for r in rows.select(S.parse_time("time").cast("string")).collect()])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got[0] == got[1] == ["2019-03-10 02:30:00", "2019-03-10 03:30:00", "None", "None", "None"]
+
+
 def test_bad_values_become_null(spark, tmp_path):
     folder = tmp_path / "bad"
     folder.mkdir()

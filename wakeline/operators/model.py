@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, replace
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window, functions as F
 
 from wakeline.functions import scalars as S
-from wakeline.operators.metrics import PROBABILITIES, macro_f1, with_prediction
+from wakeline.operators.metrics import PROBABILITIES
+from wakeline.operators.skew import settle
 
 # Trees have no missing values; these stand below and above every real feature.
 MISSING, HUGE = -1e18, 1e17
@@ -19,7 +23,8 @@ MISSING, HUGE = -1e18, 1e17
 
 @dataclass(frozen=True)
 class TreeParams:
-    """Boosting settings. `grid` lists round counts to choose from by held-out macro F1."""
+    """Boosting settings. With `patience` boosting ends when the held-out macro F1 has not
+    risen for that many rounds, and the best round counts; without it all rounds count."""
 
     rounds: int
     step: float
@@ -27,17 +32,17 @@ class TreeParams:
     features: float
     sample: float
     min_rows: int = 20
-    tolerance: float = 0.0
     seed: int = 1
-    grid: tuple[int, ...] = ()
+    patience: int = 0
+    bins: int = 255
 
 
 # The three members' learning rate, leaf budget (63, 63 and 35
-# leaves as depth), feature and row shares, leaf size and round limit.
+# leaves as depth), feature and row shares, leaf size, round limit and patience.
 MEMBER_PARAMS = {
-    "a": TreeParams(3000, 0.05, 6, 0.8, 0.8),
-    "b": TreeParams(5000, 0.05, 6, 0.8, 1.0),
-    "c": TreeParams(3000, 0.06, 5, 0.7, 0.9),
+    "a": TreeParams(3000, 0.05, 6, 0.8, 0.8, patience=100),
+    "b": TreeParams(5000, 0.05, 6, 0.8, 1.0, patience=100),
+    "c": TreeParams(3000, 0.06, 5, 0.7, 0.9, patience=300),
 }
 
 
@@ -94,55 +99,145 @@ def assemble(table: DataFrame, columns, keep, categorical=()) -> DataFrame:
     return VectorAssembler(inputCols=list(columns), outputCol="x").transform(filled).select(*keep, "x")
 
 
-def fit_rest(train: DataFrame, params: TreeParams, held_out: str | None = None) -> list:
-    """One binary boosted model per class from (x, type); rows where `held_out` holds
-    only decide when to stop."""
+def _bins(train: DataFrame, least: int) -> int:
+    """Bins per column: `least`, or as many as the largest categorical column has categories."""
+    attributes = train.schema["x"].metadata.get("ml_attr", {}).get("attrs", {})
+    return max([least, *(len(a.get("vals", ())) for a in attributes.get("nominal", ()))])
+
+
+def fit_rest(train: DataFrame, params: TreeParams) -> list:
+    """One binary boosted model per class from (x, type)."""
     models = []
     for c in S.CLASSES:
         gbt = GBTClassifier(
             featuresCol="x", labelCol="y", maxIter=params.rounds, stepSize=params.step,
             maxDepth=params.depth, subsamplingRate=params.sample, seed=params.seed,
-            featureSubsetStrategy=str(params.features), minInstancesPerNode=params.min_rows)
-        if held_out is not None:
-            gbt = gbt.setValidationIndicatorCol(held_out).setParams(validationTol=params.tolerance)
+            featureSubsetStrategy=str(params.features), minInstancesPerNode=params.min_rows,
+            maxBins=_bins(train, params.bins))
         models.append(gbt.fit(train.withColumn("y", (F.col("type") == c).cast("double"))))
     return models
 
 
+@dataclass(frozen=True)
+class Ensemble:
+    """One boosted model per class, of which the first `rounds` trees count."""
+
+    models: list
+    rounds: int
+
+    def importances(self) -> np.ndarray:
+        """The shares of the features in the gains of the counted trees, summed over the classes."""
+        total = 0
+        for m in self.models:
+            own = sum(t.featureImportances.toArray() for t in m.trees[:self.rounds])
+            total = total + own / max(own.sum(), 1e-300)
+        return total
+
+
+def _leaves(m) -> np.ndarray:
+    """What each leaf of each tree adds to the margin, leaves from left to right: (trees, leaves)."""
+    rows = []
+    for tree, weight in zip(m.trees, m.treeWeights):
+        values = re.findall(r"Predict: (\S+)", tree.toDebugString)
+        rows.append([weight * float(v) for v in values])
+    table = np.zeros((len(rows), max(map(len, rows))))
+    for at, row in enumerate(rows):
+        table[at, :len(row)] = row
+    return table
+
+
+def _with_leaves(models, table: DataFrame) -> DataFrame:
+    """Adds to (x, ...) the leaf that each row falls into, by class and tree, in place of x."""
+    keep = [c for c in table.columns if c != "x"]
+    out = table
+    for i, m in enumerate(models):
+        out = (m.copy().setLeafCol(f"_leaf{i}").transform(out)
+               .drop("rawPrediction", "probability", "prediction"))
+    return out.select(*keep, *[vector_to_array(f"_leaf{i}", "float32").alias(f"_leaf{i}") for i in range(len(models))])
+
+
+def f1_by_round(models, valid: DataFrame) -> np.ndarray:
+    """The macro F1 on (x, type) of the first tree, the first two, and so on."""
+    tables, classes = [_leaves(m) for m in models], list(S.CLASSES)
+    rounds = min(len(t) for t in tables)
+
+    def count(batches):
+        at = np.arange(rounds)
+        for b in batches:
+            counts = np.zeros((rounds, len(classes), len(classes)), dtype=np.int64)
+            for start in range(0, len(b), 100):
+                rows = b.iloc[start:start + 100]
+                margins = np.stack([np.cumsum(t[at, np.stack(rows[f"_leaf{i}"].to_list())[:, :rounds].astype(int)], axis=1)
+                                    for i, t in enumerate(tables)], axis=2)
+                guessed = margins.argmax(axis=2)
+                for actual, row in zip(rows["type"], guessed):
+                    counts[at, classes.index(actual), row] += 1
+            r, actual, guess = np.nonzero(counts)
+            yield pd.DataFrame({"r": r, "actual": actual, "guess": guess, "n": counts[r, actual, guess]})
+
+    sums = (_with_leaves(models, valid.select("x", "type")).mapInPandas(count, "r int, actual int, guess int, n long")
+            .groupBy("r", "actual", "guess").agg(F.sum("n").alias("n")).collect())  # rounds x classes^2 at most
+    counts = np.zeros((rounds, len(classes), len(classes)))
+    for r in sums:
+        counts[r["r"], r["actual"], r["guess"]] = r["n"]
+    hits = np.einsum("rcc->rc", counts)
+    either = counts.sum(axis=1) + counts.sum(axis=2)
+    f1 = np.where(either > 0, 2 * hits / np.maximum(either, 1), np.nan)
+    return np.nanmean(f1, axis=1) if sums else np.full(rounds, -1.0)
+
+
+def best_round(f1, patience: int) -> tuple[int, bool]:
+    """The number of rounds to keep, the first best, and whether patience ran out before the end."""
+    best = 0
+    for r in range(1, len(f1)):
+        if f1[r] > f1[best]:
+            best = r
+        elif r - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
 def _normalised(df: DataFrame) -> DataFrame:
     total = reduce(lambda a, b: a + b, [F.col(f"_{p}") for p in PROBABILITIES])
     return df.select("*", *[S.safe_ratio(F.col(f"_{p}"), total).alias(p) for p in PROBABILITIES]) \
         .drop(*[f"_{p}" for p in PROBABILITIES])
 
 
-def score_rest(models, table: DataFrame) -> DataFrame:
+def score_rest(ensemble: Ensemble, table: DataFrame) -> DataFrame:
     """Class probabilities of the (x) rows, scaled to sum 1."""
     keep = [c for c in table.columns if c != "x"]
-    out = table
-    for p, m in zip(PROBABILITIES, models):
-        out = (m.transform(out).withColumn(f"_{p}", F.get(vector_to_array("probability"), F.lit(1)))
-               .drop("rawPrediction", "probability", "prediction"))
-    return _normalised(out.select(*keep, *[f"_{p}" for p in PROBABILITIES]))
+    tables, rounds = [_leaves(m)[:ensemble.rounds] for m in ensemble.models], ensemble.rounds
+    names = [f"_{p}" for p in PROBABILITIES]
+
+    def score(batches):
+        at = np.arange(rounds)
+        for b in batches:
+            out = b[keep].copy()
+            for i, (t, name) in enumerate(zip(tables, names)):
+                sums = [t[at, np.asarray(leaf)[:rounds].astype(int)].sum() for leaf in b[f"_leaf{i}"]]
+                out[name] = 1.0 / (1.0 + np.exp(-2.0 * np.array(sums, dtype=float)))
+            yield out
 
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in table.schema if f.name != "x"]
+                       + [f"`{n}` double" for n in names])
+    return _normalised(_with_leaves(ensemble.models, table).mapInPandas(score, schema))
 
-def held_out_f1(models, valid: DataFrame) -> float:
-    scored = with_prediction(score_rest(models, valid)).withColumn("label", F.col("type"))
-    value = macro_f1(scored).first()["macro_f1"]
-    return -1.0 if value is None else value
 
+def fit_best(train: DataFrame, valid: DataFrame, params: TreeParams) -> Ensemble:
+    """The ensemble of the round with the best macro F1 on the held-out rows.
 
-def fit_best(train: DataFrame, valid: DataFrame, params: TreeParams, held_out: str) -> list:
-    """The models with the round count of `params.grid` that gives the best macro F1 on the
-    held-out rows (the first on ties); without a grid the held-out loss stops the boosting."""
-    if not params.grid:
-        return fit_rest(train, params, held_out)
-    best, best_f1 = None, -2.0
-    for rounds in params.grid:
-        models = fit_rest(train, replace(params, rounds=rounds), held_out)
-        f1 = held_out_f1(models, valid)
-        if f1 > best_f1:
-            best, best_f1 = models, f1
-    return best
+    A fit contains all shorter ones, so its prefixes are scored instead of
+    fitting again; the number of rounds is doubled until patience runs out.
+    """
+    if not params.patience:
+        return Ensemble(fit_rest(train, params), params.rounds)
+    rounds = min(params.rounds, 2 * params.patience)
+    while True:
+        models = fit_rest(train, replace(params, rounds=rounds))
+        best, ended = best_round(f1_by_round(models, valid), params.patience)
+        if ended or rounds >= params.rounds:
+            return Ensemble(models, best)
+        rounds = min(params.rounds, 2 * rounds)
 
 
 @dataclass(frozen=True)
@@ -168,14 +263,15 @@ def cross_validate(table: DataFrame, params: TreeParams, k: int = 5, seed: int =
     train = labelled(ready).join(known.select("id", "fold"), "id").persist()
     test = unlabelled(ready).select("id", "x")
     oof, scores, importance = [], [], []
-    for f in range(k):
-        marked = train.withColumn("_held", F.col("fold") == f)
-        valid = train.filter(F.col("fold") == f)
-        models = fit_best(marked, valid, params, "_held")
-        oof.append(score_rest(models, valid))
-        scores.append(score_rest(models, test))
-        gains = sum(m.featureImportances.toArray() for m in models)
-        importance += [(c, float(g), f) for c, g in zip(columns, gains)]
+    try:
+        for f in range(k):
+            valid = train.filter(F.col("fold") == f)
+            ensemble = fit_best(train.filter(F.col("fold") != f), valid, params)
+            oof.append(settle(score_rest(ensemble, valid)))
+            scores.append(settle(score_rest(ensemble, test)))
+            importance += [(c, float(g), f) for c, g in zip(columns, ensemble.importances())]
+    finally:
+        train.unpersist()
     stack = lambda parts: reduce(DataFrame.unionByName, parts)
     mean = stack(scores).groupBy("id").agg(*[F.avg(p).alias(p) for p in PROBABILITIES])
     rows = table.sparkSession.createDataFrame(importance, "feature string, importance double, fold int")

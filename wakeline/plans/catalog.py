@@ -666,13 +666,13 @@ def _(p):
     return factor.word2vec_means(p)
 
 
-_SMALL_TREES = model.TreeParams(rounds=4, step=0.1, depth=3, features=0.8, sample=0.8, min_rows=2, grid=(2, 4))
+_SMALL_TREES = model.TreeParams(rounds=6, step=0.1, depth=3, features=0.8, sample=0.8, min_rows=2, patience=3)
 
 
 def _small_model(p):
     table = stats.stat_block(stats.with_masks(p), [*stats.decile_stats(["lat", "lon", "speed"]),
                                                    *stats.direction_stats()])
-    return model.cross_validate(settle(table.join(tracks.track_labels(p), "id")), _SMALL_TREES, k=2)
+    return model.cross_validate(settle(table.join(tracks.track_labels(p), "id")), _SMALL_TREES)
 
 
 @query("word2vec_mean_spread")
