@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from wakeline.functions import scalars as S
 from wakeline.operators.skew import MAX_GROUP_ROWS, find_large
-from wakeline.operators.stats import Stat, stat_block, value_counts, with_masks
+from wakeline.operators.stats import Stat, rows_limit, stat_block, value_counts, with_masks
 
 
 def mode_block(pings: DataFrame, modes, key: str = "id", profiles=(),
@@ -150,6 +150,6 @@ def whole_track_profile(pings: DataFrame, limit: int = MAX_GROUP_ROWS, large="fi
     """47 statistics of a whole track: modes, quantiles, spreads, frequency profile, aspect."""
     p = with_masks(pings)
     if large == "find":
-        large = find_large(pings, ["id"], limit)
+        large = find_large(pings, ["id"], rows_limit(whole_track_stats(), limit))
     return (with_spreads(stat_block(p, whole_track_stats(), limit=limit, large=large))
             .join(mode_block(p, WHOLE_TRACK_MODES, profiles=["lon"], large=large), "id", "left"))

@@ -81,19 +81,35 @@ def _groups(stats) -> list[tuple[str, str | None]]:
     return list(dict.fromkeys((s.column, s.mask) for s in stats))
 
 
+# Values that one track may put into the lists of one task. Up to 128 tracks are
+# held there at once, so this bounds them to some 500 MB together.
+MAX_TRACK_VALUES = 100_000
+
+
+def rows_limit(stats, limit: int = MAX_GROUP_ROWS) -> int:
+    """The most pings of a track whose quantiles and distinct counts are taken in one task.
+
+    The more (column, mask) pairs there are, the fewer pings; `stats` may also
+    be the number of pairs.
+    """
+    pairs = stats if isinstance(stats, int) else len(_groups([s for s in stats if s.holistic]))
+    return max(1, min(limit, MAX_TRACK_VALUES // max(1, pairs)))
+
+
 def stat_block(pings: DataFrame, stats, key: str = "id", limit: int = MAX_GROUP_ROWS,
                large="find") -> DataFrame:
     """One row per key with every Stat, computed in a single aggregation.
 
     Quantiles and distinct counts need a track's values in one task, so that
-    plan serves the tracks of at most `limit` pings; those of larger tracks
-    come from distributed value counts, with the same results.
+    plan serves the tracks of at most rows_limit(stats, limit) pings; those of
+    larger tracks come from distributed value counts, with the same results.
+    `large` is what find_large gives for that number.
     """
     stats = list(stats)
     if not any(s.holistic for s in stats):
         large = None  # the others are pre-aggregated before the shuffle anyway
     elif large == "find":
-        large = find_large(pings, [key], limit)
+        large = find_large(pings, [key], rows_limit(stats, limit))
     if large is None:
         return _fused(pings, stats, key)
     return _fused(large.without(pings), stats, key).unionByName(

@@ -291,7 +291,7 @@ def _(p):
 
 def _block(name, ctes, table, prepare, wanted, limit=MAX_GROUP_ROWS):
     def build(p):
-        large = find_large(p, ["id"], limit)  # counted once, for the windows and the block
+        large = find_large(p, ["id"], stats.rows_limit(wanted, limit))  # counted once, for the windows and the block
         return stats.stat_block(prepare(p, large), wanted, large=large)
     query(name, O.with_(*ctes) + O.stat_select(wanted, table))(build)
 
@@ -632,7 +632,7 @@ m as ({O.modes('lat', 'avg', 'masked')}), t as ({_top_sql()})
 select base.*, round(m.m,6) as lat_mode, t.* exclude (id) from base left join m on m.id=base.id left join t on t.id=base.id""")
 def track_profile(p):
     """Statistics of all and of the stopped pings, the mode, and the top places of each track."""
-    large = find_large(p, ["id"])
+    large = find_large(p, ["id"], stats.rows_limit(5))
     block = stats.stat_block(stats.with_masks(p), stats.wide_stats(["lat", "lon", "speed"])
                              + stats.wide_stats(["lat", "lon"], "stopped", "stopped_"), large=large)
     return (block.join(places.mode_block(p, [("lat_mode", "lat", None, "mean")], large=large), "id", "left")

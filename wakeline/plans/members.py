@@ -21,11 +21,15 @@ def join_features(base: DataFrame, *blocks: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.join(b, "id", "left"), blocks, base)
 
 
+# (column, mask) pairs of the widest block below.
+MAX_PAIRS = 16
+
+
 def features_a(pings: DataFrame, k: int = 30, iterations: int = 20, w2v_rounds: int = 10,
                limit: int = MAX_GROUP_ROWS) -> DataFrame:
     """318 features: stat blocks under three masks, top places, geohash, gradient and
     sample corpora, Word2Vec means."""
-    large = find_large(pings, ["id"], limit)
+    large = find_large(pings, ["id"], stats.rows_limit(MAX_PAIRS, limit))
     changed = motion.with_changes(motion.with_motion(pings, limit=limit, large=large))
     block = stats.stat_block(changed, [
         Stat("cnt", "id", "rows"), Stat("anchor_cnt", "anchored", "sum"),
@@ -49,7 +53,7 @@ def features_b(pings: DataFrame, k: int = 10, iterations: int = 20,
     """181 features of the pings with a valid position: deciles under five masks, place
     diversity, coordinate, geohash, slow-speed and gradient corpora."""
     pings = pings.filter(S.valid_position())
-    large = find_large(pings, ["id"], limit)
+    large = find_large(pings, ["id"], stats.rows_limit(MAX_PAIRS, limit))
     block = stats.stat_block(stats.with_masks(pings), [
         *stats.decile_stats(AXES),
         *stats.decile_stats(["speed"], "moving"),
@@ -69,7 +73,7 @@ def features_c(pings: DataFrame, k: int = 30, iterations: int = 20, order=("seq"
                limit: int = MAX_GROUP_ROWS) -> DataFrame:
     """199 features: whole-track profile, stopped and moving blocks, steps and deltas in
     file order, top places, speed bins, place and geohash corpora."""
-    large = find_large(pings, ["id"], limit)
+    large = find_large(pings, ["id"], stats.rows_limit(MAX_PAIRS, limit))
     masked = stats.with_masks(pings)
     block = stats.stat_block(masked, [
         *places.whole_track_stats(), *stats.stopped_stats(), *stats.moving_stats(),
