@@ -4,6 +4,7 @@ that must give the same rows."""
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -695,14 +696,42 @@ def _(p):
     return factor.context_weights(text.token_documents(words, chunk=20, ahead=5), shift=2.0)
 
 
-@query("oof_coverage", O.with_(_KNOWN) + f"select id, type, {O.folds(2, 1996)} as fold, "
+@query("oof_coverage", O.with_(_KNOWN) + f"select id, type, {O.folds(5, 1996)} as fold, "
        "cast(1 as double) as total from known")
 def _(p):
     """Every labelled track is scored once, by the models that have not seen it."""
-    table = stats.stat_block(p, [Stat("lat_mean", "lat", "mean"), Stat("speed_median", "speed", "q", 0.5)])
-    tiny = model.TreeParams(rounds=1, step=0.1, depth=1, features=1.0, sample=1.0, min_rows=1)
-    oof = model.cross_validate(settle(table.join(tracks.track_labels(p), "id")), tiny, k=2).oof
-    return oof.select("id", "type", "fold", (F.col("p_trawl") + F.col("p_gill") + F.col("p_seine")).alias("total"))
+    return _small_model(p).oof.select(
+        "id", "type", "fold", (F.col("p_trawl") + F.col("p_gill") + F.col("p_seine")).alias("total"))
+
+
+@query("importance_sums", "select unnest(range(5)) as fold, cast(3 as double) as total")
+def _(p):
+    """The importances of each class model sum to 1, so those of a fold to the number of classes."""
+    found = _small_model(p).importance
+    return found.groupBy(F.col("fold").cast("bigint").alias("fold")).agg(F.sum("importance").alias("total"))
+
+
+@query("svd_orthogonal_columns", "select i, j, cast(0 as double) as cosine, true as falling "
+       "from range(10) a(i), range(10) b(j) where i < j")
+def _(p):
+    """Score columns are orthogonal and don't grow from one to the next."""
+    scores = factor.svd_features(p, "slow_geohash", 10, {"s": "tfidf"})
+    names = [f"s_{i}" for i in range(10)]
+    gram = scores.agg(*[F.sum(F.col(a) * F.col(b)).alias(f"{a}{b}") for a in names for b in names]).select(F.explode(F.array(*[
+        F.struct(F.lit(i).cast("bigint").alias("i"), F.lit(j).cast("bigint").alias("j"),
+                 S.safe_ratio(F.abs(F.col(f"s_{i}s_{j}")), F.sqrt(F.col(f"s_{i}s_{i}") * F.col(f"s_{j}s_{j}"))).alias("cosine"),
+                 (F.col(f"s_{i}s_{i}") >= F.col(f"s_{j}s_{j}")).alias("falling"))
+        for i in range(10) for j in range(i + 1, 10)])).alias("g"))
+    return gram.select("g.*")
+
+
+@query("word2vec_without_cuts", O.with_() + "select distinct id, true as same from tracks")
+def _(p):
+    """Cutting sentences every 20 pings changes no vector."""
+    a, b = (factor.word2vec_means(p, size=5, chunk=c) for c in (1000, 20))
+    columns = [c for c in a.columns if c != "id"]
+    far = [F.abs(a[c] - b[c]) > 1e-6 for c in columns]
+    return a.join(b, "id").select("id", (~reduce(lambda x, y: x | y, far)).alias("same"))
 
 
 @query("ovr_gbt_oof")
