@@ -90,6 +90,35 @@ def _(p):
                        "lat", "lon", "speed", "direction", "type")
 
 
+@query("row_numbers_of_files", O.with_() + """select id, lat, lon, speed,
+  row_number() over (partition by id order by ts, seq) - 1 as seq from tracks""")
+def _(p):
+    """One file per vessel, rows in time order: seq numbers them from 0."""
+    path = f"{shared_folder(p.sparkSession)}/wakeline-csv-{uuid.uuid4().hex}"
+    native = F.lit(None).cast("string")
+    (p.repartition("id").sortWithinPartitions("id", "ts", "seq")
+     .select(F.col("id").alias("渔船ID"), "lat", "lon", F.col("speed").alias("速度"), F.col("direction").alias("方向"),
+             F.date_format("ts", "MMdd HH:mm:ss").alias("time"), native.alias("type"), F.col("id").alias("vessel"))
+     .write.partitionBy("vessel").option("header", True).csv(path))
+    return tracks.read_tracks(p.sparkSession, path).select("id", "lat", "lon", "speed", "seq")
+
+
+@query("label_lines", O.with_() + """select distinct id, case type when 'trawl' then '拖网' when 'gill' then '刺网'
+  when 'seine' then '围网' end as label from tracks where type is not null""")
+def _(p):
+    """The label file, read back."""
+    path = f"{shared_folder(p.sparkSession)}/wakeline-labels-{uuid.uuid4().hex}"
+    known = tracks.labelled(tracks.distinct_tracks(p))
+    sinks.write_labels(known.withColumnRenamed("type", "label"), path)
+    return p.sparkSession.read.schema("id bigint, label string").csv(path)
+
+
+@query("dropped_by_name_part", O.with_() + """select id, min(lat) as lat_min, max(lat) as lat_max from tracks group by id""")
+def _(p):
+    table = stats.stat_block(p, [Stat(f"{c}_{k}", c, k) for c in ("lat", "speed", "direction") for k in ("min", "max")])
+    return model.drop_by_substring(table, ["speed", "direc"])
+
+
 @query("sequence_numbers", O.with_() + """select id, seq as source_seq,
   row_number() over (partition by id order by ts, seq) - 1 as seq from tracks""")
 def _(p):
