@@ -169,6 +169,26 @@ def test_without_trusted_documents(odd, labels):
     assert all(r.score == 0 and r.kept != r.base_failed for r in rows)
 
 
+def test_fluent_toxic_documents_go(spark):
+    """A few tell-tale words in long, otherwise clean texts; half of the documents have no label."""
+    rng = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(800)]
+    texts, marks = [], []
+    for d in range(600):
+        w, toxic = rng.choices(vocabulary, k=300), d % 5 == 0
+        if toxic:
+            for bad in rng.sample(["vile1", "vile2", "vile3"], 2):
+                w[rng.randrange(300)] = bad
+        texts.append((d, " ".join(w)))
+        if d % 4 < 2:
+            marks.append((d, 1, int(toxic)))
+    labels = spark.createDataFrame(marks, "doc_id bigint, quality int, toxic int")
+    rows = quality.rules(spark.createDataFrame(texts, "doc_id bigint, text string"), labels).select("doc_id", "_quality.*").collect()
+    assert all(r.score >= quality.THRESHOLD and not r.base_failed for r in rows)
+    assert not [r.doc_id for r in rows if r.doc_id % 5 == 0 and r.kept]
+    assert sum(r.kept for r in rows if r.doc_id % 5) >= 0.98 * 480
+
+
 # -- mixing
 
 def test_mix(docs):

@@ -3,7 +3,10 @@
 Words and word pairs are hashed into a fixed number of buckets. One pass over
 all documents counts the buckets of the raw corpus and of the trusted documents;
 a document's score is the mean log ratio of the two multinomials over its
-n-grams. Every document gets the same rule and the same threshold.
+n-grams. A mean hides a few words in a long text, so single words are judged
+too: a word that the trusted part of the labelled documents lacks, though its
+frequency in the others says it should be there, is foreign, and a document
+with a foreign word goes. Every document gets the same rules and thresholds.
 """
 
 from __future__ import annotations
@@ -12,7 +15,8 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wakeline.llm.common import BLANKS, let, words
+from wakeline.llm.common import BLANKS, broadcast_if, let, words
+from wakeline.operators.skew import settle
 
 BUCKETS = 1 << 14
 WINDOW = 5
@@ -23,6 +27,11 @@ PRIOR = 1 << 17
 # The target model is fitted on at most this many trusted documents.
 TRUSTED_LIMIT = 20_000
 SYMBOLS = "#*$%&|<>"
+# A word is foreign if this many trusted documents should hold it, by its share of
+# all labelled documents, and at most this part of them does.
+EXPECTED, PRESENT = 8, 0.05
+# Keys of eight or sixteen bytes up to this number are joined by broadcast; more by a shuffle.
+MAX_BROADCAST_KEYS = 1_000_000
 
 
 def _hashes(array: Column) -> Column:
@@ -74,6 +83,39 @@ def repeated_words(hashes: Column) -> Column:
     return F.when(F.size(hashes) <= WINDOW, 0).otherwise(let(_windows(hashes), count))
 
 
+def _judged(labels: DataFrame) -> DataFrame:
+    """(doc_id, good): every document with a known quality, once."""
+    return (labels.filter(F.col("doc_id").isNotNull()).groupBy("doc_id")
+            .agg(F.min("quality").alias("q"), F.max("toxic").alias("t")).filter(F.col("q").isNotNull())
+            .select("doc_id", ((F.col("q") == 1) & (F.coalesce("t", F.lit(0)) == 0)).alias("good")))
+
+
+def foreign_words(docs: DataFrame, labels: DataFrame) -> DataFrame | None:
+    """(h): hashes of the words that trusted documents lack; None without trusted text."""
+    marked = docs.select("doc_id", "text").join(broadcast_if(settle(_judged(labels)), MAX_BROADCAST_KEYS), "doc_id")
+    n, good = marked.agg(F.count(F.lit(1)), F.count_if("good")).first()
+    if not good:
+        return None
+    held = marked.select("good", F.explode(F.array_distinct(_hashes(words(F.col("text"))))).alias("h"))
+    counts = held.groupBy("h").agg((F.count(F.lit(1)) * (good / n)).alias("expected"), F.count_if("good").alias("held"))
+    return settle(counts.filter((F.col("expected") >= EXPECTED) & (F.col("held") <= PRESENT * F.col("expected"))).select("h"))
+
+
+def _digest(text: Column) -> Column:
+    return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
+
+
+def foreign_counts(docs: DataFrame, labels: DataFrame) -> DataFrame | None:
+    """(_digest, n_foreign): the distinct foreign words of each text that has any, by the text's md5."""
+    foreign = foreign_words(docs, labels)
+    if foreign is None:
+        return None
+    held = docs.select(_digest(F.col("text")).alias("_digest"),
+                       F.explode(F.array_distinct(_hashes(words(F.col("text"))))).alias("h"))
+    found = held.join(broadcast_if(foreign, MAX_BROADCAST_KEYS), "h", "left_semi")
+    return settle(found.groupBy("_digest").agg(F.count_distinct("h").alias("n_foreign")))
+
+
 def trusted_ids(labels: DataFrame, limit: int = TRUSTED_LIMIT) -> DataFrame:
     """Up to `limit` ids of good and harmless documents, those with the smallest hashes."""
     good = (labels.filter(F.col("doc_id").isNotNull()).groupBy("doc_id")
@@ -119,6 +161,8 @@ def rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, limi
     base rules. Without a trusted document the base rules decide alone.
     """
     ratios = log_ratios(docs, labels, limit)
+    foreign = foreign_counts(docs, labels)
+    columns = docs.columns
     text = F.coalesce(F.col("text"), F.lit(""))
     filled = F.filter(F.split(text, "\n", -1), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
     dups = let(filled, lambda lines: F.size(lines) - F.size(F.array_distinct(lines)))
@@ -129,9 +173,15 @@ def rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, limi
         dups.cast("bigint").alias("n_dup_lines"), repeated_words(h).cast("bigint").alias("n_repeat_words"),
         mean_ratio(h, ratios).alias("score")))
 
-    def judged(m):
-        failed = (m["n_words"] < 10) | (m["n_repeat_words"] * 100 > m["n_words"] * 20)
-        names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "score")
-        return F.struct(*[m[n].alias(n) for n in names], failed.alias("base_failed"),
-                        (~failed & (m["score"] >= threshold)).alias("kept"))
-    return docs.withColumn("_quality", let(measured, judged))
+    m = F.col("_quality")
+    failed = (m["n_words"] < 10) | (m["n_repeat_words"] * 100 > m["n_words"] * 20)
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "score")
+    n_foreign = F.lit(0).cast("bigint")
+    docs = docs.withColumn("_quality", measured)
+    if foreign is not None:
+        docs = docs.withColumn("_digest", _digest(F.col("text"))).join(
+            broadcast_if(foreign, MAX_BROADCAST_KEYS), "_digest", "left")
+        n_foreign = F.coalesce("n_foreign", n_foreign)
+    return docs.select(*columns, F.struct(
+        *[m[n].alias(n) for n in names], n_foreign.alias("n_foreign"), failed.alias("base_failed"),
+        (~failed & (m["score"] >= threshold) & (n_foreign == 0)).alias("kept")).alias("_quality"))
