@@ -288,6 +288,23 @@ def test_a_large_group_of_near_copies(spark):
     assert by_value(got) == by_value(brute.components(rows))
 
 
+def test_near_copies_at_80_per_cent(spark):
+    """Sets of 200 shingles: 182 shared of 218 are 0.83, 176 of 224 are 0.79."""
+    def copy(text, changed):  # changes `changed` words at the end, one shingle each
+        return text[:len(text) - changed] + [f"{text[0]}x{i}" for i in range(changed)]
+    rows = []
+    for d in range(20):
+        text = [f"d{d}w{i}" for i in range(204)]
+        rows += [(3 * d, " ".join(text)), (3 * d + 1, " ".join(copy(text, 18)))]
+        far = [f"e{d}w{i}" for i in range(204)]
+        rows += [(1000 + 2 * d, " ".join(far)), (1001 + 2 * d, " ".join(copy(far, 24)))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = {r.doc_id for r in neardup.near_duplicates(docs, similarity=80).filter("kept").collect()}
+    assert kept == {d for d, _ in rows} - {3 * d + 1 for d in range(20)}
+    assert neardup.near_duplicates(docs).filter("kept").count() == len(rows)
+    assert neardup.matches_for(85) == neardup.MATCHES > neardup.matches_for(80)
+
+
 def test_components_of_a_chain(spark):
     n = 60
     links = spark.createDataFrame([(i, i + 1) for i in range(n)] + [(100, 200), (200, 100), (7, 7)], "u bigint, v bigint")

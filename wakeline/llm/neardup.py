@@ -14,6 +14,7 @@ from those.
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pandas as pd
@@ -25,9 +26,11 @@ from wakeline.operators import skew
 
 WORDS = 5
 SIMILARITY = 85  # per cent of the union
-# Coordinates of a signature, and how many a pair must share. A pair at 85 %
-# shares 54.4 on average with a deviation of 2.9: below 36 in one of 10^9.
+# Coordinates of a signature, and how many a pair at 85 % must share: it shares
+# 54.4 on average with a deviation of 2.9, below 36 in one of 10^9.
 COORDINATES, MATCHES = 64, 36
+# At other similarities: the share of pairs at the limit that may be missed.
+MISSED = 1e-9
 # Documents of a group that one task compares with as many others.
 BLOCK = 512
 # Shingles per document up to which a block holds BLOCK documents.
@@ -36,6 +39,16 @@ LONG = 2000
 MAX_BROADCAST_IDS = 2_000_000
 
 
+def matches_for(similarity: int) -> int:
+    """How many coordinates a pair must share: the most that a pair at the limit misses in MISSED of all cases."""
+    if similarity == SIMILARITY:
+        return MATCHES
+    p, below, k = similarity / 100, 0.0, 0
+    while k < COORDINATES and (below := below + math.comb(COORDINATES, k) * p**k * (1 - p)**(COORDINATES - k)) <= MISSED:
+        k += 1
+    return max(k, 1)
+
+
 def shingle_set(text: str | None, hasher: WordHasher, n: int = WORDS) -> np.ndarray:
     """The distinct hashes of n-word runs, ascending; words as bytes, A to Z lower-cased."""
     if not text:
@@ -80,16 +93,16 @@ def _postings(classes: DataFrame) -> DataFrame:
     return classes.select("id", "signature").mapInArrow(run, "id bigint, posting bigint")
 
 
-def _prefixes(classes: DataFrame) -> DataFrame:
+def _prefixes(classes: DataFrame, matches: int) -> DataFrame:
     """(hub, id): documents that share a prefix posting with others, under its smallest document."""
     posted = _postings(classes)
     shared = (posted.groupBy("posting").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("hub"))
               .filter(F.col("n") > 1))
     rare_first = F.sort_array(F.collect_list(F.struct("n", "posting", "hub")))  # COORDINATES entries at most
     held = (posted.join(shared, "posting").groupBy("id").agg(rare_first.alias("held"))
-            .filter(F.size("held") >= MATCHES))
-    # The postings that nobody shares come first in the prefix of COORDINATES - MATCHES + 1.
-    prefix = F.slice("held", F.lit(1), F.size("held") - (MATCHES - 1))
+            .filter(F.size("held") >= matches))
+    # The postings that nobody shares come first in the prefix of COORDINATES - matches + 1.
+    prefix = F.slice("held", F.lit(1), F.size("held") - (matches - 1))
     return held.select("id", F.explode(F.array_distinct(F.transform(prefix, lambda p: p["hub"]))).alias("hub"))
 
 
@@ -138,9 +151,9 @@ def linked(ids: np.ndarray, signatures: np.ndarray, sets: list[np.ndarray], simi
     ends = np.cumsum(count)
     by_value, starts = owner[order], ends - count
     first = np.concatenate([[0], np.cumsum(sizes)])
-    forest, links = _Forest(len(sets)), []
+    forest, links, matches = _Forest(len(sets)), [], matches_for(similarity)
     for x in range(len(sets) - 1):
-        near = x + 1 + np.flatnonzero((signatures[x + 1:] == signatures[x]).sum(axis=1) >= MATCHES)
+        near = x + 1 + np.flatnonzero((signatures[x + 1:] == signatures[x]).sum(axis=1) >= matches)
         near = [y for y in near.tolist() if forest.root(y) != forest.root(x)]
         if not near:
             continue
@@ -155,12 +168,12 @@ def linked(ids: np.ndarray, signatures: np.ndarray, sets: list[np.ndarray], simi
     return links
 
 
-def _confirm(grouped: DataFrame) -> DataFrame:
+def _confirm(grouped: DataFrame, similarity: int) -> DataFrame:
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.drop_duplicates("id").sort_values("id")
         signatures = np.frombuffer(b"".join(frame["signature"]), np.int64).reshape(len(frame), COORDINATES)
         sets = [np.frombuffer(s, np.uint64) for s in frame["shingles"]]
-        return pd.DataFrame(linked(frame["id"].to_numpy(), signatures, sets), columns=["u", "v", "matches"])
+        return pd.DataFrame(linked(frame["id"].to_numpy(), signatures, sets, similarity), columns=["u", "v", "matches"])
     return grouped.groupBy("hub", "a", "b").applyInPandas(run, "u bigint, v bigint, matches int")
 
 
@@ -203,9 +216,11 @@ def components(links: DataFrame) -> DataFrame:
         before = now
 
 
-def near_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
+def near_duplicates(docs: DataFrame, block: int = BLOCK, similarity: int = SIMILARITY) -> DataFrame:
     """One row per row of `docs`: doc_id, n_shingles, component_id, kept.
 
+    Documents are linked from `similarity` per cent of the union of their sets on.
+
     Texts without words have an empty set and are linked with nothing; so are
     rows without a doc_id, whose component is null and which are kept. Rows of
     one doc_id are one document and must have one text. Other columns are left
@@ -218,10 +233,10 @@ def near_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
                         .agg(F.min("doc_id").alias("id")))
     classes = noted.join(first.withColumnRenamed("id", "doc_id"), ["digest", "doc_id"], "left_semi").select(
         F.col("doc_id").alias("id"), "signature")
-    members = skew.settle(_prefixes(classes))
+    members = skew.settle(_prefixes(classes, matches_for(similarity)))
     sets = skew.settle(_sets(docs, members.select("id").distinct()))
     sized = members.join(sets.select("id", (F.octet_length("shingles") / 8).alias("size")), "id")
-    links = skew.settle(_confirm(_groups(sized, block).join(sets, "id")))
+    links = skew.settle(_confirm(_groups(sized, block).join(sets, "id"), similarity))
     return (noted.select("doc_id", "n_shingles", "digest").join(first, "digest", "left")
             .withColumn("id", F.when(F.col("doc_id").isNotNull(), F.coalesce("id", "doc_id")))
             .join(components(links), "id", "left")
