@@ -169,6 +169,15 @@ def test_without_trusted_documents(odd, labels):
     assert all(r.score == 0 and r.kept != r.base_failed for r in rows)
 
 
+def test_all_trusted_documents_count(spark):
+    docs = spark.range(30_000).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text"))
+    labels = docs.select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    assert quality.trusted_ids(labels).count() == 30_000
+    # A bucket without any n-gram shows the number of trusted n-grams, three a document.
+    unseen = np.log(quality.PRIOR / (quality.PRIOR + 90_000))
+    assert min(quality.log_ratios(docs, labels)) == pytest.approx(unseen)
+
+
 def test_fluent_toxic_documents_go(spark):
     """A few tell-tale words in long, otherwise clean texts; half of the documents have no label."""
     rng = random.Random(8)

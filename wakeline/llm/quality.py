@@ -24,8 +24,6 @@ WINDOW = 5
 THRESHOLD = -0.1
 # The weight of the raw distribution in the target model, in n-grams.
 PRIOR = 1 << 17
-# The target model is fitted on at most this many trusted documents.
-TRUSTED_LIMIT = 20_000
 SYMBOLS = "#*$%&|<>"
 # A word is foreign if this many trusted documents should hold it, by its share of
 # all labelled documents, and at most this part of them does.
@@ -116,21 +114,18 @@ def foreign_counts(docs: DataFrame, labels: DataFrame) -> DataFrame | None:
     return settle(found.groupBy("_digest").agg(F.count_distinct("h").alias("n_foreign")))
 
 
-def trusted_ids(labels: DataFrame, limit: int = TRUSTED_LIMIT) -> DataFrame:
-    """Up to `limit` ids of good and harmless documents, those with the smallest hashes."""
-    good = (labels.filter(F.col("doc_id").isNotNull()).groupBy("doc_id")
-            .agg(F.min("quality").alias("q"), F.max("toxic").alias("t"))
-            .filter((F.col("q") == 1) & (F.coalesce("t", F.lit(0)) == 0)))
-    return good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit).select("doc_id")
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """The ids of all good and harmless documents."""
+    return _judged(labels).filter("good").select("doc_id")
 
 
-def log_ratios(docs: DataFrame, labels: DataFrame, limit: int = TRUSTED_LIMIT) -> list[float] | None:
+def log_ratios(docs: DataFrame, labels: DataFrame) -> list[float] | None:
     """log p_trusted - log p_raw of each bucket; None without trusted text.
 
     The raw counts get one more each. The trusted counts get PRIOR n-grams of
     the raw distribution, so that few trusted documents say little.
     """
-    trusted = F.broadcast(trusted_ids(labels, limit).withColumn("_good", F.lit(1)))  # `limit` ids at most
+    trusted = broadcast_if(settle(trusted_ids(labels)), MAX_BROADCAST_KEYS).withColumn("_good", F.lit(1))
     grams = (docs.select("doc_id", "text").join(trusted, "doc_id", "left")
              .select("_good", F.explode(let(_hashes(words(F.col("text"))), _buckets)).alias("bucket")))
     counts = grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.count("_good").alias("good")).collect()
@@ -153,14 +148,14 @@ def mean_ratio(hashes: Column, ratios: list[float] | None) -> Column:
     return F.when(F.size(hashes) == 0, 0.0).otherwise(total / (2 * F.size(hashes) - 1))
 
 
-def rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, limit: int = TRUSTED_LIMIT) -> DataFrame:
+def rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Adds `_quality`, a struct of the base counts, the score and the verdict, to every row.
 
     `docs` needs doc_id and text, `labels` doc_id, quality and toxic; other
     columns are carried along. A null or empty text has no words and fails the
     base rules. Without a trusted document the base rules decide alone.
     """
-    ratios = log_ratios(docs, labels, limit)
+    ratios = log_ratios(docs, labels)
     foreign = foreign_counts(docs, labels)
     columns = docs.columns
     text = F.coalesce(F.col("text"), F.lit(""))
