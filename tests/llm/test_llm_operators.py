@@ -78,6 +78,14 @@ def test_licences(spark, text, ids, found, unmatched):
     assert row.licences == 1
 
 
+@pytest.mark.parametrize("gap", ["\n", "  ", "\t", "\n * ", " " * 2500])
+def test_notices_wrapped_or_padded(spark, gap):
+    for text, ids in ((f"This is free and unencumbered software released into the public{gap}domain.", "<unlicense-head>"),
+                      (f"/* This work is released into the public{gap}domain. */", "<public-domain>"),
+                      (f"Released under the MIT{gap}License.", "<mit-short>")):
+        assert licenses.scan(spark.createDataFrame([(text,)], "text string")).first()._licence.sentence_ids == ids
+
+
 def test_licence_tables(spark, odd, none):
     known = licenses.sentences()
     assert all(any(s in text for s in licenses.STEMS) for text in known)

@@ -91,8 +91,10 @@ RULES = (
     (("public-domain",), "public domain"),
     (("all-rights",), "proprietary"),
 )
-# A text without any of these stems has no known sentence.
-STEMS = ("apache.org", "licen", "permi", "right", "redistribution", "warrant", "public domain", "liable")
+# A text without any of these stems has no known sentence. Each lies in one word, which no line end parts.
+STEMS = ("apache.org", "licen", "permi", "right", "redistribution", "warrant", "domain", "liable")
+# The SQL form still looks for these, and skips sentences of 2,000 characters or more.
+SQL_STEMS = ("apache.org", "licen", "permi", "right", "redistribution", "warrant", "public domain", "liable")
 # Ends of sentences: an end mark before a blank or the end, or an empty line; and any line end.
 ENDS = r"[.!?]\s*\n|[.!?][ \t]+|[.!?]\z|\n[ \t]*\n"
 ENDS_AND_LINES = r"[.!?][ \t]+|[.!?]\z|[.!?]?\n"
@@ -119,7 +121,7 @@ def normal(sentence: Column) -> Column:
 def _identified(text: Column, ends: str) -> Column:
     """The identifiers of the known sentences of a text, as '<id><id>'."""
     known = F.create_map(*[F.lit(x) for pair in sorted(sentences().items()) for x in pair])
-    names = F.transform(F.split(text, ends, -1), lambda s: F.when(F.length(s) < 2000, F.element_at(known, normal(s))))
+    names = F.transform(F.split(text, ends, -1), lambda s: F.element_at(known, normal(s)))
     return F.array_join(F.transform(F.filter(names, lambda n: n.isNotNull()), lambda n: F.concat(F.lit("<"), n, F.lit(">"))), "")
 
 
@@ -145,8 +147,8 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     """Adds `_licence`: the known sentences in order, the licences found, and how many sentences no rule took.
 
     Licences stand in the order of the rules, each once. A text that is null,
-    empty or without a known sentence has empty strings and zeros. Sentences of
-    2,000 characters or more are none of the known ones. All columns are kept.
+    empty or without a known sentence has empty strings and zeros. All columns
+    are kept.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     small = F.lower(body)
@@ -194,7 +196,7 @@ def oracle() -> str:
     count = "length({0}) - length(replace({0}, '<', ''))"
     wrapped = f"string_split(regexp_replace(regexp_replace(body, {lit(ENDS)}, chr(1), 'g'), '\\n', ' ', 'g'), chr(1))"
     lines = f"string_split_regex(body, {lit(ENDS_AND_LINES)})"
-    likely = " or ".join(f"contains(lower(body), {lit(s)})" for s in STEMS)
+    likely = " or ".join(f"contains(lower(body), {lit(s)})" for s in SQL_STEMS)
     return f"""with known as (select {known} as m),
 texts as (select doc_id, coalesce(text, '') as body, m from documents, known),
 readings as (select doc_id, case when {likely} then {identified(wrapped)} else '' end as wrapped,
