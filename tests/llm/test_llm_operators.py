@@ -279,6 +279,14 @@ def test_languages(spark, docs, sf_dir):
     assert {r.lang_pred for r in langid.identify(docs, None).collect()} <= {"und"}
 
 
+def test_the_longest_pieces_are_read():
+    import sentencepiece
+    model = sentencepiece.SentencePieceProcessor(model_file=langid.vocabulary_path())
+    longest = max((model.id_to_piece(i) for i in range(model.get_piece_size()) if not (
+        model.is_control(i) or model.is_unknown(i) or model.is_byte(i))), key=len)
+    assert len(longest) > 12 and longest in langid.read_pieces()
+
+
 def test_nothing_to_learn(none):
     assert langid.learn(none, F.lit(False), ["a"]) is None
 

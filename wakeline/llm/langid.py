@@ -21,7 +21,6 @@ from wakeline.operators import skew
 
 VOCABULARY = "piece_bpe_32k.model"
 MARK = "▁"  # stands for the start of a word in the vocabulary
-LONGEST = 12  # characters of a piece
 # A character that is no piece by itself; also what an unseen piece gets, as a share of its language's count.
 UNKNOWN = 1e-7
 # Characters up to which a word's likelihood can't underflow.
@@ -42,13 +41,13 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
-def read_pieces(path: str | None = None, longest: int = LONGEST) -> list[str]:
+def read_pieces(path: str | None = None) -> list[str]:
     """The vocabulary's pieces without control and byte pieces, in code point order."""
     import sentencepiece
     model = sentencepiece.SentencePieceProcessor(model_file=path or vocabulary_path())
     plain = (model.id_to_piece(i) for i in range(model.get_piece_size())
              if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i)))
-    return sorted({p for p in plain if 0 < len(p) <= longest})
+    return sorted({p for p in plain if p})
 
 
 _BASE = np.uint64(0x100000001B3)
