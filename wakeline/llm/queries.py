@@ -6,7 +6,9 @@ import uuid
 
 from pyspark.sql import DataFrame, functions as F
 
-from wakeline.llm import decontaminate, langid, licenses, linededup, mixing, neardup, quality, sharding, tokenio, urlfilter
+from wakeline.llm import (decontaminate, langid, licenses, linededup, mixing, neardup, prefixtrie, quality, sharding, tokenio,
+                          urlfilter)
+from wakeline.operators import skew
 from wakeline.operators.skew import shared_folder
 
 QUERIES: dict = {}
@@ -149,3 +151,14 @@ def op10_jump_shards(spark, sf_dir):
     placed = sharding.assign(docs, "doc_id", SHARDS, grown="grown_shard")
     numbered = sharding.slots(placed, "shard", ["doc_id", "text_crc32", "size"])
     return numbered.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+# Conversations that share a start, and the bound of how many turns of it they take.
+FAMILY, HEADS = 5, 9
+
+
+@query
+def op11_prefix_bands(spark, sf_dir):
+    """The prefix trie of all conversations, each given the first turns of its family's first one."""
+    placed = skew.settle(prefixtrie.turns(table(spark, sf_dir, "conversations")))
+    return prefixtrie.trie(*prefixtrie.families(placed, FAMILY, HEADS))
