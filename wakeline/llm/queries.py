@@ -6,8 +6,8 @@ import uuid
 
 from pyspark.sql import DataFrame, functions as F
 
-from wakeline.llm import (decontaminate, langid, licenses, linededup, mixing, neardup, prefixtrie, quality, sharding, tokenio,
-                          urlfilter)
+from wakeline.llm import (decontaminate, langid, licenses, linededup, mixing, neardup, prefixtrie, quality, repeats, sharding,
+                          tokenio, urlfilter, variants)
 from wakeline.operators import skew
 from wakeline.operators.skew import shared_folder
 
@@ -162,3 +162,17 @@ def op11_prefix_bands(spark, sf_dir):
     """The prefix trie of all conversations, each given the first turns of its family's first one."""
     placed = skew.settle(prefixtrie.turns(table(spark, sf_dir, "conversations")))
     return prefixtrie.trie(*prefixtrie.families(placed, FAMILY, HEADS))
+
+
+@query
+def op12_merged_transforms(spark, sf_dir):
+    """Every document's bytes, how many of them repeat and go, and a digest of those that stay."""
+    cleaned = repeats.dedup(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op13_sorted_variants(spark, sf_dir):
+    """The frequent words of all documents, the more frequent word that each is a variant of, and the last such word."""
+    words = skew.settle(variants.word_counts(table(spark, sf_dir, "documents")))
+    return variants.group_variants(words)
