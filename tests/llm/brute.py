@@ -72,7 +72,7 @@ def shingles(text):
     return frozenset(tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
 
 
-def components(docs):
+def components(docs, similarity=85):
     """[(doc_id, n_shingles, component)]; rows without an id stand alone."""
     sets = [shingles(t) for _, t in docs]
     up = list(range(len(docs)))
@@ -83,7 +83,7 @@ def components(docs):
         return x
     known = [i for i, (d, _) in enumerate(docs) if d is not None and sets[i]]
     for i, j in itertools.combinations(known, 2):
-        if docs[i][0] == docs[j][0] or 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j]):
+        if docs[i][0] == docs[j][0] or 100 * len(sets[i] & sets[j]) >= similarity * len(sets[i] | sets[j]):
             a, b = root(i), root(j)
             if a != b:
                 up[a] = b

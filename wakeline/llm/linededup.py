@@ -22,9 +22,10 @@ from wakeline.llm.common import BLANKS
 from wakeline.operators import skew
 
 MIN_CHARS, MIN_DOCS = 40, 5
-# Bits of each filter, 16 MB; about ten bits a line keep false suspects under a
-# few per cent, and more lines only mean more suspects.
-FILTER_BITS = 1 << 27
+# Bits of a filter for each long line, and the least and most bits of a filter: 128 MB.
+# Up to a hundred million lines some per cent of the single ones are suspects; beyond,
+# more lines only mean more suspects.
+LINE_BITS, LEAST_BITS, MOST_BITS = 10, 1 << 22, 1 << 30
 SEGMENT_BITS = 1 << 20
 # Stands for a null id: such rows count as one document, smaller than all others.
 NO_ID = -(1 << 63)
@@ -72,8 +73,19 @@ def _unpack(data: bytes) -> np.ndarray:
     return np.frombuffer(zlib.decompress(data), np.uint8)
 
 
-def repeat_filter(docs: DataFrame, bits: int = FILTER_BITS, min_chars: int = MIN_CHARS) -> np.ndarray:
-    """The merged twice-filter over the lines of all documents; `bits` long whatever the input."""
+def filter_bits(docs: DataFrame, min_chars: int = MIN_CHARS) -> int:
+    """Bits that the lines of the documents need: a power of two.
+
+    A text has no more long lines than lines, and no more than fit its length.
+    """
+    size = F.octet_length("text")
+    lines = size - F.octet_length(F.translate("text", "\n", "")) + 1
+    most = docs.agg(F.sum(F.least(lines, F.floor((size + 1) / (min_chars + 1))))).first()[0] or 0
+    return min(max(1 << (int(most) * LINE_BITS).bit_length(), LEAST_BITS), MOST_BITS)
+
+
+def repeat_filter(docs: DataFrame, bits: int, min_chars: int = MIN_CHARS) -> np.ndarray:
+    """The merged twice-filter over the lines of all documents, `bits` long."""
     step = min(bits, SEGMENT_BITS) // 8
 
     def build(batches):
@@ -127,16 +139,18 @@ def suspects(docs: DataFrame, merged: np.ndarray, min_chars: int = MIN_CHARS) ->
     return docs.mapInArrow(probe, "doc_id bigint, text string, n_lines bigint, keys array<string>")
 
 
-def dedup(docs: DataFrame, bits: int = FILTER_BITS, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
+def dedup(docs: DataFrame, bits: int | None = None, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
     """One row per document: doc_id, n_lines, n_dropped and the text that stays.
 
     A line whose key has `min_chars` code points or more and is found in at
     least `min_docs` documents stays only in the largest doc_id holding it,
     there wherever it stands. A null or empty text is one empty line. Rows of
     one doc_id are one document; rows with a null id are one document, smaller
-    than all others. Other columns are left out.
+    than all others. Other columns are left out. `bits` is the filters' size,
+    taken from the number of lines if not given.
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    bits = bits or filter_bits(docs, min_chars)
     noted = skew.settle(suspects(docs, repeat_filter(docs, bits, min_chars), min_chars))
     held = (noted.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("holder"), F.explode("keys").alias("key"))
             .groupBy("key", "holder").agg(F.lit(1).alias("one")))

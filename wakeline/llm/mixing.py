@@ -94,28 +94,25 @@ def plan(rows: DataFrame, **settings) -> DataFrame:
 
 def mix(df: DataFrame, text: str = "text", source: str = "source", identity=("doc_id",), seed: int = 0,
         **settings) -> DataFrame:
-    """Adds `_size`, `_source_size`, `_target` and `_times`, how often the mix takes a row.
+    """Adds `_mix`: struct(size, source_size, target, times), times being how often the mix takes a row.
 
     A null source is a source of its own; a null or empty text has size 0. Rows
     equal in identity and text are taken or left together. Any other columns
-    are carried along.
+    are carried along, but for one of that name.
     """
     identity = list(identity)
-    key = random_key(*identity, text, seed=seed)
-    narrow = skew.settle(df.select(F.col(source).alias("source"), text_size(F.col(text)).alias("size"), key.alias("key")))
-    chosen = broadcast_if(plan(narrow, **settings).select(
-        F.col("source").alias("_plan_source"), F.col("source_size").alias("_source_size"),
-        F.col("target").alias("_target"), F.col("epochs").alias("_epochs"), F.col("cut_key").alias("_cut_key")),
-        MAX_BROADCAST_SOURCES)
-    sized = df.withColumn("_size", text_size(F.col(text))).withColumn("_key", key)
-    times = F.col("_epochs") + F.when(F.col("_key") <= F.col("_cut_key"), 1).otherwise(0)
-    return (sized.join(chosen, F.col(source).eqNullSafe(F.col("_plan_source")), "left")
-            .withColumn("_times", times.cast("bigint"))
-            .drop("_plan_source", "_epochs", "_cut_key", "_key"))
+    key, size = random_key(*identity, text, seed=seed), text_size(F.col(text))
+    narrow = skew.settle(df.select(F.col(source).alias("source"), size.alias("size"), key.alias("key")))
+    chosen = broadcast_if(plan(narrow, **settings).withColumnRenamed("source", "planned"), MAX_BROADCAST_SOURCES)
+    # The row is kept in one column, so that none of its names can clash.
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns if c != "_mix"]).alias("row"),
+                     F.col(source).alias("source"), size.alias("size"), key.alias("key"))
+    times = F.col("epochs") + F.when(F.col("key") <= F.col("cut_key"), 1).otherwise(0)
+    return rows.join(chosen, F.col("source").eqNullSafe(F.col("planned")), "left").select(
+        "row.*", F.struct("size", "source_size", "target", times.cast("bigint").alias("times")).alias("_mix"))
 
 
 def repeat(mixed: DataFrame, columns) -> DataFrame:
     """The mix itself: every row as often as it is taken."""
-    return (mixed.filter(F.col("_times") > 0)
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_times"))))
-            .select(*columns))
+    copies = F.transform(F.sequence(F.lit(1).cast("bigint"), F.col("_mix.times")), lambda _: F.lit(0))
+    return mixed.filter(F.col("_mix.times") > 0).select(*columns, F.explode(copies).alias("_mix")).drop("_mix")

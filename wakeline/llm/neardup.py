@@ -35,6 +35,8 @@ MISSED = 1e-9
 BLOCK = 512
 # Shingles per document up to which a block holds BLOCK documents.
 LONG = 2000
+# How often large groups are compared with a first document before all that is left is paired.
+ROUNDS = 3
 # Candidates up to this number are picked from the documents by broadcast (40 MB); more by a shuffle.
 MAX_BROADCAST_IDS = 2_000_000
 
@@ -106,14 +108,18 @@ def _prefixes(classes: DataFrame, matches: int) -> DataFrame:
     return held.select("id", F.explode(F.array_distinct(F.transform(prefix, lambda p: p["hub"]))).alias("hub"))
 
 
+def _parts(block: int):
+    """Blocks of a group by its documents' number and their sets' sizes."""
+    return F.ceil(F.greatest(F.count(F.lit(1)) / block, F.sum("size") / (block * LONG))).cast("int").alias("parts")
+
+
 def _groups(members: DataFrame, block: int) -> DataFrame:
     """(hub, a, b, id): each group cut into blocks, every two blocks put together once.
 
     A block has about `block` documents, fewer if they are long. A group of one
     block is the pair (0, 0); else a document of block k goes to all pairs that hold k.
     """
-    parts = F.ceil(F.greatest(F.count(F.lit(1)) / block, F.sum("size") / (block * LONG)))
-    sizes = (members.groupBy("hub").agg(F.count(F.lit(1)).alias("n"), parts.cast("int").alias("parts")).filter("n > 1"))
+    sizes = members.groupBy("hub").agg(F.count(F.lit(1)).alias("n"), _parts(block)).filter("n > 1")
     cut = members.join(sizes, "hub").withColumn("k", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
     others = F.array_remove(F.sequence(F.lit(0), F.col("parts") - 1), F.col("k"))
     other = F.explode(F.when(F.col("parts") == 1, F.array(F.lit(0))).otherwise(others))
@@ -121,6 +127,50 @@ def _groups(members: DataFrame, block: int) -> DataFrame:
         "hub", F.least("k", "o").alias("a"), F.greatest("k", "o").alias("b"), "id")
 
 
+def _distances(rows: DataFrame, similarity: int) -> DataFrame:
+    """(hub, id, first, far, matches): the Jaccard distance of each document to its group's first one, which is with it in every block."""
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        first = frame[frame["id"] == frame["first"]].iloc[0]
+        own, signed = np.frombuffer(first["shingles"], np.uint64), np.frombuffer(first["signature"], np.int64)
+        out = []
+        for i, shingles, signature in zip(frame["id"], frame["shingles"], frame["signature"]):
+            other = np.frombuffer(shingles, np.uint64)
+            common = len(np.intersect1d(own, other, assume_unique=True))
+            out.append((i, 1 - common / (len(own) + len(other) - common), int((np.frombuffer(signature, np.int64) == signed).sum())))
+        found = pd.DataFrame(out, columns=["id", "far", "matches"]).drop_duplicates("id")
+        return found.assign(hub=frame["hub"].iloc[0], first=first["id"])[["hub", "id", "first", "far", "matches"]]
+    return rows.groupBy("hub", "k").applyInPandas(run, "hub bigint, id bigint, first bigint, far double, matches int")
+
+
+def _shrunk(members: DataFrame, sets: DataFrame, block: int, similarity: int) -> tuple[DataFrame, DataFrame | None]:
+    """(members, links): large groups without the documents that no more comparison is needed for; links are None if none is large.
+
+    The documents of a group of several blocks are compared with its first one.
+    Those linked to it are connected. The Jaccard distance is a metric, so of
+    these only the ones far enough from the first can be near one that is not
+    linked to it; the others go. A group of near copies is gone then, at two
+    rows a document.
+    """
+    sizes = skew.settle(members.groupBy("hub").agg(_parts(block), F.min("id").alias("first")).filter("parts > 1"))
+    if sizes.isEmpty():
+        return members, None
+    large = members.join(sizes, "hub").filter("id <> first").select(
+        "hub", "id", "first", F.pmod(F.xxhash64("id"), F.col("parts")).alias("k"))
+    firsts = sizes.select("hub", F.col("first").alias("id"), "first", F.explode(
+        F.sequence(F.lit(0).cast("bigint"), (F.col("parts") - 1).cast("bigint"))).alias("k"))
+    measured = skew.settle(_distances(large.unionByName(firsts).join(sets, "id"), similarity))
+    limit = 1 - similarity / 100 + 1e-9
+    linked = F.col("far") <= limit
+    nearest = measured.filter(~linked).groupBy("hub").agg(F.min("far").alias("nearest"))
+    # Every group has its first document once for each block; one is enough.
+    stay = (measured.join(nearest, "hub").filter(~linked | (F.col("far") >= F.col("nearest") - limit))
+            .select("hub", "id").distinct())
+    rest = members.join(sizes.select("hub"), "hub", "left_anti").unionByName(members.join(stay, ["hub", "id"], "left_semi"))
+    links = measured.filter(linked & (F.col("id") != F.col("first"))).select(
+        F.col("first").alias("u"), F.col("id").alias("v"), "matches")
+    return skew.settle(rest), links
+
+
 class _Forest:
     """Union-find over the positions of a group."""
 
@@ -235,8 +285,17 @@ def near_duplicates(docs: DataFrame, block: int = BLOCK, similarity: int = SIMIL
         F.col("doc_id").alias("id"), "signature")
     members = skew.settle(_prefixes(classes, matches_for(similarity)))
     sets = skew.settle(_sets(docs, members.select("id").distinct()))
-    sized = members.join(sets.select("id", (F.octet_length("shingles") / 8).alias("size")), "id")
-    links = skew.settle(_confirm(_groups(sized, block).join(sets, "id"), similarity))
+    sized = skew.settle(members.join(sets.select("id", (F.octet_length("shingles") / 8).alias("size")), "id"))
+    left, stars = sized, []
+    for _ in range(ROUNDS):
+        left, found = _shrunk(left, sets, block, similarity)
+        if found is None:
+            break
+        stars.append(found)
+    links = _confirm(_groups(left, block).join(sets, "id"), similarity)
+    for found in stars:
+        links = links.unionByName(found)
+    links = skew.settle(links)
     return (noted.select("doc_id", "n_shingles", "digest").join(first, "digest", "left")
             .withColumn("id", F.when(F.col("doc_id").isNotNull(), F.coalesce("id", "doc_id")))
             .join(components(links), "id", "left")

@@ -59,8 +59,8 @@ def op4_quality_rules(spark, sf_dir):
 def op5_mix_sources(spark, sf_dir):
     """Every document with its source's target and the words that the mix takes of it."""
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
-    return mixed.select("doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"),
-                        F.col("_target").alias("target"), (F.col("_size") * F.col("_times")).alias("taken"))
+    return mixed.select("doc_id", "_mix.size", "_mix.source_size", "_mix.target",
+                        (F.col("_mix.size") * F.col("_mix.times")).alias("taken"))
 
 
 def fetched_pages(spark, sf_dir) -> DataFrame:

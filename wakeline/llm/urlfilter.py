@@ -57,7 +57,8 @@ def judge(captures: DataFrame, entries: DataFrame, url: str = "url", fetched: st
 
     The entry must have been added on or before the fetch date and not been
     removed by then. A null address or fetch date, or an address without a host,
-    is never listed. Equal captures get equal verdicts. All columns are kept.
+    is never listed. Equal captures get equal verdicts. All columns are kept,
+    but for one of that name.
     """
     asked = (captures.select(F.col(url).alias("_url"), F.col(fetched).cast("date").alias("_day"))
              .filter("_url is not null and _day is not null").distinct())
@@ -76,5 +77,7 @@ def judge(captures: DataFrame, entries: DataFrame, url: str = "url", fetched: st
     best = (looked.join(cut, ["key", "slice"]).filter(active).groupBy("_url", "_day")
             .agg(F.max(F.struct("_rank", "key", "since")).alias("b"))
             .select("_url", "_day", F.struct("b.key", "b.since").alias("_verdict")))
-    return (captures.drop("_verdict").join(best, (F.col(url) == F.col("_url")) & (F.col(fetched).cast("date") == F.col("_day")), "left")
-            .drop("_url", "_day"))
+    # The capture is kept in one column, so that none of its names can clash.
+    rows = captures.select(F.struct(*[F.col(f"`{c}`") for c in captures.columns if c != "_verdict"]).alias("row"),
+                           F.col(url).alias("_address"), F.col(fetched).cast("date").alias("_date"))
+    return rows.join(best, (F.col("_address") == F.col("_url")) & (F.col("_date") == F.col("_day")), "left").select("row.*", "_verdict")
