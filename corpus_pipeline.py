@@ -15,6 +15,8 @@ from wakeline.llm import decontaminate, mixing, neardup, quality, tokenio
 from wakeline.llm.common import broadcast_if
 from wakeline.operators.skew import settle, shared_folder
 
+# Near-duplicates share this part of their shingles, per cent of the union.
+SIMILARITY = 80
 # Ids to remove up to this number are joined by broadcast (some 40 MB); more by a shuffle.
 MAX_BROADCAST_IDS = 2_000_000
 
@@ -32,12 +34,22 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, the one with the smallest doc_id."""
-    return without(docs, neardup.near_duplicates(docs).filter("not kept").select("doc_id"))
+    return without(docs, neardup.near_duplicates(docs, similarity=SIMILARITY).filter("not kept").select("doc_id"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that hold no benchmark item."""
-    return without(docs, decontaminate.leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id"))
+    """The documents that hold no benchmark item.
+
+    Documents without a doc_id are known by a hash of their texts instead.
+    """
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    named = docs.filter("doc_id is not null")
+    clean = without(named, decontaminate.leaks(named, benchmark).select("doc_id"))
+    nameless = docs.filter("doc_id is null")
+    hashed = nameless.select(F.xxhash64("text").alias("doc_id"), "text")
+    found = settle(decontaminate.leaks(hashed, benchmark).select(F.col("doc_id").alias("leak")).distinct())
+    rest = nameless.join(broadcast_if(found, MAX_BROADCAST_IDS), F.xxhash64("text") == F.col("leak"), "left_anti")
+    return clean.unionByName(rest)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
