@@ -1,12 +1,15 @@
 """Quality rules: repetition rules and a hashed n-gram likelihood ratio, in SQL functions only.
 
-Words and word pairs are hashed into a fixed number of buckets. One pass over
-all documents counts the buckets of the raw corpus and of the trusted documents;
-a document's score is the mean log ratio of the two multinomials over its
-n-grams. A mean hides a few words in a long text, so single words are judged
-too: a word that the trusted part of the labelled documents lacks, though its
-frequency in the others says it should be there, is foreign, and a document
-with a foreign word goes. Every document gets the same rules and thresholds.
+Words and word pairs are hashed into buckets. One pass over all documents counts
+the buckets of the raw corpus and of the trusted documents, and each bucket gets
+the log ratio of the two multinomials. Both counts are shrunk towards each
+other, so a bucket says something only where the corpus has enough of it,
+whatever the corpus' size. A document's score adds up the log ratios beyond a
+margin, which few n-grams of ordinary text reach, and is divided by the root of
+their number. So a few words that trusted text avoids show in a long text, and
+length alone does not. The threshold comes from trusted documents that were not
+counted: a fixed small share of them would be lost. Every document gets the same
+rules and thresholds.
 """
 
 from __future__ import annotations
@@ -18,17 +21,24 @@ from pyspark.sql import Column, DataFrame, functions as F
 from wakeline.llm.common import BLANKS, broadcast_if, let, words
 from wakeline.operators.skew import settle
 
-BUCKETS = 1 << 14
+# Buckets of words and of word pairs. Rare n-grams share buckets, in a large corpus
+# many of them, but by their counts those say little beside a frequent one.
+WORD_BUCKETS, PAIR_BUCKETS = 1 << 18, 1 << 14
+BUCKETS = WORD_BUCKETS + PAIR_BUCKETS
 WINDOW = 5
-# Nats per n-gram. Ordinary text stays within some hundredths of zero.
-THRESHOLD = -0.1
-# The weight of the raw distribution in the target model, in n-grams.
-PRIOR = 1 << 17
+# N-grams that each bucket's trusted and expected counts get on top.
+PRIOR = 1.5
+# Nats by which an n-gram must be rarer in trusted text to count.
+MARGIN = 1.0
+# Log ratios are kept in steps of 1 / STEPS, down to -127 of them: a byte for each bucket.
+STEPS = 10
+# One in HELD of the trusted documents is held out, of which the share LOST may fail.
+HELD, LOST = 4, 0.005
+# The threshold lies so much further from 0 than the score of that share: few held-out
+# documents show their own extremes, not those of all others.
+SLACK = 1.25
 SYMBOLS = "#*$%&|<>"
-# A word is foreign if this many trusted documents should hold it, by its share of
-# all labelled documents, and at most this part of them does.
-EXPECTED, PRESENT = 8, 0.05
-# Keys of eight or sixteen bytes up to this number are joined by broadcast; more by a shuffle.
+# Keys of eight bytes up to this number are joined by broadcast; more by a shuffle.
 MAX_BROADCAST_KEYS = 1_000_000
 
 
@@ -46,9 +56,10 @@ def _part(array: Column, start: int, short: int) -> Column:
 
 
 def _buckets(hashes: Column) -> Column:
-    """The buckets of all words and word pairs."""
+    """The buckets of all words, then of all word pairs."""
     pairs = _pairs(_part(hashes, 1, 1), _part(hashes, 2, 1))
-    return F.transform(F.concat(hashes, pairs), lambda h: F.pmod(h, F.lit(BUCKETS)).cast("int"))
+    return F.concat(F.transform(hashes, lambda h: F.pmod(h, F.lit(WORD_BUCKETS)).cast("int")),
+                    F.transform(pairs, lambda h: (F.pmod(h, F.lit(PAIR_BUCKETS)) + WORD_BUCKETS).cast("int")))
 
 
 def _windows(hashes: Column) -> Column:
@@ -81,83 +92,69 @@ def repeated_words(hashes: Column) -> Column:
     return F.when(F.size(hashes) <= WINDOW, 0).otherwise(let(_windows(hashes), count))
 
 
-def _judged(labels: DataFrame) -> DataFrame:
-    """(doc_id, good): every document with a known quality, once."""
-    return (labels.filter(F.col("doc_id").isNotNull()).groupBy("doc_id")
-            .agg(F.min("quality").alias("q"), F.max("toxic").alias("t")).filter(F.col("q").isNotNull())
-            .select("doc_id", ((F.col("q") == 1) & (F.coalesce("t", F.lit(0)) == 0)).alias("good")))
-
-
-def foreign_words(docs: DataFrame, labels: DataFrame) -> DataFrame | None:
-    """(h): hashes of the words that trusted documents lack; None without trusted text."""
-    marked = docs.select("doc_id", "text").join(broadcast_if(settle(_judged(labels)), MAX_BROADCAST_KEYS), "doc_id")
-    n, good = marked.agg(F.count(F.lit(1)), F.count_if("good")).first()
-    if not good:
-        return None
-    held = marked.select("good", F.explode(F.array_distinct(_hashes(words(F.col("text"))))).alias("h"))
-    counts = held.groupBy("h").agg((F.count(F.lit(1)) * (good / n)).alias("expected"), F.count_if("good").alias("held"))
-    return settle(counts.filter((F.col("expected") >= EXPECTED) & (F.col("held") <= PRESENT * F.col("expected"))).select("h"))
-
-
-def _digest(text: Column) -> Column:
-    return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
-
-
-def foreign_counts(docs: DataFrame, labels: DataFrame) -> DataFrame | None:
-    """(_digest, n_foreign): the distinct foreign words of each text that has any, by the text's md5."""
-    foreign = foreign_words(docs, labels)
-    if foreign is None:
-        return None
-    held = docs.select(_digest(F.col("text")).alias("_digest"),
-                       F.explode(F.array_distinct(_hashes(words(F.col("text"))))).alias("h"))
-    found = held.join(broadcast_if(foreign, MAX_BROADCAST_KEYS), "h", "left_semi")
-    return settle(found.groupBy("_digest").agg(F.count_distinct("h").alias("n_foreign")))
-
-
 def trusted_ids(labels: DataFrame) -> DataFrame:
-    """The ids of all good and harmless documents."""
-    return _judged(labels).filter("good").select("doc_id")
+    """(doc_id, held): all good and harmless documents, and which of them are held out."""
+    judged = labels.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("q"), F.max("toxic").alias("t"))
+    return judged.filter((F.col("q") == 1) & (F.coalesce("t", F.lit(0)) == 0)).select(
+        "doc_id", (F.crc32(F.col("doc_id").cast("string")) % HELD == 0).alias("held"))
 
 
-def log_ratios(docs: DataFrame, labels: DataFrame) -> list[float] | None:
-    """log p_trusted - log p_raw of each bucket; None without trusted text.
+def log_ratios(docs: DataFrame, trusted: DataFrame) -> bytes | None:
+    """For each bucket how many steps below 0 its n-grams take a score; None without trusted text.
 
-    The raw counts get one more each. The trusted counts get PRIOR n-grams of
-    the raw distribution, so that few trusted documents say little.
+    `trusted` is a written table of trusted_ids, small or not.
     """
-    trusted = broadcast_if(settle(trusted_ids(labels)), MAX_BROADCAST_KEYS).withColumn("_good", F.lit(1))
-    grams = (docs.select("doc_id", "text").join(trusted, "doc_id", "left")
-             .select("_good", F.explode(let(_hashes(words(F.col("text"))), _buckets)).alias("bucket")))
-    counts = grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.count("_good").alias("good")).collect()
-    raw, good = [1] * BUCKETS, [0] * BUCKETS  # BUCKETS rows at most reach the driver
-    for r in counts:
-        raw[r["bucket"]] += r["raw"]
-        good[r["bucket"]] += r["good"]
-    if not any(good):
+    marked = docs.select("doc_id", "text").join(
+        broadcast_if(trusted.filter("NOT held").select("doc_id", F.lit(1).alias("_counts")), MAX_BROADCAST_KEYS), "doc_id", "left")
+    grams = marked.select("_counts", F.explode(let(_hashes(words(F.col("text"))), _buckets)).alias("bucket"))
+    counts = settle(grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.count("_counts").alias("good")))
+    n_raw, n_good = counts.agg(F.sum("raw"), F.sum("good")).first()
+    if not n_good:
         return None
-    n_raw, n_good = sum(raw), sum(good) + PRIOR
-    return [math.log((g + PRIOR * r / n_raw) / n_good * n_raw / r) for g, r in zip(good, raw)]
+    expected = F.col("raw") * (n_good / n_raw)
+    beyond = -F.log((F.col("good") + PRIOR) / (expected + PRIOR)) - MARGIN
+    steps = F.least(F.round(F.greatest(beyond, F.lit(0.0)) * STEPS), F.lit(127.0)).cast("int")
+    table = bytearray(BUCKETS)
+    for bucket, n in counts.select("bucket", steps.alias("n")).filter("n > 0").collect():  # BUCKETS rows at most
+        table[bucket] = n
+    return bytes(table)
 
 
-def mean_ratio(hashes: Column, ratios: list[float] | None) -> Column:
-    """The mean log ratio over a document's n-grams; 0 for a text without words or without a model."""
+def score(hashes: Column, ratios: bytes | None) -> Column:
+    """The sum of the log ratios beyond the margin over the root of the number of n-grams, rounded.
+
+    0 for a text without words or without a model.
+    """
     if ratios is None:
         return F.lit(0.0)
-    table = F.split(F.lit(",".join(f"{x:.6f}" for x in ratios)), ",").cast("array<double>")  # folded to a constant
-    total = F.aggregate(_buckets(hashes), F.lit(0.0), lambda s, b: s + F.element_at(table, b + 1))
-    return F.when(F.size(hashes) == 0, 0.0).otherwise(total / (2 * F.size(hashes) - 1))
+    steps = lambda b: F.ascii(F.substring(F.lit(ratios), b + 1, 1).cast("string"))
+    total = F.aggregate(_buckets(hashes), F.lit(0), lambda s, b: s + steps(b))
+    return F.round(F.when(F.size(hashes) == 0, 0.0).otherwise(
+        total / (-STEPS * F.sqrt((2 * F.size(hashes) - 1).cast("double")))), 3)
+
+
+def threshold(docs: DataFrame, trusted: DataFrame, ratios: bytes | None) -> float:
+    """SLACK times the score below which the share LOST of the held-out trusted documents falls; minus infinity without any.
+
+    Scores have three places, so their distinct values are few at every size.
+    """
+    held = broadcast_if(trusted.filter("held").select("doc_id"), MAX_BROADCAST_KEYS)
+    texts = docs.select("doc_id", "text").join(held, "doc_id", "left_semi")
+    scores = texts.select(let(_hashes(words(F.col("text"))), lambda h: score(h, ratios)).alias("score"))
+    at = scores.agg(F.expr(f"percentile_disc({LOST}) WITHIN GROUP (ORDER BY score)")).first()[0]
+    return -math.inf if at is None else SLACK * at
 
 
-def rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Adds `_quality`, a struct of the base counts, the score and the verdict, to every row.
 
     `docs` needs doc_id and text, `labels` doc_id, quality and toxic; other
-    columns are carried along. A null or empty text has no words and fails the
+    columns are carried along, but for one of that name. A null or empty text has no words and fails the
     base rules. Without a trusted document the base rules decide alone.
     """
-    ratios = log_ratios(docs, labels)
-    foreign = foreign_counts(docs, labels)
-    columns = docs.columns
+    trusted = settle(trusted_ids(labels))
+    ratios = log_ratios(docs, trusted)
+    least = threshold(docs, trusted, ratios)
     text = F.coalesce(F.col("text"), F.lit(""))
     filled = F.filter(F.split(text, "\n", -1), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
     dups = let(filled, lambda lines: F.size(lines) - F.size(F.array_distinct(lines)))
@@ -166,17 +163,10 @@ def rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> D
         F.length(F.translate(text, BLANKS, "")).cast("bigint").alias("word_chars"),
         (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("bigint").alias("n_symbols"),
         dups.cast("bigint").alias("n_dup_lines"), repeated_words(h).cast("bigint").alias("n_repeat_words"),
-        mean_ratio(h, ratios).alias("score")))
+        score(h, ratios).alias("score")))
 
     m = F.col("_quality")
     failed = (m["n_words"] < 10) | (m["n_repeat_words"] * 100 > m["n_words"] * 20)
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "score")
-    n_foreign = F.lit(0).cast("bigint")
-    docs = docs.withColumn("_quality", measured)
-    if foreign is not None:
-        docs = docs.withColumn("_digest", _digest(F.col("text"))).join(
-            broadcast_if(foreign, MAX_BROADCAST_KEYS), "_digest", "left")
-        n_foreign = F.coalesce("n_foreign", n_foreign)
-    return docs.select(*columns, F.struct(
-        *[m[n].alias(n) for n in names], n_foreign.alias("n_foreign"), failed.alias("base_failed"),
-        (~failed & (m["score"] >= threshold) & (n_foreign == 0)).alias("kept")).alias("_quality"))
+    return docs.withColumn("_quality", measured).withColumn("_quality", F.struct(
+        *[m[n].alias(n) for n in names], failed.alias("base_failed"), (~failed & (m["score"] >= least)).alias("kept")))
