@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from wakeline.functions import scalars as S
-from wakeline.operators.skew import MAX_GROUP_ROWS, find_large
-from wakeline.operators.stats import Stat, rows_limit, stat_block, value_counts, with_masks
+from wakeline.operators.skew import MAX_GROUP_ROWS, TAG, find_large
+from wakeline.operators.stats import Stat, stat_block, value_counts, with_masks
 
 
 def mode_block(pings: DataFrame, modes, key: str = "id", profiles=(),
-               limit: int = MAX_GROUP_ROWS, large="find") -> DataFrame:
+               limit: int = MAX_GROUP_ROWS, large="find", by_track: bool = False) -> DataFrame:
     """Modes of several (column, mask) pairs: `modes` is a list of (out, column, mask, how).
 
     how = 'mean' averages all tied modes, 'min' takes the smallest. Each column
@@ -48,9 +48,12 @@ def mode_block(pings: DataFrame, modes, key: str = "id", profiles=(),
         return folded.groupBy(key).agg(*[F.expr(t) for t in texts])
 
     rows = pings.select(*needed)
+    if large is not None and TAG in pings.columns:
+        rows = pings.select(*needed, TAG)
+    together = lambda small: small if by_track else small.repartition(key)
     if large is None:
-        return build(rows.repartition(key))
-    return build(large.without(rows).repartition(key)).unionByName(build(large.only(rows)))
+        return build(together(rows))
+    return build(together(large.without(rows))).unionByName(build(large.only(rows)))
 
 
 def frequency_profile(pings: DataFrame, column: str = "lon", key: str = "id",
@@ -150,6 +153,6 @@ def whole_track_profile(pings: DataFrame, limit: int = MAX_GROUP_ROWS, large="fi
     """47 statistics of a whole track: modes, quantiles, spreads, frequency profile, aspect."""
     p = with_masks(pings)
     if large == "find":
-        large = find_large(pings, ["id"], rows_limit(whole_track_stats(), limit))
+        large = find_large(pings, ["id"], limit)
     return (with_spreads(stat_block(p, whole_track_stats(), limit=limit, large=large))
             .join(mode_block(p, WHOLE_TRACK_MODES, profiles=["lon"], large=large), "id", "left"))

@@ -22,6 +22,8 @@ MAX_GROUP_ROWS = 500_000
 MAX_LARGE_GROUPS = 1_000_000
 # Blocks below this size would cost more in tasks than they save.
 MIN_BLOCK_ROWS = 10_000
+# Range partitions of one split; the driver must hold their bounds and the shuffle's sizes.
+MAX_PARTITIONS = 4_000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -88,12 +90,17 @@ def find_large(df: DataFrame, keys, limit: int = MAX_GROUP_ROWS) -> LargeGroups
 def split_blocks(df: DataFrame, large: LargeGroups, order) -> DataFrame:
     """Cut the large groups into ordered blocks: adds `block`, ascending along the order.
 
-    `order` must end in a column that is unique within the group; then a range
-    partition holds about `limit` rows however the values are spread.
+    Rows are range-partitioned and sorted, and each partition is cut by row
+    number, so a block holds at most `limit` rows (MIN_BLOCK_ROWS if that is
+    more) however the values are spread and however few partitions there are.
     """
-    blocks = max(2, math.ceil(large.rows / max(large.limit, MIN_BLOCK_ROWS)) * 2)
-    ranged = large.only(df).repartitionByRange(blocks, *large.keys, *order)
-    return settle(ranged.withColumn("block", F.spark_partition_id()))
+    size = max(large.limit, MIN_BLOCK_ROWS)
+    partitions = min(max(2, math.ceil(large.rows / size) * 2), MAX_PARTITIONS)
+    ranged = (large.only(df).repartitionByRange(partitions, *large.keys, *order)
+              .sortWithinPartitions(*large.keys, *order))
+    # The id holds the partition's number above 33 bits for the row's.
+    cut = f"shiftright(_row, 33) * {1 << 33} + (_row & {(1 << 33) - 1}) div {size}"
+    return settle(ranged.withColumn("_row", F.monotonically_increasing_id()).withColumn("block", F.expr(cut)).drop("_row"))
 
 
 def positions(df: DataFrame, keys, order, weight=None, limit: int = MAX_GROUP_ROWS,

@@ -7,7 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wakeline.functions import scalars as S
-from wakeline.operators.skew import MAX_GROUP_ROWS, find_large, positions, settle
+from wakeline.operators import selection
+from wakeline.operators.skew import MAX_GROUP_ROWS, find_large, settle
 
 ALGEBRAIC = {"min": "min", "max": "max", "mean": "avg", "sum": "sum",
              "std": "stddev_samp", "count": "count"}
@@ -81,39 +82,24 @@ def _groups(stats) -> list[tuple[str, str | None]]:
     return list(dict.fromkeys((s.column, s.mask) for s in stats))
 
 
-# Values that one track may put into the lists of one task. Up to 128 tracks are
-# held there at once, so this bounds them to some 500 MB together.
-MAX_TRACK_VALUES = 100_000
-
-
-def rows_limit(stats, limit: int = MAX_GROUP_ROWS) -> int:
-    """The most pings of a track whose quantiles and distinct counts are taken in one task.
-
-    The more (column, mask) pairs there are, the fewer pings; `stats` may also
-    be the number of pairs.
-    """
-    pairs = stats if isinstance(stats, int) else len(_groups([s for s in stats if s.holistic]))
-    return max(1, min(limit, MAX_TRACK_VALUES // max(1, pairs)))
-
-
 def stat_block(pings: DataFrame, stats, key: str = "id", limit: int = MAX_GROUP_ROWS,
                large="find") -> DataFrame:
     """One row per key with every Stat, computed in a single aggregation.
 
-    Quantiles and distinct counts need a track's values in one task, so that
-    plan serves the tracks of at most rows_limit(stats, limit) pings; those of
-    larger tracks come from distributed value counts, with the same results.
-    `large` is what find_large gives for that number.
+    Quantiles and distinct counts need a track's values in one task, one track
+    at a time. That plan serves the tracks of at most `limit` pings; quantiles
+    of larger tracks are selected by narrowing histograms and their distinct
+    values counted by value, with the same results. `large` is what find_large
+    gives for that limit.
     """
     stats = list(stats)
     if not any(s.holistic for s in stats):
         large = None  # the others are pre-aggregated before the shuffle anyway
     elif large == "find":
-        large = find_large(pings, [key], rows_limit(stats, limit))
+        large = find_large(pings, [key], limit)
     if large is None:
         return _fused(pings, stats, key)
-    return _fused(large.without(pings), stats, key).unionByName(
-        _spread(large.only(pings), stats, key, large.limit))
+    return _fused(large.without(pings), stats, key).unionByName(_spread(large.only(pings), stats, key))
 
 
 def _quantiles(values: str, qs) -> Column:
@@ -130,6 +116,10 @@ def _fused(pings: DataFrame, stats, key: str) -> DataFrame:
     Each (column, mask) pair is collected and sorted once; its quantiles and
     distinct count are read off that list. On wide blocks this takes a third
     of the time of a percentile and a set per pair.
+
+    Grouped by hash, Spark holds the lists of up to 128 tracks at once. A key
+    under a collation can only be grouped by sorting, and then it holds those
+    of one track, so a task's memory does not depend on how many it has.
     """
     pairs = _groups([s for s in stats if s.holistic])
     marks = {m: f"_mark{i}" for i, m in enumerate(dict.fromkeys(m for _, m in pairs if m))}
@@ -145,7 +135,8 @@ def _fused(pings: DataFrame, stats, key: str) -> DataFrame:
             read.append(_quantiles(f"_list{i}", qs_of[i]).alias(f"_q{i}"))
         if any(s.kind == "nunique" for s in same):
             read.append(F.expr(f"CAST(size(array_distinct(_list{i})) AS BIGINT)").alias(f"_n{i}"))
-    grouped = pings.groupBy(key).agg(*aggs)
+    by = [key, F.expr(f"collate(substr(CAST(`{key}` AS STRING), 1, 0), 'UTF8_LCASE')").alias("_one_by_one")] if pairs else [key]
+    grouped = pings.groupBy(*by).agg(*aggs)
     kept = [c for c in grouped.columns if not c.startswith("_list")]
     outs = []
     for s in stats:
@@ -181,42 +172,36 @@ def value_counts(pings: DataFrame, pairs, key: str = "id") -> DataFrame:
             .groupBy(key, "pair", "value").agg(F.count(F.lit(1)).alias("n")))
 
 
-def _spread(pings: DataFrame, stats, key: str, limit: int) -> DataFrame:
-    """The same columns for tracks of any size: holistic statistics from value counts."""
-    simple = [s for s in stats if not s.holistic]
+def _spread(pings: DataFrame, stats, key: str) -> DataFrame:
+    """The same columns for tracks of any size; the pings are written once and read in a few passes."""
     holistic = [s for s in stats if s.holistic]
-    pairs = _groups(holistic)
-    marks = [F.count_if(F.col(m)).alias(f"_rows_{m}") for m in {s.mask for s in holistic} if m]
-    base = pings.groupBy(key).agg(
-        F.count(F.lit(1)).alias("_rows"), *marks, *[_algebraic(s) for s in simple])
-
-    counted = settle(value_counts(pings, pairs, key))
-    placed = positions(counted, [key, "pair"], ["value"], weight="n", limit=limit)
-    picks, aggs = [], []
-    for i, s in enumerate(holistic):
-        here = F.col("pair") == pairs.index((s.column, s.mask))
-        if s.kind == "nunique":
-            aggs.append(F.count_if(here).alias(s.out))
-            continue
-        # Zero-based rank position of the quantile and the two values around it.
-        at = F.lit(s.q) * (F.col("group_total") - 1).cast("double")
-        low = F.floor(at)
-        covers = lambda rank: here & (F.col("before") <= rank) & (rank < F.col("before") + F.col("n"))
-        aggs += [F.max(F.when(covers(low), F.col("value"))).alias(f"_lo{i}"),
-                 F.max(F.when(covers(F.ceil(at)), F.col("value"))).alias(f"_hi{i}"),
-                 F.max(F.when(here, at - low.cast("double"))).alias(f"_w{i}")]
-        picks.append(f"CASE WHEN _lo{i} = _hi{i} THEN _lo{i} ELSE _lo{i} * (1D - _w{i}) + _hi{i} * _w{i} END "
-                     f"AS `{s.out}`")
-    joined = base.join(placed.groupBy(key).agg(*aggs).selectExpr("*", *picks), key, "left")
-    outs = []
+    qs = {pair: sorted({s.q for s in holistic if s.kind == "q" and (s.column, s.mask) == pair}) for pair in _groups(holistic)}
+    qs = {pair: q for pair, q in qs.items() if q}
+    counted = _groups([s for s in holistic if s.kind == "nunique"])
+    marks = {m: f"_mark{i}" for i, m in enumerate(dict.fromkeys(s.mask for s in holistic if s.mask))}
+    needed = dict.fromkeys([key, *(s.column for s in stats if s.kind != "rows"), *(s.mask for s in stats if s.mask)])
+    rows = settle(pings.select(*needed))
+    base = settle(rows.groupBy(key).agg(
+        *[F.expr(f"count_if(`{m}`)").alias(name) for m, name in marks.items()],
+        *[_algebraic(s) for s in stats if not s.holistic], *selection.range_aggregates(qs)))
+    out = base
+    if qs:
+        bounds = base.select(key, *[c for c in base.columns if c.startswith(("_lo", "_hi"))])
+        out = out.join(selection.quantiles(rows, bounds, key, list(qs), list(qs.values())), key, "left")
+    if counted:
+        out = out.join(selection.distinct_counts(rows, key, counted), key, "left")
+    texts = []
     for s in stats:
-        c = F.col(s.out)
-        if s.kind == "nunique":
-            c = F.coalesce(c, F.lit(0).cast("bigint"))
+        text = f"`{s.out}`"
+        if s.kind == "q":
+            pair = (s.column, s.mask)
+            text = f"_quantiles[{list(qs).index(pair)}][{qs[pair].index(s.q)}]"
+        elif s.kind == "nunique":
+            text = f"coalesce(_distinct[{counted.index((s.column, s.mask))}], 0L)"
             if s.mask is not None:
-                c = F.when(F.col(f"_rows_{s.mask}") > 0, c)
-        outs.append(c.alias(s.out))
-    return joined.select(key, *outs)
+                text = f"CASE WHEN {marks[s.mask]} > 0 THEN {text} END"
+        texts.append(f"{text} AS `{s.out}`")
+    return out.selectExpr(f"`{key}`", *texts)
 
 
 # -- ready-made blocks -------------------------------------------------------
