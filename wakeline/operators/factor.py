@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
 from pyspark.ml.feature import Word2Vec
@@ -10,7 +12,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from wakeline.functions import scalars as S
 from wakeline.operators import text
-from wakeline.operators.skew import MAX_GROUP_ROWS, find_large, settle
+from wakeline.operators.prepared import bucketed
+from wakeline.operators.skew import MAX_GROUP_ROWS, TAG, find_large, settle
 
 # MLlib's Word2Vec keeps vocabulary x size floats on the driver; 100 million are 400 MB.
 MAX_WORD2VEC_FLOATS = 100_000_000
@@ -22,7 +25,7 @@ DEPENDENT, RANK = 1e-13, 1e-14
 
 
 def _triangle(df: DataFrame, cols) -> np.ndarray:
-    """R of the QR decomposition of the rows: QR by partition, of those results, and of these on the driver."""
+    """R of the QR decomposition of the rows: QR by partition, of those results if they are many, and of these on the driver."""
     schema = ", ".join(f"`{c}` double" for c in cols)
 
     def reduce_rows(batches):
@@ -31,7 +34,9 @@ def _triangle(df: DataFrame, cols) -> np.ndarray:
             r = np.linalg.qr(np.vstack([r, b[list(cols)].to_numpy()]), mode="r")
         yield pd.DataFrame(r, columns=list(cols))
 
-    parts = df.select(*cols).mapInPandas(reduce_rows, schema).repartition(TRIANGLES).mapInPandas(reduce_rows, schema)
+    parts = df.select(*cols).mapInPandas(reduce_rows, schema)
+    if df.rdd.getNumPartitions() > TRIANGLES:
+        parts = parts.repartition(TRIANGLES).mapInPandas(reduce_rows, schema)
     rows = [list(r) for r in parts.collect()]  # TRIANGLES x len(cols) rows at most
     return np.linalg.qr(np.array(rows), mode="r") if rows else np.zeros((0, len(cols)))
 
@@ -64,104 +69,186 @@ def _independent(r: np.ndarray) -> np.ndarray:
     return inverse
 
 
-def truncated_svd(cells: DataFrame, documents: DataFrame, k: int, prefix: str,
-                  iterations: int = 20, oversample: int = 10, seed: int = 1,
-                  tolerance: float = 1e-9) -> DataFrame:
-    """Scores U*S of the k leading singular directions, one row per document.
-
-    `cells` is the sparse matrix as (id, token, weight). Block power iteration
-    on the table itself: each half step is a join and a pre-aggregated sum, and
-    only (k + oversample)^2 numbers reach the driver, so neither the vocabulary
-    nor a long document has to fit in one place. Stops early once the leading
-    values have settled. In each column the largest score in size is positive;
-    documents without a token and directions beyond the rank score 0.
+@dataclass(frozen=True)
+class PlacedCells:
+    """The cells (id, token, weight), bucketed by one of their keys.
+
+    A join by that key moves the vectors only. The cells of a key with too many
+    of them for one bucket stand in a plain table; such keys are few, so their
+    vectors are broadcast to it.
+    """
+
+    key: str
+    rows: DataFrame
+    hot: DataFrame | None
+    hot_keys: DataFrame | None
+
+    @staticmethod
+    def of(cells: DataFrame, key: str, buckets: int) -> PlacedCells:
+        large = find_large(cells, [key])
+        few = cells if large is None else large.without(cells)
+        rows = bucketed(few.repartition(buckets, key), buckets, key)
+        return PlacedCells(key, rows, None, None) if large is None else PlacedCells(
+            key, rows, settle(large.only(cells)), large.table)
+
+    def multiply(self, vectors: DataFrame, cols, to: str) -> DataFrame:
+        """(to, cols): the vectors (key, cols) of the cells' keys times their weights, summed by the other key."""
+        joined = self.rows.join(vectors, self.key)
+        if self.hot is not None:
+            held = F.broadcast(vectors.join(F.broadcast(self.hot_keys), self.key, "left_semi"))
+            joined = joined.unionByName(self.hot.join(held, self.key))
+        return joined.groupBy(to).agg(*[F.expr(f"sum(weight * {c})").alias(c) for c in cols])
+
+
+@dataclass(frozen=True)
+class SvdModel:
+    """The leading right singular vectors as a table (token, r0, r1, ...); directions beyond the rank are not there."""
+
+    vectors: DataFrame | None
+    names: list
+    k: int
+
+    def scores(self, cells: DataFrame | PlacedCells, documents: DataFrame, prefix: str) -> DataFrame:
+        """(id, <prefix>_0, ...): the rows of a matrix (id, token, weight) in these directions.
+
+        Documents without a known token and directions beyond the rank score 0.
+        """
+        names = [f"{prefix}_{i}" for i in range(self.k)]
+        if self.vectors is None:
+            return documents.selectExpr("id", *[f"0D AS {n}" for n in names])
+        if not isinstance(cells, PlacedCells):
+            cells = PlacedCells("token", cells.select("id", "token", "weight"), None, None)
+        projected = cells.multiply(self.vectors, self.names, "id")
+        return documents.join(projected, "id", "left").selectExpr("id", *[
+            f"coalesce({self.names[i]}, 0D) AS {n}" if i < len(self.names) else f"0D AS {n}" for i, n in enumerate(names)])
+
+
+def fit_svd(cells: DataFrame, k: int, iterations: int = 20, oversample: int = 10, seed: int = 1,
+            tolerance: float = 1e-9) -> tuple[SvdModel, DataFrame | PlacedCells]:
+    """The k leading singular directions of a sparse matrix (id, token, weight), and its cells placed by token.
+
+    Block power iteration on the table itself: each half step is a join and a
+    pre-aggregated sum, and only (k + oversample)^2 numbers reach the driver, so
+    neither the vocabulary nor a long document has to fit in one place. The
+    cells are written by token and by id, so that a step moves vectors and no
+    cells. Stops early once the leading values have settled, or once the block
+    holds all directions that there are. In each direction the largest score in
+    size of these rows is positive.
     """
     width = k + oversample
+    buckets = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cells = settle(cells.select("id", "token", "weight"))
     names = [f"v{i}" for i in range(width)]
-
-    def multiply(key, vectors, by, cols):
-        joined = cells.join(vectors, by)
-        return joined.groupBy(key).agg(*[F.expr(f"sum(weight * {c})").alias(c) for c in cols])
-
     if cells.isEmpty():
-        return documents.selectExpr("id", *[f"0D AS {prefix}_{i}" for i in range(k)])
+        return SvdModel(None, [], k), cells
+    by_token, by_id = (PlacedCells.of(cells, key, buckets) for key in ("token", "id"))
     half = float(2 ** 63)
     basis = cells.select("token").distinct().selectExpr("token", *[
         f"xxhash64(token, {seed * width + i}) / {half}D AS {n}" for i, n in enumerate(names)])
     cols, settled = names, None
     for step in range(iterations):
-        image = settle(multiply("token", multiply("id", basis, "token", cols), "id", cols))
+        image = settle(by_id.multiply(by_token.multiply(basis, cols, "id"), cols, "token"))
         triangle = _triangle(image, cols)
         inverse = _independent(triangle)
         used = names[:inverse.shape[1]]
         if not used:
-            cols = []
-            break
+            return SvdModel(None, [], k), by_token
         basis, cols = _rotate(image, "token", cols, inverse, used), used
         lead = np.sqrt(np.linalg.svd(triangle, compute_uv=False)[:k])
+        if len(used) < width and step > 0:  # no direction is left that the block could turn to
+            break
         if step > 1 and len(settled) == len(lead) and np.all(np.abs(lead - settled) <= tolerance * lead[0]):
             break
         settled = lead
-    if cols:  # once more: the first result is not orthogonal to the last digit
-        inverse = _independent(_triangle(basis, cols))
-        basis, cols = _rotate(basis, "token", cols, inverse, names[:inverse.shape[1]]), names[:inverse.shape[1]]
-
-    scores = [f"{prefix}_{i}" for i in range(k)]
-    projected = settle(multiply("id", basis, "token", cols)) if cols else documents.select("id").limit(0)
-    values, vectors = np.zeros(0), np.zeros((len(cols), 0))
-    if cols:
-        _, values, turned = np.linalg.svd(_triangle(projected, cols))
-        vectors = turned.T
-        values = values[values > values[0] * RANK]
-    found = scores[:min(k, len(values))]
-    if found:
-        rotated = _rotate(projected, "id", cols, vectors[:, :len(found)], found)
-        # The sign of each column comes from its largest score (smallest id first).
-        leads = rotated.agg(*[F.expr(f"min_by({c}, struct(-abs({c}), id))").alias(c) for c in found]).first()
-        rotated = rotated.selectExpr("id", *[f"-{c} AS {c}" if leads[c] < 0 else c for c in found])
-    else:
-        rotated = projected.select("id")
-    return documents.join(rotated, "id", "left").selectExpr("id", *[
-        f"coalesce({c}, 0D) AS {c}" if c in found else f"0D AS {c}" for c in scores])
+    # Once more: the first result is not orthogonal to the last digit.
+    inverse = _independent(_triangle(basis, cols))
+    basis, cols = _rotate(basis, "token", cols, inverse, names[:inverse.shape[1]]), names[:inverse.shape[1]]
+
+    projected = settle(by_token.multiply(basis, cols, "id"))
+    _, values, turned = np.linalg.svd(_triangle(projected, cols))
+    found = [f"r{i}" for i in range(min(k, int((values > values[0] * RANK).sum())))]
+    turn = turned.T[:, :len(found)]
+    # The sign of each direction comes from its largest score (smallest id first).
+    leads = _rotate(projected, "id", cols, turn, found).agg(
+        *[F.expr(f"min_by({c}, struct(-abs({c}), id))").alias(c) for c in found]).first()
+    turn = turn * np.array([-1.0 if leads[c] < 0 else 1.0 for c in found])
+    return SvdModel(settle(_rotate(basis, "token", cols, turn, found)), found, k), by_token
+
+
+def truncated_svd(cells: DataFrame, documents: DataFrame, k: int, prefix: str,
+                  iterations: int = 20, seed: int = 1) -> DataFrame:
+    """Scores U*S of the k leading singular directions, one row per document (see fit_svd)."""
+    model, placed = fit_svd(cells, k, iterations, seed=seed)
+    return model.scores(placed, documents, prefix)
+
+
+@dataclass(frozen=True)
+class CorpusModel:
+    """What is learned from a corpus: its dictionary, the idf of each code, and the directions."""
+
+    codes: DataFrame
+    idf: DataFrame | None
+    svd: SvdModel
+
+    def cells(self, counted: DataFrame, all_small: bool) -> DataFrame:
+        return _cells(text.coded(counted.filter("token IS NOT NULL"), self.codes), self.idf, all_small)
+
+
+def _cells(counts: DataFrame, idf: DataFrame | None, all_small: bool) -> DataFrame:
+    """Weights by an idf, or the counts themselves."""
+    if idf is None:
+        return counts.select("id", "token", F.col("n").cast("double").alias("weight"))
+    return text.weigh(counts, idf, all_small)
+
+
+def fit_corpus(counted: DataFrame, k: int, weighting: str, iterations: int = 20, seed: int = 1,
+               all_small: bool = False) -> tuple[CorpusModel, DataFrame | PlacedCells]:
+    """A model of a corpus (see text.all_counts), and the corpus' own cells; weighting is 'tfidf' or 'count'."""
+    if weighting not in ("tfidf", "count"):
+        raise ValueError(f"unknown weighting {weighting!r}")
+    codes = settle(text.dictionary(counted))
+    counts = text.coded(counted.filter("token IS NOT NULL"), codes)
+    idf = settle(text.idf_table(counts, text.document_ids(counted))) if weighting == "tfidf" else None
+    svd, placed = fit_svd(_cells(counts, idf, all_small), k, iterations, seed=seed)
+    return CorpusModel(codes, idf, svd), placed
 
 
 def svd_features(pings: DataFrame, corpus: str, k: int, blocks, iterations: int = 20,
-                 seed: int = 1, limit: int = MAX_GROUP_ROWS, large="find") -> DataFrame:
+                 seed: int = 1, limit: int = MAX_GROUP_ROWS, large="find", fit_on=None) -> DataFrame:
     """SVD scores of one corpus (see text.CORPORA).
 
     `blocks` maps a column prefix to its weighting, 'tfidf' or 'count'; the
-    corpus is tokenised and counted once for all of them. All tracks in
-    `pings` are both fitted and scored, unlabelled ones included.
+    corpus is tokenised and counted once for all of them. All tracks in `pings`
+    are scored, unlabelled ones included. They are all fitted too, but with
+    `fit_on`, a condition on `type`, only those that fulfil it: idf and
+    directions are then theirs, and tokens that they lack count nothing.
     """
     if large == "find":
         large = find_large(pings, ["id"], limit)
-    words = text.CORPORA[corpus].words(pings, large)
-    documents = text.document_ids(words)
-    counts = settle(text.token_counts(words))
+    counted = settle(text.all_counts(text.CORPORA[corpus].words(pings, large)))
+    documents = text.document_ids(counted)
     out = documents
     for prefix, weighting in blocks.items():
-        if weighting == "tfidf":
-            cells = text.tfidf(counts, documents, all_small=large is None)
-        elif weighting == "count":
-            cells = counts.withColumn("weight", F.col("n").cast("double"))
-        else:
-            raise ValueError(f"unknown weighting {weighting!r}")
-        out = out.join(truncated_svd(cells, documents, k, prefix, iterations, seed=seed), "id", "left")
+        known = counted if fit_on is None else settle(text.chosen(counted, pings, fit_on))
+        model, cells = fit_corpus(known, k, weighting, iterations, seed, all_small=large is None)
+        if fit_on is not None:
+            cells = model.cells(counted, all_small=large is None)
+        out = out.join(model.svd.scores(cells, documents, prefix), "id", "left")
     return out
 
 
 def word2vec_means(pings: DataFrame, size: int = 30, window: int = 5, iterations: int = 10,
                    seed: int = 1, prefix: str = "w2v", chunk: int = 1000,
-                   limit: int = MAX_GROUP_ROWS) -> DataFrame:
+                   limit: int = MAX_GROUP_ROWS, large="find") -> DataFrame:
     """Mean word vector of each track's geohash cells, repeated cells counted each time.
 
     Skip-gram implicitly factorises the pointwise mutual information of cell
     and context; here that table is built and factorised directly, at every
     size, and neither the vocabulary nor the number of partitions matters.
     """
-    words = pings.select("id", "ts", "seq", S.geohash(precision=7).alias("text"))
-    sentences = settle(text.token_documents(words, chunk=chunk, ahead=window, limit=limit))
+    tag = [TAG] if TAG in pings.columns else []
+    words = pings.select("id", "ts", "seq", *tag, S.geohash(precision=7).alias("text"))
+    sentences = settle(text.token_documents(words, chunk=chunk, ahead=window, limit=limit, large=large))
     scores = truncated_svd(context_weights(sentences, window).selectExpr("token AS id", "context AS token", "weight"),
                            sentences.selectExpr("explode(tokens) AS id").distinct(), size, "v", iterations, seed=seed)
     vectors = scores.select(F.col("id").alias("token"), F.array(*[f"v_{i}" for i in range(size)]).alias("v"))
