@@ -1,8 +1,9 @@
-"""Cross-validated one-against-rest boosted trees over feature tables."""
+"""Cross-validated boosted trees over feature tables."""
 
 from __future__ import annotations
 
 import re
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 from functools import reduce
 
@@ -14,6 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window, functions as F
 
 from wakeline.functions import scalars as S
+from wakeline.operators import boosting
 from wakeline.operators.metrics import PROBABILITIES
 from wakeline.operators.skew import settle
 
@@ -24,7 +26,12 @@ MISSING, HUGE = -1e18, 1e17
 @dataclass(frozen=True)
 class TreeParams:
     """Boosting settings. With `patience` boosting ends when the held-out macro F1 has not
-    risen for that many rounds, and the best round counts; without it all rounds count."""
+    risen for that many rounds, and the best round counts; without it all rounds count.
+
+    `objective` is 'softmax' for all classes together, 'each' for each class against the
+    rest with rounds in step (see boosting), or 'rest' for MLlib's own boosted classifier
+    per class.
+    """
 
     rounds: int
     step: float
@@ -35,14 +42,15 @@ class TreeParams:
     seed: int = 1
     patience: int = 0
     bins: int = 255
+    objective: str = "rest"
 
 
 # The three members' learning rate, leaf budget (63, 63 and 35
 # leaves as depth), feature and row shares, leaf size, round limit and patience.
 MEMBER_PARAMS = {
-    "a": TreeParams(3000, 0.05, 6, 0.8, 0.8, patience=100),
-    "b": TreeParams(5000, 0.05, 6, 0.8, 1.0, patience=100),
-    "c": TreeParams(3000, 0.06, 5, 0.7, 0.9, patience=300),
+    "a": TreeParams(3000, 0.05, 6, 0.8, 0.8, patience=100, objective="softmax"),
+    "b": TreeParams(5000, 0.05, 6, 0.8, 1.0, patience=100, objective="softmax"),
+    "c": TreeParams(3000, 0.06, 5, 0.7, 0.9, patience=300, objective="each"),
 }
 
 
@@ -77,6 +85,14 @@ def drop_by_substring(table: DataFrame, parts) -> DataFrame:
     return table.drop(*[c for c in table.columns if any(p in c for p in parts)])
 
 
+def with_missing_flags(table: DataFrame, columns, suffix: str = "_missing") -> DataFrame:
+    """Adds for each column whether its value is missing, 1.0 or 0.0; the trees see only a stand-in for it."""
+    def flag(c):
+        v = F.col(f"`{c}`").cast("double")
+        return F.when(v.isNull() | F.isnan(v), 1.0).otherwise(0.0)
+    return table.withColumns({f"{c}{suffix}": flag(c) for c in columns})
+
+
 def assemble(table: DataFrame, columns, keep, categorical=()) -> DataFrame:
     """(keep..., x): one vector column; missing and infinite values get stand-ins.
 
@@ -247,32 +263,46 @@ class CrossValidated:
     importance: DataFrame  # feature, importance, fold
 
 
+# Folds that are fitted at the same time; their jobs share the cluster.
+SIDE_BY_SIDE = 5
+
+
 def cross_validate(table: DataFrame, params: TreeParams, k: int = 5, seed: int = 1996,
-                   stratified: bool = False, drop=(), categorical=()) -> CrossValidated:
+                   stratified: bool = False, drop=(), categorical=(), side_by_side: int = SIDE_BY_SIDE,
+                   flags: bool = False) -> CrossValidated:
     """Fit every fold on the others, score its held-out tracks and all unlabelled ones.
 
-    The labelled vectors are cached, as every tree level reads them; `table`
-    should be a written table, since the unlabelled rows are read once per fold.
+    `flags` adds a column for each number that says whether it is missing.
+
+    The vectors are written once for all folds, of which `side_by_side` are
+    fitted at a time, each tree on a scheduler thread of its own.
     """
     from wakeline.sources.tracks import labelled, unlabelled
     table = drop_by_substring(table, drop)
     columns = [c for c in feature_columns(table) if c not in categorical]
-    ready = assemble(table, [*columns, *categorical], ["id", "type"], categorical)
+    if flags:
+        table = with_missing_flags(table, columns)
+        columns += [f"{c}_missing" for c in columns]
+    ready = settle(assemble(table, [*columns, *categorical], ["id", "type"], categorical))
     columns += list(categorical)
-    known = assign_folds(labelled(ready.select("id", "type")), k, seed, "type" if stratified else None)
-    train = labelled(ready).join(known.select("id", "fold"), "id").persist()
+    folds = assign_folds(labelled(ready.select("id", "type")), k, seed, "type" if stratified else None)
+    known = settle(labelled(ready).join(folds.select("id", "fold"), "id"))
     test = unlabelled(ready).select("id", "x")
-    oof, scores, importance = [], [], []
-    try:
-        for f in range(k):
-            valid = train.filter(F.col("fold") == f)
-            ensemble = fit_best(train.filter(F.col("fold") != f), valid, params)
-            oof.append(settle(score_rest(ensemble, valid)))
-            scores.append(settle(score_rest(ensemble, test)))
-            importance += [(c, float(g), f) for c, g in zip(columns, ensemble.importances())]
-    finally:
-        train.unpersist()
+    bins = _bins(known, params.bins)
+
+    def fit(f: int):
+        held = known.filter(F.col("fold") == f)
+        if params.objective == "rest":
+            model, score = fit_best(known.filter(F.col("fold") != f), held, params), score_rest
+        else:
+            model = boosting.boost(known.withColumn("held", F.col("fold") == f), params, bins)
+            score = lambda m, rows: boosting.score(m, rows, PROBABILITIES)
+        gains = [(c, float(g), f) for c, g in zip(columns, model.importances())]
+        return settle(score(model, held)), settle(score(model, test)), gains
+
+    with ThreadPoolExecutor(side_by_side) as pool:
+        oof, scores, gains = zip(*pool.map(fit, range(k)))
     stack = lambda parts: reduce(DataFrame.unionByName, parts)
     mean = stack(scores).groupBy("id").agg(*[F.avg(p).alias(p) for p in PROBABILITIES])
-    rows = table.sparkSession.createDataFrame(importance, "feature string, importance double, fold int")
+    rows = table.sparkSession.createDataFrame([g for x in gains for g in x], "feature string, importance double, fold int")
     return CrossValidated(stack(oof), mean, rows)

@@ -6,13 +6,15 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from wakeline.functions import scalars as S
-from wakeline.operators import factor, metrics, model, motion, places, stats, text
+from wakeline.operators import boosting, factor, metrics, model, motion, places, stats, text
 from wakeline.operators.skew import MAX_GROUP_ROWS, find_large, settle, shared_folder
 from wakeline.operators.stats import Stat
-from wakeline.plans import oracle as O
+from wakeline.operators.prepared import prepare
+from wakeline.plans import members, oracle as O
 from wakeline.sources import sinks, tracks
 
 QUERIES: dict = {}
@@ -321,7 +323,7 @@ def _(p):
 
 def _block(name, ctes, table, prepare, wanted, limit=MAX_GROUP_ROWS):
     def build(p):
-        large = find_large(p, ["id"], stats.rows_limit(wanted, limit))  # counted once, for the windows and the block
+        large = find_large(p, ["id"], limit)  # counted once, for the windows and the block
         return stats.stat_block(prepare(p, large), wanted, large=large)
     query(name, O.with_(*ctes) + O.stat_select(wanted, table))(build)
 
@@ -662,13 +664,118 @@ m as ({O.modes('lat', 'avg', 'masked')}), t as ({_top_sql()})
 select base.*, round(m.m,6) as lat_mode, t.* exclude (id) from base left join m on m.id=base.id left join t on t.id=base.id""")
 def track_profile(p):
     """Statistics of all and of the stopped pings, the mode, and the top places of each track."""
-    large = find_large(p, ["id"], stats.rows_limit(5))
+    large = find_large(p, ["id"])
     block = stats.stat_block(stats.with_masks(p), stats.wide_stats(["lat", "lon", "speed"])
                              + stats.wide_stats(["lat", "lon"], "stopped", "stopped_"), large=large)
     return (block.join(places.mode_block(p, [("lat_mode", "lat", None, "mean")], large=large), "id", "left")
             .join(places.top_places(p), "id", "left"))
 
 
+_PART = "cast({c} as double)/cast(n as double)"
+_GAINS = O.with_(O.SHARES) + ",\n" + f"""placed as (select *, {O.folds(5, 1996)} as fold from shares where type is not null),
+gains as (select 'slow' as feature, {_PART.format(c='low')} as importance, fold from placed
+  union all select 'middle', {_PART.format(c='mid')}, fold from placed
+  union all select 'fast', {_PART.format(c='rest')}, fold from placed)"""
+
+
+def gains(p):
+    """Importances made from speed-bin shares, several a fold, to give the means real input."""
+    placed = model.assign_folds(tracks.labelled(shares(p)))
+    return placed.select("fold", F.explode(F.array(*[
+        F.struct(F.lit(name).alias("feature"), (F.col(c).cast("double") / F.col("n").cast("double")).alias("importance"))
+        for name, c in (("slow", "low"), ("middle", "mid"), ("fast", "rest"))])).alias("g")).select("g.*", "fold")
+
+
+@query("mean_importance", _GAINS + "\nselect feature, round(avg(importance), 6) as importance from gains group by feature")
+def _(p):
+    return metrics.mean_importance(gains(p))
+
+
+@query("top2_features", _GAINS + """
+select feature, round(m, 6) as importance from (select feature, avg(importance) as m from gains group by feature)
+order by m desc, feature limit 2""")
+def _(p):
+    return metrics.top_features(gains(p), 2)
+
+
+_MATRIX = ("lat", "speed", "stop_q", "stop_q_missing")
+
+
+@query("feature_matrix", O.with_(O.MASKED) + """,
+block as (select id, max(lat) as lat, max(speed) as speed, quantile_cont(lat, cast(0.5 as double)) filter (where stopped and lat > 37) as stop_q
+  from masked group by id),
+filled as (select id, lat, speed, coalesce(stop_q, cast(-1e18 as double)) as stop_q,
+  case when stop_q is null then cast(1 as double) else cast(0 as double) end as stop_q_missing from block)
+""" + " union all ".join(f"select id, cast({i} as int) as place, round({c}, 6) as value from filled" for i, c in enumerate(_MATRIX)))
+def _(p):
+    """The vectors that the trees see: stand-ins for missing values, and flags beside them."""
+    far = stats.with_masks(p).withColumn("far", F.col("stopped") & (F.col("lat") > 37))
+    block = stats.stat_block(far, [Stat("lat", "lat", "max"), Stat("speed", "speed", "max"), Stat("stop_q", "lat", "q", 0.5, "far")])
+    ready = model.assemble(model.with_missing_flags(block, ["stop_q"]), _MATRIX, ["id"])
+    return ready.select("id", F.posexplode(vector_to_array("x")).alias("place", "value"))
+
+
+# -- the members' tables ------------------------------------------------------
+
+_LABELS = "labels as (select id, arg_min(type, seq) filter (where type is not null) as type from tracks group by id)"
+_TOP = f"top as ({_top_sql()})"
+_FLAGGED = """flagged as (select *, case when lat_diff<0.01 and lon_diff<0.01 and speed<0.1 and gap_minutes<=10 then 1 else 0 end
+  as anchored from changed)"""
+_STATS_A = [Stat("cnt", "id", "rows"), *stats.wide_stats(SIGNALS), *_POS,
+            *stats.wide_stats(SIGNALS, "speed_changed", "speed_changed_")]
+
+
+@query("member_a_numbers", O.with_(O.MOVED, O.CHANGED, _FLAGGED, _LABELS, _TOP, f"""block as ({O.stat_select(
+    _STATS_A, 'flagged', ', cast(sum(anchored) as bigint) as anchor_cnt')})""") + """select b.*,
+  round(cast(anchor_cnt as double)/cnt,6) as anchor_ratio, t.* exclude (id), l.type
+from block b left join top t on t.id=b.id left join labels l on l.id=b.id""")
+def _(p):
+    return members.numbers_a(prepare(p))
+
+
+_STATS_B = [*stats.decile_stats(["lat", "lon"]), *stats.decile_stats(["speed"], "moving"),
+            *stats.decile_stats(["lat", "lon"], "stopped", "stop_"), *stats.direction_stats(),
+            *stats.decile_stats(["lat", "lon"], "north", "direction0_"), *stats.decile_stats(["lat", "lon"], "fast", "speed_high_")]
+_DIVERSITY = ORACLES["place_diversity"].split("placed as", 1)[1]
+
+
+@query("member_b_numbers", O.with_(
+    "valid as (select * from tracks where lat>0 and lon>0)",
+    O.MASKED.replace("from tracks", "from valid"), _LABELS.replace("from tracks", "from valid"),
+    f"block as ({O.stat_select(_STATS_B, 'masked')})",
+    "placed as" + _DIVERSITY.replace("from tracks", "from valid").replace("\nselect *,", ",\ndiversity as (select *,") + ")")
+    + """select b.*, d.* exclude (id), l.type
+from block b left join diversity d on d.id=b.id left join labels l on l.id=b.id""")
+def _(p):
+    return members.numbers_b(members.prepare_b(p))
+
+
+_STATS_C = [*places.whole_track_stats(), *stats.stopped_stats(), *stats.moving_stats(),
+            *[x for x in stats.stop_share_stats() if x.out != "cnt"]]
+_MODES_C = {out: O.modes(c, "avg" if how == "mean" else "min", "masked", mask or "true")
+            for out, c, mask, how in places.WHOLE_TRACK_MODES + places.STOPPED_MODES}
+_MOVES_C = [x for x in [*stats.step_stats(), *stats.delta_stats()] if x.out != "slope_mean"]
+_PIVOT = ORACLES["speed_bin_pivot"].split("binned as", 1)[1].split("\nselect", 1)
+_EXTRA_C = (", " + ", ".join(O.r6(e, n) for n, e in _SPREADS.items()) + f", round({_ASPECT},6) as aspect, "
+            "round(cast(nullif(count(*) filter (where stopped),0) as double)/count(*),6) as stopped_share")
+
+
+@query("member_c_numbers", O.with_(
+    O.MASKED, O.MOVED.replace("order by ts, seq", "order by seq"), O.STEPS, _LABELS, _TOP,
+    f"block as ({O.stat_select(_STATS_C, 'masked', _EXTRA_C)})", f"moves as ({O.stat_select(_MOVES_C, 'timed')})",
+    *[f"{out}_m as ({text_})" for out, text_ in _MODES_C.items()],
+    f"profile as (select id, max(n) as lon_freq_max, round(avg(n),6) as lon_freq_mean, "
+    f"round(stddev_pop(n),6) as lon_freq_std from ({_FREQ}) group by id)",
+    f"binned as{_PIVOT[0]}", f"bins as (select{_PIVOT[1]})") + "select b.*, " + ", ".join(
+        f"round({out}_m.m,6) as {out}" for out in _MODES_C) + """, profile.* exclude (id), moves.* exclude (id), t.* exclude (id),
+  bins.* exclude (id), l.type
+from block b left join labels l on l.id=b.id left join top t on t.id=b.id left join moves on moves.id=b.id
+left join profile on profile.id=b.id left join bins on bins.id=b.id """ + " ".join(
+        f"left join {out}_m on {out}_m.id=b.id" for out in _MODES_C))
+def _(p):
+    return members.numbers_c(prepare(p, ("seq",)))
+
+
 # -- without a SQL form ------------------------------------------------------
 
 @query("svd_features")
@@ -740,6 +847,31 @@ def _(p):
     return found.groupBy(F.col("fold").cast("bigint").alias("fold")).agg(F.sum("importance").alias("total"))
 
 
+def _member_b(p):
+    return settle(members.numbers_b(members.prepare_b(p)))
+
+
+@query("softmax_oof", ORACLES["oof_coverage"])
+def _(p):
+    """Three rounds with the second member's settings on its numbers: every labelled track scored once, by other folds."""
+    params = model.replace(model.MEMBER_PARAMS["b"], rounds=3, patience=0)
+    return model.cross_validate(_member_b(p), params, drop=members.DROPPED_B).oof.select(
+        "id", "type", "fold", (F.col("p_trawl") + F.col("p_gill") + F.col("p_seine")).alias("total"))
+
+
+@query("boosting_resumed", O.with_() + "select distinct id, true as same from tracks where type is not null")
+def _(p):
+    """Two rounds and two more give the scores of four at once."""
+    table = tracks.labelled(stats.stat_block(p, stats.decile_stats(["lat", "speed"])).join(tracks.track_labels(p), "id"))
+    rows = settle(model.assemble(table, model.feature_columns(table), ["id", "type"])).withColumn("held", F.lit(False))
+    params = model.TreeParams(rounds=4, step=0.1, depth=3, features=0.8, sample=0.8, min_rows=2, objective="softmax")
+    whole = boosting.boost(rows, params, 64)
+    halves = boosting.boost(rows, params, 64, boosting.boost(rows, model.replace(params, rounds=2), 64))
+    a, b = (boosting.score(x, rows.select("id", "x"), [f"{n}{i}" for i in range(3)]) for n, x in (("a", whole), ("b", halves)))
+    far = [F.abs(F.col(f"a{i}") - F.col(f"b{i}")) > 1e-9 for i in range(3)]
+    return a.join(b, "id").select("id", (~reduce(lambda x, y: x | y, far)).alias("same"))
+
+
 @query("svd_orthogonal_columns", "select i, j, cast(0 as double) as cosine, true as falling "
        "from range(10) a(i), range(10) b(j) where i < j")
 def _(p):
@@ -754,6 +886,63 @@ def _(p):
     return gram.select("g.*")
 
 
+def _orthogonal(corpus, weighting):
+    def build(p):
+        scores = factor.svd_features(p, corpus, 10, {"s": weighting})
+        names = [f"s_{i}" for i in range(10)]
+        gram = scores.agg(*[F.sum(F.col(a) * F.col(b)).alias(f"{a}{b}") for a in names for b in names]).select(F.explode(F.array(*[
+            F.struct(F.lit(i).cast("bigint").alias("i"), F.lit(j).cast("bigint").alias("j"),
+                     S.safe_ratio(F.abs(F.col(f"s_{i}s_{j}")), F.sqrt(F.col(f"s_{i}s_{i}") * F.col(f"s_{j}s_{j}"))).alias("cosine"),
+                     (F.col(f"s_{i}s_{i}") >= F.col(f"s_{j}s_{j}")).alias("falling"))
+            for i in range(10) for j in range(i + 1, 10)])).alias("g"))
+        return gram.select("g.*")
+    return build
+
+
+# The other corpora that the members factorise.
+for _corpus, _weighting in (("geohash", "tfidf"), ("geohash", "count"), ("gradient", "tfidf"), ("sample", "tfidf"),
+                            ("place", "tfidf"), ("lat", "tfidf"), ("lon", "tfidf")):
+    query(f"svd_orthogonal_{_corpus}_{_weighting}", ORACLES["svd_orthogonal_columns"])(_orthogonal(_corpus, _weighting))
+
+
+@query("token_dictionary", O.with_("source as (select * from tracks)") + f""",
+words as ({O.words("cast(lat as varchar)||'_'||cast(lon as varchar)")})
+select distinct token, dense_rank() over (order by token) - 1 as code from words""")
+def _(p):
+    return text.dictionary(text.token_counts(text.CORPORA["place"].words(p)))
+
+
+@query("token_dictionary_split", ORACLES["token_dictionary"])
+def _(p):
+    """The same from ranges of the tokens, as for vocabularies too large for one task."""
+    return text.dictionary(text.token_counts(text.CORPORA["place"].words(p)), limit=50)
+
+
+@query("tfidf_train_only", O.with_(O.CELLS, "source as (select * from celled)") + f""",
+words as ({O.words("geohash7")}),
+counts as (select id, token, count(*) as n from words group by id, token),
+train as (select id from tracks group by id having count(type) > 0),
+spread as (select token, count(*) as df from counts where id in (select id from train) group by token),
+raw as (select id, token, n, n*(ln(cast(1+(select count(*) from train) as double)/cast(1+df as double))+1) as w
+  from counts join spread using (token))
+select id, token, n, round(w/sqrt(sum(w*w) over (partition by id)), 6) as weight from raw""")
+def _(p):
+    """Weights of all tracks by the idf of the labelled ones."""
+    return text.corpus_tfidf(p, "geohash", fit_on="type IS NOT NULL")
+
+
+@query("svd_train_projection", O.with_() + "select id, true as same from tracks group by id having count(type) > 0")
+def _(p):
+    """Scores of the labelled tracks do not depend on whether others are scored with them."""
+    train = tracks.labelled(p)
+    alone = factor.svd_features(train, "slow_geohash", 5, {"s": "tfidf"})
+    beside = factor.svd_features(p, "slow_geohash", 5, {"t": "tfidf"}, fit_on="type IS NOT NULL")
+    far = [F.abs(F.col(f"s_{i}") - F.col(f"t_{i}")) > 1e-6 for i in range(5)]
+    ids = train.select("id").distinct()
+    both = ids.join(alone, "id", "left").join(beside, "id", "left").na.fill(0.0)
+    return both.select("id", (~reduce(lambda x, y: x | y, far)).alias("same"))
+
+
 @query("word2vec_without_cuts", O.with_() + "select distinct id, true as same from tracks")
 def _(p):
     """Cutting sentences every 20 pings changes no vector."""
