@@ -35,8 +35,9 @@ MISSED = 1e-9
 BLOCK = 512
 # Shingles per document up to which a block holds BLOCK documents.
 LONG = 2000
-# How often large groups are compared with a first document before all that is left is paired.
-ROUNDS = 3
+# Groups of more than WIDE blocks are compared with a first document, up to ROUNDS times,
+# before all that is left is paired; fewer blocks are paired with few copies of a document.
+WIDE, ROUNDS = 3, 3
 # Candidates up to this number are picked from the documents by broadcast (40 MB); more by a shuffle.
 MAX_BROADCAST_IDS = 2_000_000
 
@@ -145,13 +146,13 @@ def _distances(rows: DataFrame, similarity: int) -> DataFrame:
 def _shrunk(members: DataFrame, sets: DataFrame, block: int, similarity: int) -> tuple[DataFrame, DataFrame | None]:
     """(members, links): large groups without the documents that no more comparison is needed for; links are None if none is large.
 
-    The documents of a group of several blocks are compared with its first one.
+    The documents of a group of more than WIDE blocks are compared with its first one.
     Those linked to it are connected. The Jaccard distance is a metric, so of
     these only the ones far enough from the first can be near one that is not
     linked to it; the others go. A group of near copies is gone then, at two
     rows a document.
     """
-    sizes = skew.settle(members.groupBy("hub").agg(_parts(block), F.min("id").alias("first")).filter("parts > 1"))
+    sizes = skew.settle(members.groupBy("hub").agg(_parts(block), F.min("id").alias("first")).filter(F.col("parts") > WIDE))
     if sizes.isEmpty():
         return members, None
     large = members.join(sizes, "hub").filter("id <> first").select(
