@@ -195,6 +195,17 @@ def test_split_files_keep_their_row_order(spark, tmp_path):
     assert [r["lat"] for r in rows] == [30 + i / 1000 for i in range(4000)]
 
 
+def test_large_files_keep_their_row_order(spark, tmp_path):
+    for vessel, n in ((7, 3000), (8, 40)):
+        with open(tmp_path / f"{vessel}.csv", "w", encoding="utf-8") as f:
+            f.write(",".join(tracks.FILE_COLUMNS) + "\n")
+            for i in range(n):
+                f.write(f"{vessel},{30 + i / 1000},120.0,1.0,{i % 360},0101 {i // 3600:02d}:{i // 60 % 60:02d}:{i % 60:02d},拖网\n")
+    rows = tracks.read_tracks(spark, str(tmp_path), limit=500).orderBy("id", "seq").collect()
+    assert [(r["id"], r["seq"]) for r in rows] == [(7, i) for i in range(3000)] + [(8, i) for i in range(40)]
+    assert [r["lat"] for r in rows] == [30 + i / 1000 for n in (3000, 40) for i in range(n)]
+
+
 def test_row_numbers_do_not_depend_on_packing(spark, pings, tmp_path):
     write_vessels(pings.filter("type is not null and id < 9"), tmp_path / "train", True)
     old = spark.conf.get("spark.sql.files.openCostInBytes")

@@ -98,9 +98,10 @@ def split_blocks(df: DataFrame, large: LargeGroups, order) -> DataFrame:
     partitions = min(max(2, math.ceil(large.rows / size) * 2), MAX_PARTITIONS)
     ranged = (large.only(df).repartitionByRange(partitions, *large.keys, *order)
               .sortWithinPartitions(*large.keys, *order))
-    # The id holds the partition's number above 33 bits for the row's.
-    cut = f"shiftright(_row, 33) * {1 << 33} + (_row & {(1 << 33) - 1}) div {size}"
-    return settle(ranged.withColumn("_row", F.monotonically_increasing_id()).withColumn("block", F.expr(cut)).drop("_row"))
+    # The id holds the partition's number above 33 bits for the row's. No column of that name may be replaced.
+    row = f"_row_{uuid.uuid4().hex}"
+    cut = f"shiftright({row}, 33) * {1 << 33} + ({row} & {(1 << 33) - 1}) div {size}"
+    return settle(ranged.withColumn(row, F.monotonically_increasing_id()).withColumn("block", F.expr(cut)).drop(row))
 
 
 def positions(df: DataFrame, keys, order, weight=None, limit: int = MAX_GROUP_ROWS,

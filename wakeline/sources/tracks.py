@@ -25,13 +25,13 @@ def _file_schema(labelled: bool) -> str:
 
 
 def read_tracks(spark: SparkSession, path: str, labelled: bool = True, year: int = 2019,
-                id_from_file: bool = False) -> DataFrame:
+                id_from_file: bool = False, limit: int = MAX_GROUP_ROWS) -> DataFrame:
     """Every CSV under `path` (one file per vessel, header row) as canonical pings.
 
     Columns are taken by position. `seq` is the number of the row in its file,
     from 0: rows are numbered along the offset of their split and their place
     in the task that reads it, so it doesn't depend on how files are split or
-    packed into tasks.
+    packed into tasks. Files of over `limit` rows are numbered in blocks.
     """
     raw = (spark.read.schema(_file_schema(labelled)).option("header", True)
            .option("enforceSchema", True).csv(path)
@@ -39,7 +39,7 @@ def read_tracks(spark: SparkSession, path: str, labelled: bool = True, year: int
            .withColumn("_start", F.col("_metadata.file_block_start"))
            .withColumn("_path", F.col("_metadata.file_path"))
            .withColumn("_file", F.col("_metadata.file_name")))
-    raw = positions(raw, ["_path"], ["_start", "_row"])
+    raw = positions(raw, ["_path"], ["_start", "_row"], limit=limit)
     name = F.regexp_extract("_file", r"^(\d+)", 1).cast("bigint")
     label = F.coalesce(*[F.when(F.col("type") == t, n) for t, n in S.CLASS_TEXT.items()],
                        F.col("type")) if labelled else F.lit(None).cast("string")
