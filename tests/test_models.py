@@ -56,6 +56,25 @@ def test_svd_beyond_the_rank_scores_zero(spark):
     np.testing.assert_allclose(np.abs(got), [[0, 3, 0, 0], [4, 0, 0, 0], [0, 0, 0, 0]], atol=1e-9)
 
 
+@pytest.mark.parametrize("limit", [10 ** 6, 60, 1])
+def test_products_in_blocks_match_numpy(spark, limit):
+    """Whatever ids are too long for a block; the blocks get each token once, not each cell."""
+    rng = np.random.default_rng(1)
+    x = rng.random((400, 90)) * (rng.random((400, 90)) < np.linspace(0.05, 1, 400)[:, None])
+    v = rng.random((90, 2))
+    cells = factor.settle(spark.createDataFrame([(int(i), f"t{j}", float(x[i, j])) for i, j in zip(*x.nonzero())],
+                                                "id bigint, token string, weight double"))
+    vectors = spark.createDataFrame([(f"t{j}", *map(float, v[j])) for j in range(89)], "token string, a double, b double")
+    v[89] = 0  # t89 is unknown
+    placed = factor.PlacedCells.of(cells, block_cells=5000, limit=limit)
+    by_id = np.array([list(r) for r in placed.by_id(vectors, ["a", "b"]).groupBy("id").sum("a", "b").orderBy("id").collect()])
+    np.testing.assert_allclose(by_id[:, 1:], (x @ v)[by_id[:, 0].astype(int)], atol=1e-9)
+    assert (x @ v)[np.setdiff1d(range(400), by_id[:, 0])].sum() == 0
+    by_token = {r["token"]: (r["a"], r["b"]) for r in placed.by_token(vectors, ["a", "b"]).collect()}
+    np.testing.assert_allclose([by_token[f"t{j}"] for j in range(89)], (x.T @ (x @ v))[:89], atol=1e-9)
+    assert placed.tokens.count() <= 90 * 4 < cells.count() / 20
+
+
 def test_word_vectors_depend_on_neither_partitions_nor_cuts(pings):
     def vectors(p, **settings):
         return (factor.word2vec_means(p, size=4, iterations=20, **settings).toPandas().set_index("id").sort_index())

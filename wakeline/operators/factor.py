@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import Word2Vec
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
@@ -22,6 +25,8 @@ TRIANGLES = 32
 # A column that adds less than this share of its length to those before it depends on them,
 # and a direction below this share of the first is rounding.
 DEPENDENT, RANK = 1e-13, 1e-14
+# Cells that a task multiplies at once, and those of one id beyond which it has no block.
+BLOCK_CELLS, MAX_ID_CELLS = 100_000, 200_000
 
 
 def _triangle(df: DataFrame, cols) -> np.ndarray:
@@ -69,35 +74,76 @@ def _independent(r: np.ndarray) -> np.ndarray:
     return inverse
 
 
+def _block_products(cols, key: str, again: bool):
+    """Cells and vectors of a block -> sums of weight * vector by id, or with `again` those taken back to the tokens."""
+    def run(cells: pa.Table, vectors: pa.Table) -> pa.Table:
+        known = vectors["token"].combine_chunks()
+        at = pc.index_in(cells["token"], value_set=known)
+        cells, at = cells.filter(pc.is_valid(at)), at.drop_null().to_numpy()
+        ids = cells["id"].combine_chunks().dictionary_encode()
+        row, weight = ids.indices.to_numpy(), cells["weight"].to_numpy()
+        out = [known if again else ids.dictionary]
+        for c in cols:
+            sums = np.bincount(row, weight * vectors[c].to_numpy()[at], len(ids.dictionary))
+            out.append(pa.array(np.bincount(at, weight * sums[row], len(known)) if again else sums))
+        return pa.table(out, [key, *cols])
+    return run
+
+
 @dataclass(frozen=True)
 class PlacedCells:
-    """The cells (id, token, weight), bucketed by one of their keys.
+    """The cells (id, token, weight) in blocks of whole ids, written bucketed by block.
 
-    A join by that key moves the vectors only. The cells of a key with too many
-    of them for one bucket stand in a plain table; such keys are few, so their
-    vectors are broadcast to it.
+    A product with token vectors sends each block the vectors of its tokens,
+    once each however many cells they have, and takes back a sum for each; it
+    moves no cells and no vectors of ids in between. The cells of ids that are too
+    long for a block are bucketed by token; such ids are few, so their sums are
+    broadcast to them, and a token has no more cells there than there are such ids.
     """
 
-    key: str
     rows: DataFrame
-    hot: DataFrame | None
-    hot_keys: DataFrame | None
+    tokens: DataFrame
+    long: DataFrame | None
 
     @staticmethod
-    def of(cells: DataFrame, key: str, buckets: int) -> PlacedCells:
-        large = find_large(cells, [key])
+    def of(cells: DataFrame, block_cells: int = BLOCK_CELLS, limit: int = MAX_ID_CELLS) -> PlacedCells:
+        """`cells` is a written table."""
+        buckets = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        large = find_large(cells, ["id"], limit)
         few = cells if large is None else large.without(cells)
-        rows = bucketed(few.repartition(buckets, key), buckets, key)
-        return PlacedCells(key, rows, None, None) if large is None else PlacedCells(
-            key, rows, settle(large.only(cells)), large.table)
+        blocks = math.ceil(cells.count() / block_cells) or 1
+        placed = few.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
+        rows = bucketed(placed.repartition(buckets, "block"), buckets, "block")
+        tokens = bucketed(rows.select("token", "block").distinct().repartition(buckets, "token"), buckets, "token")
+        return PlacedCells(rows, tokens, None if large is None else bucketed(
+            large.only(cells).repartition(buckets, "token"), buckets, "token"))
+
+    def _in_blocks(self, vectors: DataFrame, cols, again: bool) -> DataFrame:
+        key = "token" if again else "id"
+        schema = ", ".join([f"{key} {dict(self.rows.dtypes)[key]}", *[f"`{c}` double" for c in cols]])
+        needed = self.tokens.join(vectors, "token").select("block", "token", *cols)
+        return self.rows.groupBy("block").cogroup(needed.groupBy("block")).applyInArrow(
+            _block_products(list(cols), key, again), schema)
+
+    def _of_long(self, vectors: DataFrame, cols) -> DataFrame:
+        return _weighted(self.long.join(vectors, "token"), "id", cols)
+
+    def by_id(self, vectors: DataFrame, cols) -> DataFrame:
+        """(id, cols): the vectors (token, cols) times the weights, summed by id."""
+        short = self._in_blocks(vectors, cols, False)
+        return short if self.long is None else short.unionByName(self._of_long(vectors, cols))
+
+    def by_token(self, vectors: DataFrame, cols) -> DataFrame:
+        """(token, cols): these sums times the weights again, summed by token."""
+        parts = self._in_blocks(vectors, cols, True)
+        if self.long is not None:
+            parts = parts.unionByName(_weighted(
+                self.long.join(F.broadcast(self._of_long(vectors, cols)), "id"), "token", cols))
+        return parts.groupBy("token").agg(*[F.sum(c).alias(c) for c in cols])
+
 
-    def multiply(self, vectors: DataFrame, cols, to: str) -> DataFrame:
-        """(to, cols): the vectors (key, cols) of the cells' keys times their weights, summed by the other key."""
-        joined = self.rows.join(vectors, self.key)
-        if self.hot is not None:
-            held = F.broadcast(vectors.join(F.broadcast(self.hot_keys), self.key, "left_semi"))
-            joined = joined.unionByName(self.hot.join(held, self.key))
-        return joined.groupBy(to).agg(*[F.expr(f"sum(weight * {c})").alias(c) for c in cols])
+def _weighted(joined: DataFrame, key: str, cols) -> DataFrame:
+    return joined.groupBy(key).agg(*[F.expr(f"sum(weight * {c})").alias(c) for c in cols])
 
 
 @dataclass(frozen=True)
@@ -117,42 +163,40 @@ class SvdModel:
         if self.vectors is None:
             return documents.selectExpr("id", *[f"0D AS {n}" for n in names])
         if not isinstance(cells, PlacedCells):
-            cells = PlacedCells("token", cells.select("id", "token", "weight"), None, None)
-        projected = cells.multiply(self.vectors, self.names, "id")
+            cells = PlacedCells.of(settle(cells.select("id", "token", "weight")))
+        projected = cells.by_id(self.vectors, self.names)
         return documents.join(projected, "id", "left").selectExpr("id", *[
             f"coalesce({self.names[i]}, 0D) AS {n}" if i < len(self.names) else f"0D AS {n}" for i, n in enumerate(names)])
 
 
 def fit_svd(cells: DataFrame, k: int, iterations: int = 20, oversample: int = 10, seed: int = 1,
             tolerance: float = 1e-9) -> tuple[SvdModel, DataFrame | PlacedCells]:
-    """The k leading singular directions of a sparse matrix (id, token, weight), and its cells placed by token.
+    """The k leading singular directions of a sparse matrix (id, token, weight), and its cells placed in blocks.
 
-    Block power iteration on the table itself: each half step is a join and a
-    pre-aggregated sum, and only (k + oversample)^2 numbers reach the driver, so
-    neither the vocabulary nor a long document has to fit in one place. The
-    cells are written by token and by id, so that a step moves vectors and no
-    cells. Stops early once the leading values have settled, or once the block
+    Block power iteration on the table itself: a step multiplies by the matrix
+    and back, block by block of its rows (see PlacedCells), and only
+    (k + oversample)^2 numbers reach the driver, so neither the vocabulary nor a
+    long document has to fit in one place. Stops early once the leading values have settled, or once the block
     holds all directions that there are. In each direction the largest score in
     size of these rows is positive.
     """
     width = k + oversample
-    buckets = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cells = settle(cells.select("id", "token", "weight"))
     names = [f"v{i}" for i in range(width)]
     if cells.isEmpty():
         return SvdModel(None, [], k), cells
-    by_token, by_id = (PlacedCells.of(cells, key, buckets) for key in ("token", "id"))
+    placed = PlacedCells.of(cells)
     half = float(2 ** 63)
     basis = cells.select("token").distinct().selectExpr("token", *[
         f"xxhash64(token, {seed * width + i}) / {half}D AS {n}" for i, n in enumerate(names)])
     cols, settled = names, None
     for step in range(iterations):
-        image = settle(by_id.multiply(by_token.multiply(basis, cols, "id"), cols, "token"))
+        image = settle(placed.by_token(basis, cols))
         triangle = _triangle(image, cols)
         inverse = _independent(triangle)
         used = names[:inverse.shape[1]]
         if not used:
-            return SvdModel(None, [], k), by_token
+            return SvdModel(None, [], k), placed
         basis, cols = _rotate(image, "token", cols, inverse, used), used
         lead = np.sqrt(np.linalg.svd(triangle, compute_uv=False)[:k])
         if len(used) < width and step > 0:  # no direction is left that the block could turn to
@@ -164,7 +208,7 @@ def fit_svd(cells: DataFrame, k: int, iterations: int = 20, oversample: int = 10
     inverse = _independent(_triangle(basis, cols))
     basis, cols = _rotate(basis, "token", cols, inverse, names[:inverse.shape[1]]), names[:inverse.shape[1]]
 
-    projected = settle(by_token.multiply(basis, cols, "id"))
+    projected = settle(placed.by_id(basis, cols))
     _, values, turned = np.linalg.svd(_triangle(projected, cols))
     found = [f"r{i}" for i in range(min(k, int((values > values[0] * RANK).sum())))]
     turn = turned.T[:, :len(found)]
@@ -172,7 +216,7 @@ def fit_svd(cells: DataFrame, k: int, iterations: int = 20, oversample: int = 10
     leads = _rotate(projected, "id", cols, turn, found).agg(
         *[F.expr(f"min_by({c}, struct(-abs({c}), id))").alias(c) for c in found]).first()
     turn = turn * np.array([-1.0 if leads[c] < 0 else 1.0 for c in found])
-    return SvdModel(settle(_rotate(basis, "token", cols, turn, found)), found, k), by_token
+    return SvdModel(settle(_rotate(basis, "token", cols, turn, found)), found, k), placed
 
 
 def truncated_svd(cells: DataFrame, documents: DataFrame, k: int, prefix: str,
