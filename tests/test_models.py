@@ -225,6 +225,13 @@ def test_large_files_keep_their_row_order(spark, tmp_path):
     assert [r["lat"] for r in rows] == [30 + i / 1000 for n in (3000, 40) for i in range(n)]
 
 
+def test_files_are_opened_once(spark, pings, tmp_path):
+    """The rows are counted and numbered from what was parsed, not from the files again."""
+    write_vessels(pings.filter("type is not null and id < 6"), tmp_path / "train", True)
+    plan = tracks.read_tracks(spark, str(tmp_path / "train"))._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in plan and "FileScan csv" not in plan
+
+
 def test_row_numbers_do_not_depend_on_packing(spark, pings, tmp_path):
     write_vessels(pings.filter("type is not null and id < 9"), tmp_path / "train", True)
     old = spark.conf.get("spark.sql.files.openCostInBytes")

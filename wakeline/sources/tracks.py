@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wakeline.functions import scalars as S
-from wakeline.operators.skew import MAX_GROUP_ROWS, positions
+from wakeline.operators.skew import MAX_GROUP_ROWS, positions, settle
 
 PING_COLUMNS = ("id", "seq", "ts", "lat", "lon", "speed", "direction", "type")
 
@@ -31,7 +31,9 @@ def read_tracks(spark: SparkSession, path: str, labelled: bool = True, year: int
     Columns are taken by position. `seq` is the number of the row in its file,
     from 0: rows are numbered along the offset of their split and their place
     in the task that reads it, so it doesn't depend on how files are split or
-    packed into tasks. Files of over `limit` rows are numbered in blocks.
+    packed into tasks. Files of over `limit` rows are numbered in blocks. The
+    files are opened once: what is parsed is written to the shared folder, and
+    counted and numbered from there.
     """
     raw = (spark.read.schema(_file_schema(labelled)).option("header", True)
            .option("enforceSchema", True).csv(path)
@@ -39,7 +41,7 @@ def read_tracks(spark: SparkSession, path: str, labelled: bool = True, year: int
            .withColumn("_start", F.col("_metadata.file_block_start"))
            .withColumn("_path", F.col("_metadata.file_path"))
            .withColumn("_file", F.col("_metadata.file_name")))
-    raw = positions(raw, ["_path"], ["_start", "_row"], limit=limit)
+    raw = positions(settle(raw), ["_path"], ["_start", "_row"], limit=limit)
     name = F.regexp_extract("_file", r"^(\d+)", 1).cast("bigint")
     label = F.coalesce(*[F.when(F.col("type") == t, n) for t, n in S.CLASS_TEXT.items()],
                        F.col("type")) if labelled else F.lit(None).cast("string")
