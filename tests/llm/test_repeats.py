@@ -94,6 +94,25 @@ def test_interleave_is_the_order_of_all_suffixes(seed, rounds):
     assert [x == y for x, y in zip(group.tolist(), group[1:].tolist())] == same and any(same)
 
 
+@pytest.mark.parametrize("bits,head", [(2, 31), (3, 21), (7, 9), (21, 3), (31, 2), (63, 1)])
+@pytest.mark.parametrize("rounds", [1, 9, 16, 35])
+def test_groups_whatever_the_step(bits, head, rounds):
+    """As many characters at a time as one number holds; rounds need not be whole steps."""
+    rng = random.Random(bits + rounds)
+    texts = [bytes(rng.choice(b"ab" if bits == 2 else b"abc") for _ in range(rng.randint(0, 70))) for _ in range(12)]
+    texts += [texts[3] + b"ab" * 20, texts[4][5:] + b"ba" * 20, b"ab" * 40]
+    codes, half = repeats._codes(texts), len(texts) // 2
+    shards = repeats.Shard(codes[:half], bits), repeats.Shard(codes[half:], bits)
+    assert all(x.head == head for x in shards)
+    rows, group = repeats.interleave(*shards, rounds)
+    found = [(k + (half if b else 0), i) for b, x in enumerate(shards) for k, i in zip(
+        x.owner[x.order].tolist(), (x.order - x.begins[x.owner[x.order]]).tolist())]
+    found = [found[r] for r in rows.tolist()]
+    cut = [(list(texts[k][i:]) + [-len(texts) + k])[:rounds] for k, i in found]
+    assert len(set(found)) == sum(len(t) + 1 for t in texts) and cut == sorted(cut)
+    assert [x == y for x, y in zip(group.tolist(), group[1:].tolist())] == [x == y for x, y in zip(cut, cut[1:])]
+
+
 def test_every_byte_value():
     every = bytes(range(256))
     assert repeats.repeated([every, every], [1, 2], [0, 50]) == [(2, 50, 306)]

@@ -22,7 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from wakeline.llm.common import broadcast_if
+from wakeline.llm.common import broadcast_if, kept_in_worker
 from wakeline.llm.shingles import scramble
 from wakeline.operators import skew
 
@@ -31,8 +31,6 @@ LENGTH, GRAM = 100, 32
 CHUNK = 1 << 16
 # Strings of an anchor up to which they stay together, and the bytes of a unit of whole anchors.
 STRINGS, UNIT = 8_000, 1 << 16
-# Characters that a suffix is first sorted by.
-HEAD = 5
 # Anchors with too many strings up to this number are joined by broadcast (some 40 MB).
 MAX_BROADCAST_ANCHORS = 1_000_000
 # An odd multiplier and its inverse modulo 2^64.
@@ -41,9 +39,14 @@ INVERSE = pow(BASE, -1, 1 << 64)
 
 
 def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[0] = 1
-    return np.cumprod(out, dtype=np.uint64)
+    """The first n powers, kept in the worker."""
+    size = 1 << n.bit_length()
+
+    def make():
+        out = np.full(size, base, np.uint64)
+        out[0] = 1
+        return np.cumprod(out, dtype=np.uint64)
+    return kept_in_worker(("powers", base, size), make)[:n]
 
 
 def anchors(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
@@ -186,49 +189,63 @@ def _bounded(strings: DataFrame, length: int, gram: int, most: int) -> tuple[Dat
     return left, none
 
 
+def _apart(ordered: np.ndarray) -> np.ndarray:
+    """For each value of a list whether it is the first of its run of equal ones."""
+    first = np.ones(len(ordered), bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=first[1:])
+    return first
+
+
 class Shard:
     """Strings and their suffixes in order.
 
     Every string ends with a character of its own, smaller than all others and
     ordered as the strings are, so that no two suffixes are equal. A suffix is
-    known by its row, its place in the order.
+    known by its row, its place in the order. Characters have `bits` bits.
     """
 
-    def __init__(self, texts: list[np.ndarray]):
+    def __init__(self, texts: list[np.ndarray], bits: int = 9):
         sizes = np.array([len(t) + 1 for t in texts], np.int64)
         self.sizes, self.begins = sizes, np.cumsum(sizes) - sizes
-        self.symbols = np.concatenate([np.append(t, 0) for t in texts]) if texts else np.zeros(0, np.int64)
         self.owner = np.repeat(np.arange(len(texts)), sizes)
         # Characters from each place to its string's end, the last one included.
-        self.to_end = np.repeat(self.begins + sizes, sizes) - np.arange(len(self.symbols))
+        self.to_end = np.repeat(self.begins + sizes, sizes) - np.arange(sizes.sum())
+        self.symbols = np.zeros(len(self.owner), np.int64)
+        if texts:
+            self.symbols[self.to_end > 1] = np.concatenate(texts)
+        # As many characters as one number holds are a suffix's head.
+        self.bits, self.head = bits, 63 // bits
         self.order, self.heads = self._sorted()
 
     def _sorted(self) -> tuple[np.ndarray, np.ndarray]:
-        """(places of the suffixes in order, their first HEAD characters as one number).
+        """(places of the suffixes in order, their first `head` characters as one number).
 
-        By ranks of the first HEAD characters, then by three times as many each round.
+        By the heads, then those that are still equal by the ranks of what follows, each round several times as far.
         """
-        n, k = len(self.symbols), HEAD
-        if not n:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        n, k = len(self.symbols), self.head
         packed = np.zeros(n, np.int64)
         for j in range(k):
-            packed <<= 9
+            packed <<= self.bits
             m = max(n - j, 0)
-            packed[:m] |= np.where(self.to_end[:m] > j, self.symbols[j:], 0)
-        key = (packed << 18) | np.where(self.to_end <= k, self.owner, 0)
-        while True:
-            order = np.argsort(key)
-            ordered = key[order]
-            rank = np.empty(n, np.int64)
-            rank[order] = np.cumsum(np.concatenate([[0], ordered[1:] != ordered[:-1]]))
-            if rank[order[-1]] == n - 1:
-                return order, packed[order]
-            key = rank << 42
-            for far, shift in ((k, 21), (2 * k, 0)):
-                m = max(n - far, 0)
-                key[:m] |= np.where(self.to_end[:m] > far, rank[far:], 0) << shift
-            k *= 3
+            packed[:m] |= self.symbols[j:] * (self.to_end[:m] > j)
+        order = np.argsort(packed)
+        heads = packed[order]
+        rank, width = np.empty(n, np.int64), n.bit_length()
+        parts = 64 // width if n else 0
+        tied, new = np.arange(n), _apart(heads)
+        while len(tied):
+            # A rank is the place of the first that is equal so far.
+            rank[order[tied]] = tied[np.maximum.accumulate(np.where(new, np.arange(len(tied)), 0))]
+            tied = tied[~(new & np.append(new[1:], True))]
+            at = order[tied]
+            left, key = self.to_end[at], rank[at].astype(np.uint64)
+            for far in range(k, k * parts, k):
+                more = np.where(left > far, rank[np.minimum(at + far, n - 1)], self.owner[at] if far == k else 0)
+                key = key << np.uint64(width) | more.astype(np.uint64)
+            by_key = np.argsort(key)
+            order[tied], new = at[by_key], _apart(key[by_key])
+            k *= parts
+        return order, heads
 
     def before(self, step: int) -> np.ndarray:
         """For each row, the row of the suffix that begins `step` characters earlier, around the string's end."""
@@ -248,36 +265,47 @@ def interleave(a: Shard, b: Shard, rounds: int) -> tuple[np.ndarray, np.ndarray]
     transform, say where the suffix that begins with them goes: a stable sort by
     them in the order so far gives the order by as many characters more. They
     are taken `step` at a time, as many as make no more than 2^16 different ones.
+    The groups begin with as many characters as whole steps leave over.
     """
     n = len(a.order) + len(b.order)
-    for step in (s for s in range(HEAD, 0, -1) if rounds % s == 0):
-        heads = [x.heads >> 9 * (HEAD - step) for x in (a, b)]
-        kinds = np.union1d(*heads)
+    for step in range(min(a.head, rounds), 0, -1):
+        heads = [x.heads >> x.bits * (x.head - step) for x in (a, b)]
+        firsts = [_apart(h) for h in heads]
+        kinds = np.sort(np.concatenate([h[f] for h, f in zip(heads, firsts)]), kind="stable")
+        kinds = kinds[_apart(kinds)]
         if len(kinds) <= 1 << 16 or step == 1:
             break
-    head = np.concatenate([np.searchsorted(kinds, h) for h in heads]).astype(np.uint16)
-    back = np.concatenate([a.before(step), b.before(step) + len(a.order)])
+    head = np.concatenate([np.searchsorted(kinds, h[f]).astype(np.uint16)[np.cumsum(f) - 1] for h, f in zip(heads, firsts)])
+    back = np.concatenate([a.before(step), b.before(step) + len(a.order)]).astype(np.int32)
     transform = head[back]
+    to_end = np.concatenate([x.to_end[x.order] for x in (a, b)])
+    rows = np.argsort(head, kind="stable").astype(np.int32)
+
+    def bounds(chars):
+        """Where the first `chars` characters differ from those of the row before; all that end within them do."""
+        ended = np.flatnonzero(to_end[rows] <= chars)
+        apart = _apart((kinds >> a.bits * (step - chars))[head[rows]])
+        apart[ended] = True
+        apart[ended[ended < n - 1] + 1] = True
+        return apart
+
     # Suffixes that end within `step` characters are in their last places from the first round on.
-    short = np.concatenate([x.to_end[x.order] <= step for x in (a, b)])
-    rows = np.argsort(head, kind="stable")
-    settled = np.flatnonzero(short[rows])
-    stay, ordered = rows[settled], head[rows]
-    apart = ordered[1:] != ordered[:-1]
-    apart[settled[settled < n - 1]] = True
-    apart[settled[settled > 0] - 1] = True
-    group = np.cumsum(np.concatenate([[False], apart]), dtype=np.int32)
-    for _ in range(rounds // step - 1):
+    settled = np.flatnonzero(to_end[rows] <= step)
+    stay, apart = rows[settled], bounds(step)
+    group = np.cumsum(bounds((rounds - 1) % step + 1), dtype=np.int32)
+    for _ in range((rounds - 1) // step):
         order = np.argsort(transform[rows], kind="stable")
         rows, group = back[rows[order]], group[order]
         rows[settled] = stay
-        group = np.cumsum(np.concatenate([[False], apart | (group[1:] != group[:-1])]), dtype=np.int32)
+        group = np.cumsum(apart | _apart(group), dtype=np.int32)
     return rows, group
 
 
 def _codes(texts: list[bytes]) -> list[np.ndarray]:
-    """Texts as arrays of numbers from 1 to 256 in byte order."""
-    return [np.frombuffer(t, np.uint8).astype(np.int64) + 1 for t in texts]
+    """Texts as arrays of numbers from 1 on in byte order, one for each byte that occurs."""
+    whole = np.frombuffer(b"".join(texts), np.uint8)
+    number = np.cumsum(np.bincount(whole, minlength=256) > 0)
+    return np.split(number[whole], np.cumsum([len(t) for t in texts])[:-1])
 
 
 def repeated(texts: list[bytes], docs: list[int], starts: list[int], length: int = LENGTH) -> list[tuple[int, int, int]]:
@@ -287,7 +315,8 @@ def repeated(texts: list[bytes], docs: list[int], starts: list[int], length: int
     document, or in the same one at a smaller place.
     """
     codes, half = _codes(texts), len(texts) // 2
-    a, b = Shard(codes[:half]), Shard(codes[half:])
+    bits = len(set().union(*texts)).bit_length() or 1
+    a, b = Shard(codes[:half], bits), Shard(codes[half:], bits)
     rows, group = interleave(a, b, length)
     owner = np.concatenate([a.owner[a.order], b.owner[b.order] + half])[rows]
     offset = np.concatenate([x.order - x.begins[x.owner[x.order]] for x in (a, b)])[rows]
