@@ -2,6 +2,7 @@
 
 import collections
 import random
+import re
 import zlib
 
 import brute
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 import compare
 import corpus_pipeline
-from wakeline.llm import (coder, decontaminate, langid, licenses, linededup, mixing, neardup, quality, queries, sharding,
+from wakeline.llm import (coder, common, decontaminate, langid, licenses, linededup, mixing, neardup, quality, queries, sharding,
                           tokenio, urlfilter)
 from wakeline.operators.skew import settle, shared_folder
 
@@ -169,6 +170,14 @@ def test_quality(docs, labels):
             assert r["kept"] == (not r["base_failed"] and scores[r["text"]] >= least)
 
 
+def test_parts_count_the_blanks(docs):
+    """One split gives the words and the number of blanks, also of U+000B and others that are no blanks elsewhere."""
+    rows = docs.select("text", common.parts(F.col("text")).alias("parts"), common.words(F.col("text")).alias("words")).collect()
+    for r in rows:
+        assert r.parts == re.split(r"[\x20\x09-\x0D]", r.text or "")
+        assert r.words == re.findall(r"[^\x20\x09-\x0D]+", r.text or "")
+
+
 def test_good_documents_pass_and_bad_ones_fail(spark, labels, sf_dir):
     judged = quality.rules(spark.read.parquet(f"{sf_dir}/documents.parquet"), labels).join(labels, "doc_id")
     clean = judged.filter("quality = 1 and toxic = 0 and not _quality.base_failed")

@@ -14,10 +14,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 BLANKS = " \t\n\x0b\x0c\r"
 
 
+def parts(text: Column) -> Column:
+    """What a text's blanks separate, empty strings included: one more than there are blanks."""
+    return F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]", -1)
+
+
 def words(text: Column) -> Column:
     """The words of a text, `[^\\x20\\x09-\\x0D]+`, as an array; none for a null text."""
-    spaced = F.translate(F.coalesce(text, F.lit("")), BLANKS[1:], " " * (len(BLANKS) - 1))
-    return F.array_remove(F.split(spaced, " ", -1), "")
+    return F.array_remove(parts(text), "")
 
 
 def let(value: Column, body) -> Column:

@@ -18,7 +18,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wakeline.llm.common import BLANKS, broadcast_if, let, words
+from wakeline.llm.common import broadcast_if, let, parts, words
 from wakeline.operators.skew import settle
 
 # Buckets of words and of word pairs. Rare n-grams share buckets, in a large corpus
@@ -37,7 +37,7 @@ HELD, LOST = 4, 0.005
 # The threshold lies so much further from 0 than the score of that share: few held-out
 # documents show their own extremes, not those of all others.
 SLACK = 1.25
-SYMBOLS = "#*$%&|<>"
+SYMBOL = "[#*$%&|<>]"
 # Keys of eight bytes up to this number are joined by broadcast; more by a shuffle.
 MAX_BROADCAST_KEYS = 1_000_000
 
@@ -55,18 +55,29 @@ def _part(array: Column, start: int, short: int) -> Column:
     return F.slice(array, F.lit(start), F.greatest(F.size(array) - short, F.lit(0)))
 
 
+def _twos(hashes: Column) -> Column:
+    """A 64-bit hash of each pair of neighbouring words."""
+    return F.transform(_part(hashes, 1, 1), lambda h, i: F.xxhash64(h, hashes[i + 1]))
+
+
+def _word_bucket(h: Column) -> Column:
+    return h.bitwiseAND(F.lit(WORD_BUCKETS - 1))
+
+
+def _pair_bucket(h: Column) -> Column:
+    """The bucket of a pair, counted from 0; those of words come before."""
+    return h.bitwiseAND(F.lit(PAIR_BUCKETS - 1))
+
+
 def _buckets(hashes: Column) -> Column:
     """The buckets of all words, then of all word pairs."""
-    pairs = _pairs(_part(hashes, 1, 1), _part(hashes, 2, 1))
-    return F.concat(F.transform(hashes, lambda h: F.pmod(h, F.lit(WORD_BUCKETS)).cast("int")),
-                    F.transform(pairs, lambda h: (F.pmod(h, F.lit(PAIR_BUCKETS)) + WORD_BUCKETS).cast("int")))
+    return F.concat(F.transform(hashes, lambda h: _word_bucket(h).cast("int")), F.transform(
+        _part(hashes, 1, 1), lambda h, i: (_pair_bucket(F.xxhash64(h, hashes[i + 1])) + WORD_BUCKETS).cast("int")))
 
 
-def _windows(hashes: Column) -> Column:
-    """A 64-bit hash of each run of five words: pairs, pairs of pairs, and the fifth word."""
-    def five(twos):
-        return _pairs(_pairs(_part(twos, 1, 2), _part(twos, 3, 2)), _part(hashes, WINDOW, WINDOW - 1))
-    return let(_pairs(_part(hashes, 1, 1), _part(hashes, 2, 1)), five)
+def _windows(hashes: Column, twos: Column) -> Column:
+    """A 64-bit hash of each run of five words: pairs of pairs, and the fifth word."""
+    return _pairs(_pairs(_part(twos, 1, 2), _part(twos, 3, 2)), _part(hashes, WINDOW, WINDOW - 1))
 
 
 def _covered(windows: Column) -> Column:
@@ -85,11 +96,11 @@ def _covered(windows: Column) -> Column:
     return let(let(placed, starts), total)
 
 
-def repeated_words(hashes: Column) -> Column:
+def repeated_words(hashes: Column, twos: Column) -> Column:
     """Words inside a five-word window that the text has twice or more, the first included."""
     def count(windows):
         return F.when(F.size(F.array_distinct(windows)) == F.size(windows), 0).otherwise(_covered(windows))
-    return F.when(F.size(hashes) <= WINDOW, 0).otherwise(let(_windows(hashes), count))
+    return F.when(F.size(hashes) <= WINDOW, 0).otherwise(let(_windows(hashes, twos), count))
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -120,17 +131,20 @@ def log_ratios(docs: DataFrame, trusted: DataFrame) -> bytes | None:
     return bytes(table)
 
 
-def score(hashes: Column, ratios: bytes | None) -> Column:
+def score(hashes: Column, twos: Column, ratios: bytes | None) -> Column:
     """The sum of the log ratios beyond the margin over the root of the number of n-grams, rounded.
 
     0 for a text without words or without a model.
     """
     if ratios is None:
         return F.lit(0.0)
-    steps = lambda b: F.ascii(F.substring(F.lit(ratios), b + 1, 1).cast("string"))
-    total = F.aggregate(_buckets(hashes), F.lit(0), lambda s, b: s + steps(b))
+
+    def total(array, bucket, steps):  # the steps are one literal once Spark has folded the constants
+        table = F.split(F.lit(",".join(map(str, steps))), ",").cast("array<int>")
+        return F.aggregate(array, F.lit(0), lambda s, h: s + table[bucket(h)])
+    steps = total(hashes, _word_bucket, ratios[:WORD_BUCKETS]) + total(twos, _pair_bucket, ratios[WORD_BUCKETS:])
     return F.round(F.when(F.size(hashes) == 0, 0.0).otherwise(
-        total / (-STEPS * F.sqrt((2 * F.size(hashes) - 1).cast("double")))), 3)
+        steps / (-STEPS * F.sqrt((2 * F.size(hashes) - 1).cast("double")))), 3)
 
 
 def threshold(docs: DataFrame, trusted: DataFrame, ratios: bytes | None) -> float:
@@ -140,7 +154,7 @@ def threshold(docs: DataFrame, trusted: DataFrame, ratios: bytes | None) -> floa
     """
     held = broadcast_if(trusted.filter("held").select("doc_id"), MAX_BROADCAST_KEYS)
     texts = docs.select("doc_id", "text").join(held, "doc_id", "left_semi")
-    scores = texts.select(let(_hashes(words(F.col("text"))), lambda h: score(h, ratios)).alias("score"))
+    scores = texts.select(let(_hashes(words(F.col("text"))), lambda h: let(_twos(h), lambda t: score(h, t, ratios))).alias("score"))
     at = scores.agg(F.expr(f"percentile_disc({LOST}) WITHIN GROUP (ORDER BY score)")).first()[0]
     return -math.inf if at is None else SLACK * at
 
@@ -158,12 +172,12 @@ def rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     filled = F.filter(F.split(text, "\n", -1), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
     dups = let(filled, lambda lines: F.size(lines) - F.size(F.array_distinct(lines)))
-    measured = let(_hashes(words(F.col("text"))), lambda h: F.struct(
+    measured = let(parts(text), lambda p: let(_hashes(F.array_remove(p, "")), lambda h: let(_twos(h), lambda twos: F.struct(
         F.size(h).cast("bigint").alias("n_words"),
-        F.length(F.translate(text, BLANKS, "")).cast("bigint").alias("word_chars"),
-        (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("bigint").alias("n_symbols"),
-        dups.cast("bigint").alias("n_dup_lines"), repeated_words(h).cast("bigint").alias("n_repeat_words"),
-        score(h, ratios).alias("score")))
+        (F.length(text) - F.size(p) + 1).cast("bigint").alias("word_chars"),
+        (F.size(F.split(text, SYMBOL, -1)) - 1).cast("bigint").alias("n_symbols"),
+        dups.cast("bigint").alias("n_dup_lines"), repeated_words(h, twos).cast("bigint").alias("n_repeat_words"),
+        score(h, twos, ratios).alias("score")))))
 
     m = F.col("_quality")
     failed = (m["n_words"] < 10) | (m["n_repeat_words"] * 100 > m["n_words"] * 20)
