@@ -452,6 +452,36 @@ def test_thinned_out_chunks(monkeypatch):
             assert found.tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_signs_and_case_make_no_new_pieces():
+    encoder = tokenio.TextEncoder(tokenio.tokenizer_path(), True)
+    text = "Word word, WORD. word's Élan, élan. word. WORD, élan's"
+    assert encoder(pa.array([text]))[0].tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    assert len(encoder.lengths) == 6  # word, Élan, élan and , . 's
+
+
+def test_fine_pieces_give_the_ids_of_whole_texts():
+    encoder = tokenio.TextEncoder(tokenio.tokenizer_path(), True)
+    rng = random.Random(1)
+    letters = [*"aZJeESsT.,'-<|=>`^_ 1\n\t×÷ßÀéÿªİΣ“ç—字", "\u0301", "\u0338", "\u030c", "\u0130", "\u212a", "\u037e", "\u1680", "🙂", "'s", "'LL", "==="]
+    added = ["<|endoftext|>", "<|ENDofText|>", "<|startoftext|>"]
+    for n in range(300):
+        texts = ["".join(rng.choices(letters + (added if n % 10 == 0 else []), k=rng.randrange(40))) for _ in range(20)]
+        for found, text in zip(encoder(pa.array(["", *texts]).slice(1)), texts):
+            assert found.tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    assert encoder(pa.array([], pa.string())) == [] and encoder(pa.array([""]))[0].tolist() == []
+
+
+def test_ids_at_places_of_the_order_0_shares():
+    rng = np.random.default_rng(1)
+    for alphabet in (1, 300, 49408):
+        model = coder._Model(alphabet, 10)
+        for ids in (np.zeros(0, int), np.minimum(rng.zipf(1.3, 5000), alphabet - 1)):
+            model.recent.append(ids)
+            model._spread()
+            places = np.unique(np.concatenate([rng.integers(0, model.sums[-1], 20_000), model.sums[:-1], model.sums[1:] - 1]))
+            assert (model.found(places) == np.searchsorted(model.sums, places, side="right") - 1).all()
+
+
 @pytest.mark.parametrize("parted, block_ids", [(True, 700), (False, 1 << 20)])
 def test_token_table(spark, docs, tmp_path, parted, block_ids):
     tokenio.write_tokens(docs, f"{tmp_path}/t", parted=parted, block_ids=block_ids)

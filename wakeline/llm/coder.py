@@ -28,7 +28,8 @@ HEADER_SIZE = struct.calcsize(HEADER)
 TOTAL_BITS = 24
 TOTAL = 1 << TOTAL_BITS
 # Every id keeps at least this many units at order 0, and order 0 at least this many in all.
-FLOOR, REST = 64, 1 << 18
+FLOOR_BITS = 6
+FLOOR, REST = 1 << FLOOR_BITS, 1 << 18
 CONFIDENCE = 16
 CONTEXT_BITS = 16
 # Steps after which the order-0 counts are turned into shares again.
@@ -75,6 +76,7 @@ class _Model:
         room = TOTAL - FLOOR * self.alphabet
         self.sums = np.zeros(self.alphabet + 1, np.int64)
         np.cumsum(FLOOR + self.counts * room // max(1, int(self.counts.sum())), out=self.sums[1:])
+        self.steps_of = None
 
     def predict(self, lanes: int):
         """For the next id of each lane: both guesses, and their shares; order 0 has the rest."""
@@ -88,7 +90,18 @@ class _Model:
         both = share1 * (self.guess1 == self.guess2)  # where the orders agree, their shares add up
         return self.guess2, self.guess1, share2 + both, share1 - both
 
+    def found(self, shares: np.ndarray) -> np.ndarray:
+        """The id at each place of the order-0 shares; only in a damaged block is a place beyond them."""
+        shares = np.minimum(shares, self.sums[-1] - 1)
+        if self.steps_of is None:
+            # Every id has FLOOR units or more, so from step to step of FLOOR units it is the next one at most.
+            begins = -(-self.sums // FLOOR)
+            self.steps_of = np.repeat(np.arange(self.alphabet), np.diff(begins))
+        ids = self.steps_of[shares >> FLOOR_BITS]
+        return ids + (self.sums[ids + 1] <= shares)
+
     def learn(self, ids: np.ndarray):
+        replaced = ids * CONFIDENCE + 1
         for order, (table, at, entry, guess, sure) in enumerate((
                 (self.table2, self.context, self.entry2, self.guess2, self.sure2),
                 (self.table1, self.last[:len(ids)], self.entry1, self.guess1, self.sure1))):
@@ -96,10 +109,7 @@ class _Model:
             seen = np.bincount(kind, minlength=2 * CONFIDENCE).reshape(2, CONFIDENCE)
             self.held[order] += seen[1]
             self.tries[order] += seen.sum(axis=0)
-            entry = entry + _CHANGE[kind]
-            lost = np.flatnonzero(kind == 0)
-            entry[lost] = ids[lost] * CONFIDENCE + 1
-            table[at] = entry
+            table[at] = np.where(kind == 0, replaced, entry + _CHANGE[kind])
         self.before, self.last = self.last[:len(ids)], ids
         self.recent.append(ids)
         self.steps += 1
@@ -206,8 +216,7 @@ def _decode(block: bytes) -> np.ndarray:
         far = np.flatnonzero(slot >= both)
         taken = both[far]
         left = TOTAL - taken
-        y = np.searchsorted(model.sums, (((slot[far] - taken + 1) << TOTAL_BITS) - 1) // left, side="right") - 1
-        y = np.minimum(y, alphabet - 1)  # in a damaged block only
+        y = model.found((((slot[far] - taken + 1) << TOTAL_BITS) - 1) // left)
         bottom, top = model.sums[y] * left >> TOTAL_BITS, model.sums[y + 1] * left >> TOTAL_BITS
         x[far], start[far], width[far] = y, taken + bottom, top - bottom
         value_ = value[:live] - start.view(_U) * unit

@@ -42,6 +42,14 @@ def kept_in_worker(key, make):
     return store[key]
 
 
+def buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a batch's texts, one after another, and where each ends; null is empty."""
+    texts = column.cast(pa.large_binary()).fill_null(b"")
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2], np.uint8)[offsets[0]:offsets[-1]] if offsets[-1] > offsets[0] else np.zeros(0, np.uint8)
+    return data, offsets[1:] - offsets[0]
+
+
 def chunks(texts: pa.Array):
     """The chunks of texts (no nulls) between blanks, empty ones included.
 

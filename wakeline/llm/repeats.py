@@ -22,7 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from wakeline.llm.common import broadcast_if, kept_in_worker
+from wakeline.llm.common import broadcast_if, buffer, kept_in_worker
 from wakeline.llm.shingles import scramble
 from wakeline.operators import skew
 
@@ -94,14 +94,6 @@ def cut_segments(data: np.ndarray, ends: np.ndarray, length: int, gram: int):
     return np.searchsorted(ends, start, "right"), start, size, core, anchor
 
 
-def _buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of a batch's texts, one after another, and where each ends; null is empty."""
-    texts = column.cast(pa.large_binary()).fill_null(b"")
-    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
-    data = np.frombuffer(texts.buffers()[2], np.uint8)[offsets[0]:offsets[-1]] if offsets[-1] > offsets[0] else np.zeros(0, np.uint8)
-    return data, offsets[1:] - offsets[0]
-
-
 def segments(docs: DataFrame, length: int, gram: int, places: bool) -> DataFrame:
     """Every segment of (doc, text): anchor, and with `places` also digest, doc, start, size, core.
 
@@ -109,7 +101,7 @@ def segments(docs: DataFrame, length: int, gram: int, places: bool) -> DataFrame
     """
     def run(batches):
         for batch in batches:
-            data, ends = _buffer(batch.column(1))
+            data, ends = buffer(batch.column(1))
             text, start, size, core, anchor = cut_segments(data, ends, length, gram)
             columns = {"anchor": pa.array(anchor, pa.int64())}
             if places:

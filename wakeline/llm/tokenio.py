@@ -9,6 +9,7 @@ id sequence follow from the lengths alone and blocks can be read in any order.
 
 from __future__ import annotations
 
+import json
 import os
 
 import numpy as np
@@ -17,16 +18,29 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from wakeline.llm.coder import decode, encode
-from wakeline.llm.common import Remembered, chunks, kept_in_worker
+from wakeline.llm.common import buffer, kept_in_worker
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 BLOCK_IDS = 1 << 20
-# Distinct chunks of text whose ids a task remembers.
-CACHE_CHUNKS = 400_000
-# Texts that are encoded together.
+# Distinct pieces of text whose ids a task remembers.
+CACHE_PIECES = 400_000
+# Pieces put together in one text, and texts that are encoded together.
+TOGETHER = 2000
 ROWS = 2000
 BLOCK_SCHEMA = ("part int, block int, n_ids bigint, doc_ids array<bigint>, lengths array<bigint>, data binary")
+# What a tokenizer does first if its texts may be cut between a letter and a sign, and A-Z lower-cased.
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+SPLIT = {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+         "behavior": "Removed", "invert": True}
+# Bytes by kind: blanks, ASCII signs, A-Z, and the rest.
+BLANK, SIGN, UPPER = 1, 2, 3
+KINDS = np.array([BLANK if c in b" \n\t" else UPPER if 65 <= c <= 90 else SIGN if 32 < c < 127 and not chr(c).isalnum() else 0
+                  for c in range(256)], np.uint8)
+ASCII_LETTER = np.array([c < 128 and chr(c).isalpha() for c in range(256)])
+# The second bytes of the letters U+00C0 to U+00FF, whose first one is C3.
+LATIN_LETTER = np.array([128 <= c < 192 and c not in (0x97, 0xB7) for c in range(256)])
+WORD = "^[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+$"
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -40,13 +54,51 @@ def _spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - after + lengths, lengths) + np.arange(lengths.sum())
 
 
+def _groups(values: np.ndarray) -> list[np.ndarray]:
+    return [values[i:i + TOGETHER] for i in range(0, len(values), TOGETHER)]
+
+
+def _joined(pieces: pa.Array) -> list[str]:
+    """Texts of TOGETHER pieces each, put together with blanks."""
+    bounds = np.append(np.arange(0, len(pieces), TOGETHER), len(pieces)).astype(np.int32)
+    return pc.binary_join(pa.ListArray.from_arrays(bounds, pieces), pa.scalar(" ", pieces.type)).to_pylist()
+
+
+class Pieces:
+    """Numbers for pieces that come again and again, like `Remembered`, from arrays of strings."""
+
+    def __init__(self, most: int):
+        self.most, self.strings, self.met = most, pa.array([], pa.large_string()), np.zeros(0, np.int64)
+
+    def thin(self) -> np.ndarray | None:
+        """If there are too many: which of the old numbers stay, renumbered in their order."""
+        if len(self.met) <= self.most:
+            return None
+        stay = self.met >= 2
+        if stay.sum() > self.most // 2:
+            stay[:] = False
+        self.strings, self.met = self.strings.filter(pa.array(stay)), np.zeros(stay.sum(), np.int64)
+        return stay
+
+    def add(self, new: pa.Array) -> None:
+        self.strings = pa.concat_arrays([self.strings, new])
+        self.met = np.concatenate([self.met, np.zeros(len(new), np.int64)])
+
+    def numbers(self, distinct: pa.Array) -> np.ndarray:
+        """-1 for a piece that is not remembered."""
+        return pc.fill_null(pc.index_in(distinct, self.strings), -1).to_numpy().copy()
+
+
 class TextEncoder:
     """The ids of texts, by the tokenizers library.
 
     `parted` is for tokenizers that drop white space and let no token span it:
-    such a text is the sequence of its chunks between blanks. Each distinct
-    chunk is encoded once; new ones are put together in longer texts, where the
-    offsets of the ids tell which chunk they come from.
+    such a text is the sequence of its pieces between blanks. Each distinct
+    piece is encoded once; new ones are put together in longer texts.
+
+    Where the tokenizer's first steps are NORMALIZERS and SPLIT (`fine`), fewer
+    pieces are distinct: a sign after a letter always begins a new match of the
+    split, so texts are cut there too, and A-Z can be lower-cased beforehand.
     """
 
     def __init__(self, path: str, parted: bool):
@@ -54,22 +106,69 @@ class TextEncoder:
         from tokenizers import Tokenizer
         self.tokenizer, self.parted = Tokenizer.from_file(path), parted
         self.alphabet = self.tokenizer.get_vocab_size()
-        self.known, self.flat = Remembered(CACHE_CHUNKS), np.zeros(0, np.int32)
+        with open(path, encoding="utf-8") as file:
+            settings = json.load(file)
+        first = [(settings[x] or {}).get(f"{x}s".replace("_", ""), []) for x in ("normalizer", "pre_tokenizer")]
+        self.added = [t["content"].lower().encode() for t in settings["added_tokens"]]
+        self.fine = first == [NORMALIZERS, [SPLIT, *first[1][1:]]] and not any(t["normalized"] for t in settings["added_tokens"])
+        # Where a word is one match of the split, its last id, and no other, has the suffix of word ends.
+        suffix = settings["model"].get("end_of_word_suffix")
+        self.closing = np.zeros(self.alphabet, bool)
+        if suffix:
+            self.closing[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith(suffix)]] = True
+        self.known, self.flat = Pieces(CACHE_PIECES), np.zeros(0, np.int32)
         self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def _learn(self, new: list[str]):
-        ids, lengths = [], []
-        groups = [new[i:i + 2000] for i in range(0, len(new), 2000)]
-        for group, e in zip(groups, self.tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)):
-            ends = np.cumsum(np.fromiter(map(len, group), np.int64, len(group)) + 1)
+    def _cut(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """The distinct pieces, the number of each piece in that list, and where each text's pieces begin and the last one's end."""
+        data, ends = buffer(texts)
+        kinds, begins = KINDS[data], np.zeros(len(data) + 1, bool)
+        filled = kinds != BLANK
+        begins[0] = True
+        begins[1:] = ~np.append(filled, True)[:-1]
+        begins[ends] = True
+        low = data.tobytes().lower() if self.fine else b""
+        if self.fine and not any(token in low for token in self.added):
+            at = np.flatnonzero(kinds == SIGN)
+            before, further = data[at - 1], data[at - 2]
+            begins[at[ASCII_LETTER[before] | LATIN_LETTER[before] & (further == 0xC3)]] = True
+            # A letter before a character from U+0300 on may be composed with it.
+            at = np.flatnonzero(kinds == UPPER)
+            data = data.copy()
+            data[at[np.append(data, 0)[at + 1] < 0xCC]] |= 32
+        begins = begins[:-1] & filled
+        packed = np.ascontiguousarray(data[filled])
+        offsets = np.append(np.flatnonzero(begins[filled]), len(packed))
+        pieces = pa.LargeStringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets), pa.py_buffer(packed)).dictionary_encode()
+        cuts = np.searchsorted(np.flatnonzero(begins), np.append(0, ends))
+        return pieces.dictionary, pieces.indices.to_numpy(), cuts
+
+    def _encoded(self, new: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces, one after another, and how many each one has, from the ids' offsets."""
+        ids, lengths = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        for e, sizes in zip(self.tokenizer.encode_batch(_joined(new), add_special_tokens=False),
+                            _groups(pc.utf8_length(new).to_numpy())):
             at = np.array(e.offsets, np.int64).reshape(-1, 2)[:, 0]
             ids.append(np.array(e.ids, np.int32))
-            lengths.append(np.bincount(np.searchsorted(ends, at, side="right"), minlength=len(group)))
-        lengths = np.concatenate(lengths)
+            lengths.append(np.bincount(np.searchsorted(np.cumsum(sizes + 1), at, side="right"), minlength=len(sizes)))
+        return np.concatenate(ids), np.concatenate(lengths)
+
+    def _encoded_words(self, new: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The same of pieces that are one match of the split each, from the ids that end a word."""
+        ids = np.concatenate([np.zeros(0, np.int32)] + [
+            np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(_joined(new), add_special_tokens=False)])
+        lengths = np.diff(np.flatnonzero(self.closing[ids]), prepend=-1)
+        return (ids, lengths) if len(lengths) == len(new) else self._encoded(new)
+
+    def _learn(self, new: pa.Array):
+        words = pc.match_substring_regex(new, WORD).to_numpy(zero_copy_only=False) if self.fine else np.zeros(len(new), bool)
+        starts, lengths = np.zeros((2, len(new)), np.int64)
+        for some, encoded in ((words, self._encoded_words), (~words, self._encoded)):
+            ids, n = encoded(new.filter(pa.array(some)))
+            starts[some], lengths[some] = len(self.flat) + np.cumsum(n) - n, n
+            self.flat = np.concatenate([self.flat, ids])
         self.known.add(new)
-        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
-        self.lengths = np.concatenate([self.lengths, lengths])
-        self.flat = np.concatenate([self.flat, *ids])
+        self.starts, self.lengths = np.concatenate([self.starts, starts]), np.concatenate([self.lengths, lengths])
 
     def __call__(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text of a string array without nulls."""
@@ -81,11 +180,14 @@ class TextEncoder:
             n = self.lengths[stay]
             self.flat = self.flat[_spans(self.starts[stay], n)]
             self.lengths, self.starts = n, np.cumsum(n) - n
-        distinct, codes, ends = chunks(texts)
-        new = [c for c in distinct if c not in self.known.place]
-        if new:
-            self._learn(new)
-        at = self.known.numbers(distinct)[codes]
+        distinct, codes, ends = self._cut(texts)
+        at = self.known.numbers(distinct)
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            at[new] = len(self.starts) + np.arange(len(new))
+            self._learn(distinct.take(pa.array(new)))
+        self.known.met[at] += 1
+        at = at[codes]
         n = self.lengths[at]
         ids, after = self.flat[_spans(self.starts[at], n)], np.cumsum(n)
         cuts = np.concatenate([[0], after])[ends]
