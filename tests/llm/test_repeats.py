@@ -63,6 +63,19 @@ def test_hot_anchors_and_small_units(spark, monkeypatch, most, unit, chunk):
     assert got(found) == plain_repeats(encoded(docs))
 
 
+def test_strings_alone_with_their_anchor_are_not_compared(spark, monkeypatch):
+    """Equal segments are one string, and a segment does not repeat a string of its own."""
+    compared, merged = [], repeats._merged
+    monkeypatch.setattr(repeats, "_merged", lambda strings, length: compared.append(strings.count()) or merged(strings, length))
+    rng = random.Random(3)
+    text = "".join(rng.choice("abcdefgh ") for _ in range(700))
+    docs = [(1, text), (2, text), (3, text[::-1])]
+    for more, any_compared in (([], False), ([(4, text[50:300] + "!" + text[300:])], True)):
+        found = repeats.dedup(spark.createDataFrame(docs + more, "doc_id bigint, text string"))
+        assert got(found) == plain_repeats(encoded(docs + more))
+        assert (compared[-1] > 1) == any_compared
+
+
 def test_other_lengths(spark):
     docs = overlapping_texts(random.Random(9), 40)
     found = repeats.dedup(spark.createDataFrame(docs, "doc_id bigint, text string"), length=40, gram=9)

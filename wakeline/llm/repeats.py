@@ -4,7 +4,9 @@ A string of LENGTH bytes is found with the smallest hash of its runs of GRAM
 bytes, its anchor; equal strings have equal anchors. So texts are cut into
 segments, the strings that share one anchor, and only segments whose anchor
 comes again are compared, with those of the same anchor. Equal segments are one
-string, known by the place of the first.
+string, known by the place of the first; where that leaves one string of an
+anchor, there is nothing to compare, as the strings of a segment all differ in
+how far before the anchor they begin.
 
 The strings of many anchors make a unit. Each half of a unit is sorted by
 itself and has its own Burrows-Wheeler transform; the two are merged by
@@ -365,7 +367,9 @@ def covered(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most: int =
     same = ["anchor", "digest", "core", "size"]
     firsts = skew.settle(found.groupBy(*same).agg(F.min(F.struct("doc", "start")).alias("place")))
     copies = found.join(firsts, same).filter("struct(doc, start) <> place").selectExpr("doc", "start as begin", "start + size as stop")
-    strings = skew.settle(_strings(docs, firsts.select("anchor", "size", "core", "place.*")))
+    shared = firsts.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
+    compared = firsts.join(shared, "anchor", "left_semi")
+    strings = skew.settle(_strings(docs, compared.select("anchor", "size", "core", "place.*")))
     bounded, parted = _bounded(strings, length, gram, most)
     return copies.unionByName(parted).unionByName(_merged(bounded, length))
 
