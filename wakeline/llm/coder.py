@@ -140,13 +140,13 @@ def encode(ids: np.ndarray, alphabet: int) -> bytes:
     length = -(-n // lanes) if n else 0
     model = _Model(alphabet, lanes)
     low, span = np.zeros(lanes, _U), np.full(lanes, 0xFFFFFFFFFFFFFFFF, _U)
-    grid = np.zeros(lanes * length, np.int64)
+    grid = np.zeros(lanes * length, np.int32)  # an alphabet has MAX_ALPHABET ids at most
     grid[:n] = ids
     grid = np.ascontiguousarray(grid.reshape(lanes, length).T)
     digits, used = np.zeros((length + 3, lanes), np.int64), np.ones(lanes, np.int64)  # row 0 takes a first carry
     every = np.arange(lanes)
     for step, live in _steps(n, lanes):
-        x = grid[step, :live]
+        x = grid[step, :live].astype(np.int64)
         c2, c1, share2, share1 = model.predict(live)
         is2 = x == c2
         start, width = share2 * ~is2, share1 + (share2 - share1) * is2

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 
@@ -42,6 +43,14 @@ def kept_in_worker(key, make):
     return store[key]
 
 
+def give_back() -> None:
+    """Returns freed memory to the system: Arrow and the C library keep what a batch took for the worker's next one."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
 def buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a batch's texts, one after another, and where each ends; null is empty."""
     texts = column.cast(pa.large_binary()).fill_null(b"")

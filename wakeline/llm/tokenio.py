@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from wakeline.llm.coder import decode, encode
-from wakeline.llm.common import buffer, kept_in_worker
+from wakeline.llm.common import buffer, give_back, kept_in_worker
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
@@ -28,6 +28,8 @@ CACHE_PIECES = 400_000
 # Pieces put together in one text, and texts that are encoded together.
 TOGETHER = 2000
 ROWS = 2000
+# New pieces that are encoded at once: the library's results take some hundred bytes an id.
+NEW_PIECES = 10 * TOGETHER
 BLOCK_SCHEMA = ("part int, block int, n_ids bigint, doc_ids array<bigint>, lengths array<bigint>, data binary")
 # What a tokenizer does first if its texts may be cut between a letter and a sign, and A-Z lower-cased.
 NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
@@ -51,7 +53,9 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 def _spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """starts[0] to starts[0] + lengths[0] - 1, then those of the next, and so on."""
     after = np.cumsum(lengths)
-    return np.repeat(starts - after + lengths, lengths) + np.arange(lengths.sum())
+    found = np.repeat(starts - after + lengths, lengths)
+    found += np.arange(len(found))
+    return found
 
 
 def _groups(values: np.ndarray) -> list[np.ndarray]:
@@ -164,9 +168,14 @@ class TextEncoder:
         words = pc.match_substring_regex(new, WORD).to_numpy(zero_copy_only=False) if self.fine else np.zeros(len(new), bool)
         starts, lengths = np.zeros((2, len(new)), np.int64)
         for some, encoded in ((words, self._encoded_words), (~words, self._encoded)):
-            ids, n = encoded(new.filter(pa.array(some)))
-            starts[some], lengths[some] = len(self.flat) + np.cumsum(n) - n, n
-            self.flat = np.concatenate([self.flat, ids])
+            some = np.flatnonzero(some)
+            parts = []
+            for at in (some[i:i + NEW_PIECES] for i in range(0, len(some), NEW_PIECES)):
+                ids, lengths[at] = encoded(new.take(pa.array(at)))
+                parts.append(ids)
+            n = lengths[some]
+            starts[some] = len(self.flat) + np.cumsum(n) - n
+            self.flat = np.concatenate([self.flat, *parts])
         self.known.add(new)
         self.starts, self.lengths = np.concatenate([self.starts, starts]), np.concatenate([self.lengths, lengths])
 
@@ -228,6 +237,8 @@ def blocks(docs: DataFrame, path: str, parted: bool = True, end_id: int = END_ID
                         ids, doc_ids, size, number = [], [], 0, number + 1
         if ids:
             yield close()
+        ids = []
+        give_back()
 
     ordered = (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
                .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text"))
@@ -252,6 +263,7 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
                      pa.array([row["block"]] * n, pa.int32()), pa.array(starts),
                      pa.array([data[4 * s:4 * (s + k)] for s, k in zip(starts.tolist(), lengths.tolist())], pa.binary())],
                     names=["doc_id", "part", "block", "offset", "ids"])
+        give_back()
     table = spark.read.schema(BLOCK_SCHEMA).parquet(folder)
     return table.select("part", "block", "doc_ids", "lengths", "data").mapInArrow(
         run, "doc_id bigint, part int, block int, offset bigint, ids binary")
