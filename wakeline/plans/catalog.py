@@ -98,10 +98,10 @@ def _(p):
     """One file per vessel, rows in time order: seq numbers them from 0."""
     path = f"{shared_folder(p.sparkSession)}/wakeline-csv-{uuid.uuid4().hex}"
     native = F.lit(None).cast("string")
-    (p.repartition("id").sortWithinPartitions("id", "ts", "seq")
-     .select(F.col("id").alias("渔船ID"), "lat", "lon", F.col("speed").alias("速度"), F.col("direction").alias("方向"),
-             F.date_format("ts", "MMdd HH:mm:ss").alias("time"), native.alias("type"), F.col("id").alias("vessel"))
-     .write.partitionBy("vessel").option("header", True).csv(path))
+    sinks.write_vessels(
+        p.repartition("id").sortWithinPartitions("id", "ts", "seq")
+        .select(F.col("id").alias("渔船ID"), "lat", "lon", F.col("speed").alias("速度"), F.col("direction").alias("方向"),
+                F.date_format("ts", "MMdd HH:mm:ss").alias("time"), native.alias("type")), path)
     return tracks.read_tracks(p.sparkSession, path).select("id", "lat", "lon", "speed", "seq")
 
 
